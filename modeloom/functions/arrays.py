@@ -25,9 +25,18 @@ def constants(values: Sequence[float]) -> Column:
     return F.array(*[number(v) for v in values])
 
 
+def item(values: Column, index: int | Column) -> Column:
+    """Zero-based element; NULL for a NULL array or index.
+
+    ``get`` and not ``values[index]``: with ANSI mode on, the planner takes the latter for
+    never NULL when the elements are not.
+    """
+    return F.get(values, F.lit(index) if isinstance(index, int) else index)
+
+
 def pick(values: Sequence[float], index: Column) -> Column:
     """``values[index]`` from a constant array."""
-    return constants(values)[index]
+    return item(constants(values), index)
 
 
 def one_hot(index: Column, width: int) -> Column:
@@ -40,13 +49,14 @@ def one_hot(index: Column, width: int) -> Column:
 
 
 def argmax(values: Column) -> Column:
-    """Zero-based position of the largest element, the first one on ties."""
-    return (F.array_position(values, F.array_max(values)) - F.lit(1)).cast("int")
+    """Zero-based position of the largest element, the first one on ties; NULL without any."""
+    top = F.array_max(values)
+    return F.when(top.isNotNull(), F.array_position(values, top) - F.lit(1)).cast("int")
 
 
 def reorder(values: Column, order: Sequence[int]) -> Column:
     """Slot ``i`` takes element ``order[i]``."""
-    return F.array(*[values[F.lit(int(i))] for i in order])
+    return F.array(*[item(values, int(i)) for i in order])
 
 
 def inverse_order(order: Sequence[int]) -> list[int]:

@@ -7,6 +7,7 @@ computed once per row; one nested expression would repeat them K times over.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -16,6 +17,17 @@ from pyspark.sql import functions as F
 from modeloom.functions.arrays import finite, number
 
 
+def sealed(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame:
+    """Select ``keep`` and the results of staged steps, closed to predicate push-down.
+
+    A filter on a staged result, pushed down, would unfold all steps into one expression
+    of exponential size.  Results leave through a one-row generator, which such filters
+    do not pass; filters on the kept columns still reach the scan.
+    """
+    results = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select(*keep, F.inline(F.array(results)))
+
+
 def stage_value(df: DataFrame, value: Column, tag: str) -> DataFrame:
     """``{tag}ok`` and a never-NULL ``{tag}x`` (0 where the value is unusable)."""
     value = value.cast("double")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.functions.arrays import argmax, clip, inverse_order, number, pick, reorder
+from modeloom.functions.arrays import argmax, clip, inverse_order, item, number, pick, reorder
 from modeloom.operators.dictionary import Dictionary, labels_of
 from modeloom.operators.encode import MixedModel
 from modeloom.operators.mixture import MixtureModel
@@ -20,7 +20,7 @@ TAG = "__dec_"
 
 
 def _scaled(encoded: Column, start: int, overflow: Column | None) -> Column:
-    u = clip(encoded[F.lit(start)], DECODE_CLIP)
+    u = clip(item(encoded, start), DECODE_CLIP)
     return u if overflow is None else F.coalesce(overflow, u)
 
 
@@ -114,7 +114,7 @@ def decode_soft(
     modes = model.heavy
     staged = df.withColumn(f"{TAG}j", argmax(F.slice(F.col(encoded), 2, len(modes))))
     j = F.col(f"{TAG}j")
-    value = F.col(encoded)[F.lit(0)] * number(4) * pick([model.std[k] for k in modes], j) + pick(
+    value = item(F.col(encoded), 0) * number(4) * pick([model.std[k] for k in modes], j) + pick(
         [model.mean[k] for k in modes], j
     )
     return staged.select(*df.columns, value.alias(out))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from modeloom.functions.arrays import clip, null_slots, number, one_hot, pick
 from modeloom.functions.draws import hash_uniform
 from modeloom.functions.posterior import (
+    sealed,
     stage_best_mode,
     stage_drawn_mode,
     stage_log_terms,
@@ -210,8 +211,8 @@ def encode_continuous(
         df, F.col(column), model, TAG,
         variant=variant, mode_choice=mode_choice, key=key, seed=seed,
     )
-    extra = [overflow.alias("overflow")] if variant == "hard" else []
-    return staged.select(*df.columns, F.when(ok, block).alias(out), *extra)
+    extra = {"overflow": overflow} if variant == "hard" else {}
+    return sealed(staged, df.columns, **{out: F.when(ok, block)}, **extra)
 
 
 def encode_mixed(
@@ -228,9 +229,7 @@ def encode_mixed(
     staged, block, overflow, ok = mixed_block(
         df, F.col(column), fitted, TAG, mode_choice=mode_choice, key=key, seed=seed
     )
-    return staged.select(
-        *df.columns, F.when(ok, block).alias(out), overflow.alias("overflow")
-    )
+    return sealed(staged, df.columns, **{out: F.when(ok, block), "overflow": overflow})
 
 
 def categorical_block(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.functions.arrays import finite, number
+from modeloom.functions.arrays import finite, item, number
 from modeloom.operators.order_stats import order_statistics, value_counts
 from modeloom.operators.profile import DESCRIBE_PERCENTILES, column_profile
 from modeloom.plans.staging import materialise
@@ -18,7 +18,7 @@ EXACT = 1e-9
 def encoding_stats(df: DataFrame, encoded: str = "encoded") -> DataFrame:
     """Describe the first slot and the largest mode slot over the whole table."""
     parts = df.select(
-        F.col(encoded)[F.lit(0)].alias("value"),
+        item(F.col(encoded), 0).alias("value"),
         F.array_max(F.slice(F.col(encoded), F.lit(2), F.size(encoded) - F.lit(1))).alias(
             "confidence"
         ),

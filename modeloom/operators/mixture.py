@@ -175,6 +175,27 @@ def mode_sums(counts: DataFrame, kernels: Mapping[int, dict]) -> dict[int, dict[
     return out
 
 
+def sufficient_statistics(df: DataFrame, column: str, model: MixtureModel) -> DataFrame:
+    """(k, n, sum_x, sum_xx) of the posterior-weighted values: what one pass of a fit adds up."""
+    kernel = {
+        "shift": 0.0, "scale": 1.0, "m": np.array(model.mean),
+        "c": np.array(model.log_c), "h": np.array(model.half_prec),
+    }
+    sums = mode_sums(value_counts(df, [column]), {0: kernel})[0]
+    n, s1, s2 = sums["n"], sums["s1"], sums["s2"]
+    m = kernel["m"]
+    rows = zip(
+        range(model.size),
+        n.tolist(),
+        (s1 + n * m).tolist(),
+        (s2 + 2 * m * s1 + n * m**2).tolist(),
+        strict=True,
+    )
+    return df.sparkSession.createDataFrame(
+        list(rows), "k int, n double, sum_x double, sum_xx double"
+    )
+
+
 @dataclass
 class _Posterior:
     """Variational parameters of one column, on the standardised scale."""
@@ -257,8 +278,16 @@ def _cut_kernels(counts, stats, cuts_of) -> dict[int, dict]:
         edges = (cuts - s["mean"]) / scale
         kernels[c] = {
             "shift": s["mean"], "scale": scale, "cuts": cuts,
-            "m": np.concatenate([edges[:1], edges]) if len(cuts) else np.zeros(1),
+            "m": np.concatenate([edges, edges[-1:]]) if len(cuts) else np.zeros(1),
         }
+    return _centred(kernels, mode_sums(counts, kernels))
+
+
+def _centred(kernels, sums):
+    """Move every centre to the mean of its rows, so that spreads do not cancel."""
+    for c, kernel in kernels.items():
+        n = sums[c]["n"]
+        kernel["m"] = kernel["m"] + sums[c]["s1"] / np.maximum(n, 1)
     return kernels
 
 
@@ -267,11 +296,9 @@ def _lloyd(counts, kernels, rounds=300, tol=1e-4):
     for _ in range(rounds):
         moved = 0.0
         sums = mode_sums(counts, kernels)
-        for c, kernel in kernels.items():
+        for c, kernel in _centred(kernels, sums).items():
             n = sums[c]["n"]
-            used = n > 0
-            centres = kernel["m"] + sums[c]["s1"] / np.maximum(n, 1)
-            held = np.sort(centres[used])
+            held = np.sort(kernel["m"][n > 0])
             middle = (held[1:] + held[:-1]) / 2 * kernel["scale"] + kernel["shift"]
             # Unused modes keep an edge above every value, so they stay last and empty.
             spare = len(n) - len(held)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from modeloom.functions.arrays import clip, number, pick
 from modeloom.functions.draws import hash_uniform
 from modeloom.functions.posterior import (
+    sealed,
     stage_best_mode,
     stage_drawn_mode,
     stage_log_terms,
@@ -43,14 +44,14 @@ def posteriors(df: DataFrame, column: str, model: MixtureModel) -> DataFrame:
     """``posterior``: the probability of every mode given the value."""
     staged = stage_posteriors(stage_value(df, F.col(column), TAG), model, TAG)
     block = F.array(*[F.col(f"{TAG}r{k}") for k in range(model.size)])
-    return staged.select(*df.columns, F.when(F.col(f"{TAG}ok"), block).alias("posterior"))
+    return sealed(staged, df.columns, posterior=F.when(F.col(f"{TAG}ok"), block))
 
 
 def assigned(df: DataFrame, column: str, model: MixtureModel) -> DataFrame:
     """``mode``: the most probable of all modes."""
     staged = stage_log_terms(stage_value(df, F.col(column), TAG), model, TAG)
     staged = stage_best_mode(staged, list(range(model.size)), TAG)
-    return staged.select(*df.columns, F.when(F.col(f"{TAG}ok"), F.col(f"{TAG}j")).alias("mode"))
+    return sealed(staged, df.columns, mode=F.when(F.col(f"{TAG}ok"), F.col(f"{TAG}j")))
 
 
 def drawn(
@@ -62,10 +63,11 @@ def drawn(
     staged = stage_posteriors(stage_value(staged, F.col(column), TAG), model, TAG)
     staged = stage_drawn_mode(staged, active, F.col(f"{TAG}h"), DRAW_FLOOR, TAG)
     mode = pick(active, F.col(f"{TAG}j")).cast("int")
-    return staged.select(
-        *df.columns,
-        F.when(F.col(f"{TAG}ok"), mode).alias("mode"),
-        F.col(f"{TAG}h").alias("uniform"),
+    return sealed(
+        staged,
+        df.columns,
+        mode=F.when(F.col(f"{TAG}ok"), mode),
+        uniform=F.col(f"{TAG}h"),
     )
 
 

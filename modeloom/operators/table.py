@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modeloom.functions.arrays import argmax
+from modeloom.functions.posterior import sealed
 from modeloom.operators.decode import continuous_value, mixed_value
 from modeloom.operators.dictionary import Dictionary, category_dictionary, labels_of, measured
 from modeloom.operators.encode import (
@@ -112,8 +113,8 @@ class TableEncoder:
                 )
                 overflows.append(over.alias(column))
             blocks.append(fill_null(block, ok, self.width(column)))
-        extra = [F.struct(*overflows).alias("overflow")] if overflows else []
-        return df.select(*kept, F.concat(*blocks).alias(out), *extra)
+        extra = {"overflow": F.struct(*overflows)} if overflows else {}
+        return sealed(df, kept, **{out: F.concat(*blocks)}, **extra)
 
     def decode(
         self, df: DataFrame, *, encoded: str = "encoded", overflow: str = "overflow",
