@@ -17,15 +17,21 @@ from pyspark.sql import functions as F
 from modeloom.functions.arrays import finite, number
 
 
-def sealed(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame:
+def sealed(df: DataFrame, keep: Sequence[str], split: bool = False, **columns: Column) -> DataFrame:
     """Select ``keep`` and the results of staged steps, closed to predicate push-down.
 
     A filter on a staged result, pushed down, would unfold all steps into one expression
     of exponential size.  Results leave through a one-row generator, which such filters
     do not pass; filters on the kept columns still reach the scan.
+
+    ``split`` also ends the generated-code stage here: a higher-order function has no
+    generated form.  Two columns' steps in one method pass the 8,000 bytecodes up to
+    which the JVM compiles it, and then run interpreted, many times slower.
     """
-    results = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return df.select(*keep, F.inline(F.array(results)))
+    row = F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))
+    if split:
+        row = F.filter(row, lambda _: F.lit(True))
+    return df.select(*keep, F.inline(row))
 
 
 def stage_value(df: DataFrame, value: Column, tag: str) -> DataFrame:

@@ -23,7 +23,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.functions.arrays import clip, null_slots, number, one_hot, pick
+from modeloom.functions.arrays import (
+    clip,
+    inverse_order,
+    null_slots,
+    number,
+    one_hot,
+    pick,
+)
 from modeloom.functions.draws import hash_uniform
 from modeloom.functions.posterior import (
     sealed,
@@ -136,21 +143,17 @@ def continuous_block(
     mode_choice: str = "draw",
     key: Sequence[str] = (),
     seed: int = 42,
+    split: bool = False,
 ) -> tuple[DataFrame, Column, Column, Column]:
     """Staged table, the block array, its overflow, and whether the value was usable."""
-    df = stage_value(df, value, tag)
-    ok, x = F.col(f"{tag}ok"), F.col(f"{tag}x")
-    no_overflow = F.lit(None).cast("double")
-    if variant == "hard":
-        df = stage_choice(df, model, tag, mode_choice=mode_choice, key=key, seed=seed)
-        u, j = F.col(f"{tag}u"), F.col(f"{tag}j")
-        slot_of = [model.order.index(k) for k in model.active]
-        slot = pick(slot_of, j).cast("int")
-        block = F.concat(F.array(clip(u, ENCODE_CLIP)), one_hot(slot, len(slot_of)))
-        overflow = F.when(ok & (F.abs(u) > number(ENCODE_CLIP)), u)
-        return df, block, overflow, ok
     if variant not in VARIANTS:
         raise ValueError(f"variant must be one of {VARIANTS}, not {variant!r}")
+    keep, df = df.columns, stage_value(df, value, tag)
+    ok = F.col(f"{tag}ok")
+    if variant == "hard":
+        df = stage_choice(df, model, tag, mode_choice=mode_choice, key=key, seed=seed)
+        slots = [model.order.index(k) for k in model.active]
+        return (*_hard_block(df, keep, tag, F.col(f"{tag}u"), F.col(f"{tag}j"), slots, split), ok)
     df = stage_posteriors(df, model, tag)
     modes = {
         "soft_full": list(range(model.size)),
@@ -158,11 +161,22 @@ def continuous_block(
         "soft_ordered": model.order,
     }[variant]
     base = modes[0] if variant == "soft_masked" else 0
-    u = (x - number(model.mean[base])) / number(4 * model.std[base])
+    u = (F.col(f"{tag}x") - number(model.mean[base])) / number(4 * model.std[base])
     if variant == "soft_masked":
         u = clip(u, ENCODE_CLIP)
     block = F.array(u, *[F.col(f"{tag}r{k}") for k in modes])
-    return df, block, no_overflow, ok
+    df = sealed(df, keep, split, **{f"{tag}ok": ok, f"{tag}block": block})
+    return df, F.col(f"{tag}block"), F.lit(None).cast("double"), ok
+
+
+def _hard_block(df, keep, tag, u, place, slots, split):
+    """Seal the chosen value and place; build the block and its overflow from those."""
+    ok = F.col(f"{tag}ok")
+    df = sealed(df, keep, split, **{f"{tag}ok": ok, f"{tag}u": u, f"{tag}place": place})
+    u = F.col(f"{tag}u")
+    slot = pick(slots, F.col(f"{tag}place")).cast("int")
+    block = F.concat(F.array(clip(u, ENCODE_CLIP)), one_hot(slot, len(slots)))
+    return df, block, F.when(ok & (F.abs(u) > number(ENCODE_CLIP)), u)
 
 
 def mixed_block(
@@ -174,25 +188,20 @@ def mixed_block(
     mode_choice: str = "draw",
     key: Sequence[str] = (),
     seed: int = 42,
+    split: bool = False,
 ) -> tuple[DataFrame, Column, Column, Column]:
     """Special values take their own slot, all others the slot of their mode."""
-    df = stage_value(df, value, tag)
+    keep, df = df.columns, stage_value(df, value, tag)
     df = stage_choice(df, fitted.model, tag, mode_choice=mode_choice, key=key, seed=seed)
-    ok, x, u, j = (F.col(f"{tag}{part}") for part in ("ok", "x", "u", "j"))
+    x, u, j = (F.col(f"{tag}{part}") for part in ("x", "u", "j"))
     n_modal = len(fitted.modal)
-    place, modal_u = j + F.lit(n_modal), u
+    place = j + F.lit(n_modal)
     for position in range(n_modal - 1, -1, -1):
         here = x == number(fitted.modal[position])
         place = F.when(here, F.lit(position)).otherwise(place)
-        modal_u = F.when(here, number(fitted.values[position])).otherwise(modal_u)
-    df = df.withColumns({f"{tag}place": place, f"{tag}v": modal_u})
-    slots = [0] * len(fitted.order)
-    for slot, source in enumerate(fitted.order):
-        slots[source] = slot
-    slot = pick(slots, F.col(f"{tag}place")).cast("int")
-    v = F.col(f"{tag}v")
-    block = F.concat(F.array(clip(v, ENCODE_CLIP)), one_hot(slot, len(slots)))
-    return df, block, F.when(ok & (F.abs(v) > number(ENCODE_CLIP)), v), ok
+        u = F.when(here, number(fitted.values[position])).otherwise(u)
+    slots = inverse_order(fitted.order)
+    return (*_hard_block(df, keep, tag, u, place, slots, split), F.col(f"{tag}ok"))
 
 
 def encode_continuous(
@@ -211,8 +220,8 @@ def encode_continuous(
         df, F.col(column), model, TAG,
         variant=variant, mode_choice=mode_choice, key=key, seed=seed,
     )
-    extra = {"overflow": overflow} if variant == "hard" else {}
-    return sealed(staged, df.columns, **{out: F.when(ok, block)}, **extra)
+    extra = [overflow.alias("overflow")] if variant == "hard" else []
+    return staged.select(*df.columns, F.when(ok, block).alias(out), *extra)
 
 
 def encode_mixed(
@@ -229,7 +238,9 @@ def encode_mixed(
     staged, block, overflow, ok = mixed_block(
         df, F.col(column), fitted, TAG, mode_choice=mode_choice, key=key, seed=seed
     )
-    return sealed(staged, df.columns, **{out: F.when(ok, block), "overflow": overflow})
+    return staged.select(
+        *df.columns, F.when(ok, block).alias(out), overflow.alias("overflow")
+    )
 
 
 def categorical_block(

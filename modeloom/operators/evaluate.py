@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modeloom.functions.arrays import finite, item, number
-from modeloom.operators.order_stats import order_statistics, value_counts
+from modeloom.operators.order_stats import order_statistics
 from modeloom.operators.profile import DESCRIBE_PERCENTILES, column_profile
 from modeloom.plans.staging import materialise
 
@@ -34,12 +34,28 @@ def roundtrip_report(
     """Error of decode(encode(x)) overall, by decile of x and in both 0.1% tails.
 
     (part, rows, clipped, exact, max_error, mean_error).  Deciles and tails are set by
-    exact cut values, so every row finds its part by comparison and one aggregation of
-    a few dozen groups does the rest.
+    exact cut values, so every value finds its parts by comparison.
     """
     x = F.col(original).cast("double")
-    counts = materialise(value_counts(df, [original]))
-    total = counts.agg(F.sum("w")).first()[0] or 0
+    was_clipped = (
+        F.col(clipped).isNotNull() if clipped is not None and clipped in df.columns else F.lit(False)
+    )
+    error = F.abs(F.col(decoded) - x)
+    exact = error <= number(EXACT) * F.greatest(number(1), F.abs(x))
+    # The encoded table is computed once, into one line per distinct value; a value that
+    # fills much of the table is combined before the shuffle.
+    lines = materialise(
+        df.where(finite(x))
+        .groupBy(x.alias("x"))
+        .agg(
+            F.count(F.lit(1)).alias("w"),
+            F.count_if(was_clipped).alias("clipped"),
+            F.count_if(exact).alias("exact"),
+            F.max(error).alias("max_error"),
+            F.sum(error).alias("sum_error"),
+        )
+    )
+    total = lines.agg(F.sum("w")).first()[0] or 0
     if total == 0:
         raise ValueError(f"no usable value in {original}")
 
@@ -48,41 +64,29 @@ def roundtrip_report(
 
     deciles = [rank(100 * i) for i in range(1, 10)]
     low, high = rank(TAIL_PER_MILLE), total - rank(TAIL_PER_MILLE) + 1
-    cuts = order_statistics(counts, {0: [*deciles, low, high]})
-    counts.unpersist()
-    decile = sum(
-        ((x > number(cuts[(0, r)])).cast("int") for r in deciles[1:]),
-        (x > number(cuts[(0, deciles[0])])).cast("int"),
-    ) + F.lit(1)
-    was_clipped = (
-        F.col(clipped).isNotNull() if clipped is not None and clipped in df.columns else F.lit(False)
-    )
-    error = F.abs(F.col(decoded) - x)
-    rows = df.where(finite(x)).select(
-        decile.alias("decile"),
-        (x <= number(cuts[(0, low)])).alias("bottom"),
-        (x >= number(cuts[(0, high)])).alias("top"),
-        was_clipped.cast("long").alias("clipped"),
-        error.alias("error"),
-        (error <= number(EXACT) * F.greatest(number(1), F.abs(x))).cast("long").alias("exact"),
-    )
-    groups = rows.groupBy("decile", "bottom", "top").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("clipped").alias("clipped"),
-        F.sum("exact").alias("exact"),
-        F.max("error").alias("max_error"),
-        F.sum("error").alias("sum_error"),
-    )
+    cuts = order_statistics(lines.select(F.lit(0).alias("c"), "x", "w"), {0: [*deciles, low, high]})
+    decile = F.lit(1)
+    for r in deciles:
+        decile = decile + (F.col("x") > number(cuts[(0, r)])).cast("int")
     parts = F.array_compact(
         F.array(
             F.lit("all"),
-            F.concat(F.lit("decile_"), F.lpad(F.col("decile").cast("string"), 2, "0")),
-            F.when(F.col("bottom"), F.lit("bottom_tail")),
-            F.when(F.col("top"), F.lit("top_tail")),
+            F.concat(F.lit("decile_"), F.lpad(decile.cast("string"), 2, "0")),
+            F.when(F.col("x") <= number(cuts[(0, low)]), F.lit("bottom_tail")),
+            F.when(F.col("x") >= number(cuts[(0, high)]), F.lit("top_tail")),
         )
     )
+    # First by the set of parts a value is in, a few dozen of them, then by part.
     return (
-        groups.withColumn("part", F.explode(parts))
+        lines.groupBy(parts.alias("parts"))
+        .agg(
+            F.sum("w").alias("rows"),
+            F.sum("clipped").alias("clipped"),
+            F.sum("exact").alias("exact"),
+            F.max("max_error").alias("max_error"),
+            F.sum("sum_error").alias("sum_error"),
+        )
+        .withColumn("part", F.explode("parts"))
         .groupBy("part")
         .agg(
             F.sum("rows").alias("rows"),

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modeloom.functions.arrays import argmax
-from modeloom.functions.posterior import sealed
 from modeloom.operators.decode import continuous_value, mixed_value
 from modeloom.operators.dictionary import Dictionary, category_dictionary, labels_of, measured
 from modeloom.operators.encode import (
@@ -101,7 +100,10 @@ class TableEncoder:
         kept, blocks, overflows = df.columns, [], []
         for i, (column, kind) in enumerate(self.kinds.items()):
             tag = f"__enc{i}_"
-            choice = {"mode_choice": self.mode_choice, "key": self.key, "seed": self.seed + i}
+            choice = {
+                "mode_choice": self.mode_choice, "key": self.key, "seed": self.seed + i,
+                "split": len(self.numeric) > 1,
+            }
             if kind == "categorical":
                 df, block, ok, _ = categorical_block(df, column, self.dictionary, tag, self.unknown)
             elif kind == "mixed":
@@ -113,8 +115,8 @@ class TableEncoder:
                 )
                 overflows.append(over.alias(column))
             blocks.append(fill_null(block, ok, self.width(column)))
-        extra = {"overflow": F.struct(*overflows)} if overflows else {}
-        return sealed(df, kept, **{out: F.concat(*blocks)}, **extra)
+        extra = [F.struct(*overflows).alias("overflow")] if overflows else []
+        return df.select(*kept, F.concat(*blocks).alias(out), *extra)
 
     def decode(
         self, df: DataFrame, *, encoded: str = "encoded", overflow: str = "overflow",
