@@ -415,7 +415,8 @@ def oracle_sql() -> dict[str, str]:
         )
     sql["encode_dirty"] = with_(
         [*bucket("m", DIRTY), *choice("m")],
-        f"SELECT e.event_id, {r6(clip('c.u'))} AS u, {r6('c.u*4*c.std + c.mean')} AS decoded FROM events e LEFT JOIN m_pick c ON c.id = e.event_id",
+        # least and greatest skip NULLs, so a row without a value is told apart first.
+        f"SELECT e.event_id, CASE WHEN c.u IS NOT NULL THEN {r6(clip('c.u'))} END AS u, {r6('c.u*4*c.std + c.mean')} AS decoded FROM events e LEFT JOIN m_pick c ON c.id = e.event_id",
     )
     for name, modal in (("encode_mixed", MODAL), ("encode_mixed_reversed", MODAL_REVERSED)):
         sql[name] = with_(

@@ -13,7 +13,8 @@ def number(value: float) -> Column:
 
 
 def clip(value: Column, bound: float) -> Column:
-    return F.greatest(number(-bound), F.least(number(bound), value))
+    """``value`` held to plus or minus ``bound``; ``least`` alone would skip a NULL."""
+    return F.when(value.isNotNull(), F.greatest(number(-bound), F.least(number(bound), value)))
 
 
 def finite(value: Column) -> Column:

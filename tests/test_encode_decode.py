@@ -131,6 +131,13 @@ def test_table_round_trip_layout_and_reload(spark, events, tmp_path):
     assert again.encode(df).select(*keep).exceptAll(encoded.select(*keep)).count() == 0
 
 
+def test_missing_slots_decode_to_null(spark, model):
+    width = len(model.active)
+    rows = [(1, [None] + [1.0] + [0.0] * (width - 1)), (2, [0.5] + [None] * width), (3, None)]
+    df = spark.createDataFrame(rows, "id int, encoded array<double>")
+    assert [r["decoded"] for r in ml.decode_continuous(df, model).collect()] == [None] * 3
+
+
 def test_bad_arguments(events, model):
     with pytest.raises(ValueError, match="variant"):
         ml.encode_continuous(events, "value", model, variant="other")
