@@ -30,6 +30,8 @@ DOF_PRIOR = 1.0
 COVARIANCE_FLOOR = 1e-6
 
 DECILES = tuple(range(100, 1000, 100))
+# Partial sums (tasks x columns x modes) up to which the driver adds them up itself.
+DIRECT_LINES = 10_000
 
 PARAM_SCHEMA = (
     "col string, k int, weight double, mean double, std double, log_c double,"
@@ -106,9 +108,12 @@ def models_from_table(params: DataFrame, eps: float = EPS) -> dict[str, MixtureM
     }
 
 
-def mode_sums(counts: DataFrame, kernels: Mapping[int, dict]) -> dict[int, dict[str, np.ndarray]]:
+def mode_sums(
+    counts: DataFrame, kernels: Mapping[int, dict], tasks: int | None = None
+) -> dict[int, dict[str, np.ndarray]]:
     """One pass over the weighted values: per mode the count, centred first and second
-    sums and the rows it wins, plus the summed log normaliser.
+    sums and the rows it wins, plus the summed log normaliser.  ``tasks`` is the number of
+    partitions of ``counts``, where known.
 
     A kernel either assigns by cut points (``cuts``) or softly (``c``, ``h``, ``m``);
     sums are taken around ``m``, which keeps tight modes far from zero accurate.
@@ -165,13 +170,16 @@ def mode_sums(counts: DataFrame, kernels: Mapping[int, dict]) -> dict[int, dict[
         reduce_partition,
         "c int, k int, n double, s1 double, s2 double, hits double, log_norm double",
     )
-    rows = partial.groupBy("c", "k").agg(*[F.sum(p).alias(p) for p in parts]).collect()
+    # Few tasks leave few partial sums: adding those up here spares a shuffle per pass.
+    lines = sum(len(kernel["m"]) for kernel in kernels.values())
+    if tasks is None or tasks * lines > DIRECT_LINES:
+        partial = partial.groupBy("c", "k").agg(*[F.sum(p).alias(p) for p in parts])
     out = {}
     for c, kernel in kernels.items():
         out[c] = {p: np.zeros(len(kernel["m"])) for p in parts}
-    for row in rows:
+    for row in partial.collect():
         for p in parts:
-            out[row["c"]][p][row["k"]] = row[p]
+            out[row["c"]][p][row["k"]] += row[p]
     return out
 
 
@@ -267,7 +275,7 @@ def _cut_ranks(rows: int, cuts: Sequence[int]) -> list[int]:
     return [max(1, -(-rows * per_mille // 1000)) for per_mille in cuts]
 
 
-def _cut_kernels(counts, stats, cuts_of) -> dict[int, dict]:
+def _cut_kernels(counts, stats, cuts_of, tasks=None) -> dict[int, dict]:
     """Hard assignment by order statistics at the given per-mille ranks."""
     ranks = {c: _cut_ranks(s["rows"], cuts_of) for c, s in stats.items()}
     found = order_statistics(counts, ranks)
@@ -280,7 +288,7 @@ def _cut_kernels(counts, stats, cuts_of) -> dict[int, dict]:
             "shift": s["mean"], "scale": scale, "cuts": cuts,
             "m": np.concatenate([edges, edges[-1:]]) if len(cuts) else np.zeros(1),
         }
-    return _centred(kernels, mode_sums(counts, kernels))
+    return _centred(kernels, mode_sums(counts, kernels, tasks))
 
 
 def _centred(kernels, sums):
@@ -291,11 +299,11 @@ def _centred(kernels, sums):
     return kernels
 
 
-def _lloyd(counts, kernels, rounds=300, tol=1e-4):
+def _lloyd(counts, kernels, tasks, rounds=300, tol=1e-4):
     """Move the cut points to the 1-D k-means solution next to them."""
     for _ in range(rounds):
         moved = 0.0
-        sums = mode_sums(counts, kernels)
+        sums = mode_sums(counts, kernels, tasks)
         for c, kernel in _centred(kernels, sums).items():
             n = sums[c]["n"]
             held = np.sort(kernel["m"][n > 0])
@@ -335,9 +343,10 @@ def fit_counts(
         raise ValueError(f"no usable value in column number {missing}")
 
     cuts = [round(1000 * i / n_components) for i in range(1, n_components)]
-    kernels = _cut_kernels(counts, stats, cuts)
+    tasks = counts.rdd.getNumPartitions()
+    kernels = _cut_kernels(counts, stats, cuts, tasks)
     if init == "kmeans":
-        kernels = _lloyd(counts, kernels)
+        kernels = _lloyd(counts, kernels, tasks)
 
     def settle(c, sums):
         scale = kernels[c]["scale"]
@@ -345,14 +354,14 @@ def fit_counts(
         prior = max(stats[c]["var"] / scale**2, floor)
         return _Posterior.update(sums, kernels[c]["m"], prior, floor, weight_prior)
 
-    state = {c: settle(c, sums) for c, sums in mode_sums(counts, kernels).items()}
+    state = {c: settle(c, sums) for c, sums in mode_sums(counts, kernels, tasks).items()}
     bounds: dict[int, list[float]] = {c: [] for c in state}
     converged: dict[int, int] = {}
     running = set(state)
     for iteration in range(1, max_iter + 1):
         for c in running:
             kernels[c] = state[c].kernel(kernels[c]["shift"], kernels[c]["scale"])
-        for c, sums in mode_sums(counts, {c: kernels[c] for c in running}).items():
+        for c, sums in mode_sums(counts, {c: kernels[c] for c in running}, tasks).items():
             state[c] = settle(c, sums)
             bounds[c].append(state[c].bound(sums, kernels[c]) / stats[c]["rows"])
             if len(bounds[c]) > 1 and abs(bounds[c][-1] - bounds[c][-2]) < tol:
@@ -364,7 +373,7 @@ def fit_counts(
     # A last pass under the final parameters gives mass and use of every mode.
     for c in state:
         kernels[c] = state[c].kernel(kernels[c]["shift"], kernels[c]["scale"])
-    final = mode_sums(counts, kernels)
+    final = mode_sums(counts, kernels, tasks)
     counts.unpersist()
     models = []
     for c in range(n_series):
@@ -422,9 +431,10 @@ def bucket_counts_models(
     missing = [c for c in range(n_series) if c not in stats]
     if missing:
         raise ValueError(f"no usable value in column number {missing}")
-    hard = _cut_kernels(counts, stats, cuts)
+    tasks = counts.rdd.getNumPartitions()
+    hard = _cut_kernels(counts, stats, cuts, tasks)
     shapes, soft = {}, {}
-    for c, sums in mode_sums(counts, hard).items():
+    for c, sums in mode_sums(counts, hard, tasks).items():
         n, kernel = sums["n"], hard[c]
         safe = np.maximum(n, 1)
         centre = kernel["m"] + sums["s1"] / safe
@@ -439,7 +449,7 @@ def bucket_counts_models(
             "shift": kernel["shift"], "scale": scale, "m": centre,
             "c": log_c + math.log(scale), "h": 0.5 / (std / scale) ** 2,
         }
-    final = mode_sums(counts, soft)
+    final = mode_sums(counts, soft, tasks)
     models = []
     for c in range(n_series):
         weight, mean, std, log_c = shapes[c]

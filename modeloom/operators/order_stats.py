@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,11 +52,11 @@ def order_statistics(
     ranged = materialise(
         counts.repartitionByRange("c", "x").select("c", "x", "w", F.spark_partition_id().alias("part"))
     )
-    # One total per partition and column, in value order.
-    totals = ranged.groupBy("c", "part").agg(F.sum("w").alias("rows")).orderBy("c", "part").collect()
+    # One total per partition and column; partition numbers follow value order.
+    totals = ranged.groupBy("c", "part").agg(F.sum("w").alias("rows")).collect()
     before: dict[int, int] = {}
     targets = []
-    for row in totals:
+    for row in sorted(totals, key=lambda r: (r["c"], r["part"])):
         start = before.get(row["c"], 0)
         for rank in sorted(set(ranks.get(row["c"], ()))):
             if start < rank <= start + row["rows"]:
@@ -63,14 +64,19 @@ def order_statistics(
         before[row["c"]] = start + row["rows"]
     if not targets:
         return {}
-    wanted = F.broadcast(
-        spark.createDataFrame(targets, "c int, part int, rank long, within long")
+    # An Arrow table becomes a local relation: no job to build the broadcast sides.
+    types = (pa.int32(), pa.int32(), pa.int64(), pa.int64())
+    wanted = spark.createDataFrame(
+        pa.table(
+            [pa.array(part, t) for part, t in zip(zip(*targets), types)],
+            names=["c", "part", "rank", "within"],
+        )
     )
     inside = Window.partitionBy("c", "part").orderBy("x")
     found = (
-        ranged.join(F.broadcast(wanted.select("c", "part").distinct()), ["c", "part"], "left_semi")
+        ranged.join(F.broadcast(wanted.select("c", "part")), ["c", "part"], "left_semi")
         .withColumn("upto", F.sum("w").over(inside))
-        .join(wanted, ["c", "part"])
+        .join(F.broadcast(wanted), ["c", "part"])
         .where((F.col("upto") >= F.col("within")) & (F.col("upto") - F.col("w") < F.col("within")))
         .select("c", "rank", "x")
         .collect()
