@@ -108,12 +108,40 @@ def models_from_table(params: DataFrame, eps: float = EPS) -> dict[str, MixtureM
     }
 
 
+def value_blocks(counts: DataFrame) -> DataFrame:
+    """A count table packed for repeated passes: (c, x, w) with the numbers as bytes.
+
+    A block is at most one Arrow batch of rows.  Handing over bytes spares the row by row
+    conversion that would otherwise be most of a pass.
+    """
+
+    def pack(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            columns, values, weights = (
+                batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)
+            )
+            present = np.unique(columns)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(present, pa.int32()),
+                    pa.array([values[columns == c].astype("<f8").tobytes() for c in present]),
+                    pa.array([weights[columns == c].astype("<f8").tobytes() for c in present]),
+                ],
+                names=["c", "x", "w"],
+            )
+
+    return counts.select("c", "x", "w").mapInArrow(pack, "c int, x binary, w binary")
+
+
 def mode_sums(
-    counts: DataFrame, kernels: Mapping[int, dict], tasks: int | None = None
+    blocks: DataFrame, kernels: Mapping[int, dict], tasks: int | None = None
 ) -> dict[int, dict[str, np.ndarray]]:
-    """One pass over the weighted values: per mode the count, centred first and second
+    """One pass over the packed values: per mode the count, centred first and second
     sums and the rows it wins, plus the summed log normaliser.  ``tasks`` is the number of
-    partitions of ``counts``, where known.
+    partitions of ``blocks``, where known.
 
     A kernel either assigns by cut points (``cuts``) or softly (``c``, ``h``, ``m``);
     sums are taken around ``m``, which keeps tight modes far from zero accurate.
@@ -126,18 +154,14 @@ def mode_sums(
 
         sums = {}
         for batch in batches:
-            columns, values, weights = (
-                batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)
-            )
-            for c in np.unique(columns):
-                kernel = kernels[int(c)]
-                rows = columns == c
-                z = (values[rows] - kernel["shift"]) / kernel["scale"]
-                w = weights[rows].astype(float)
+            for c, x, w in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                kernel = kernels[c]
+                x, w = np.frombuffer(x, "<f8"), np.frombuffer(w, "<f8")
+                z = (x - kernel["shift"]) / kernel["scale"]
                 centre = kernel["m"]
                 away = z[:, None] - centre
                 if "cuts" in kernel:
-                    winner = np.searchsorted(kernel["cuts"], values[rows], side="left")
+                    winner = np.searchsorted(kernel["cuts"], x, side="left")
                     share = np.zeros(away.shape)
                     share[np.arange(len(z)), winner] = 1.0
                     log_norm = 0.0
@@ -151,7 +175,7 @@ def mode_sums(
                     log_norm = float(w @ (top + np.log(norm)))
                 share *= w[:, None]
                 size = len(centre)
-                total = sums.setdefault(int(c), np.zeros((5, size)))
+                total = sums.setdefault(c, np.zeros((5, size)))
                 total[0] += share.sum(axis=0)
                 total[1] += (share * away).sum(axis=0)
                 total[2] += (share * away**2).sum(axis=0)
@@ -166,7 +190,7 @@ def mode_sums(
             )
 
     parts = ("n", "s1", "s2", "hits", "log_norm")
-    partial = counts.where(F.col("c").isin(*kernels)).select("c", "x", "w").mapInArrow(
+    partial = blocks.where(F.col("c").isin(*kernels)).mapInArrow(
         reduce_partition,
         "c int, k int, n double, s1 double, s2 double, hits double, log_norm double",
     )
@@ -189,7 +213,7 @@ def sufficient_statistics(df: DataFrame, column: str, model: MixtureModel) -> Da
         "shift": 0.0, "scale": 1.0, "m": np.array(model.mean),
         "c": np.array(model.log_c), "h": np.array(model.half_prec),
     }
-    sums = mode_sums(value_counts(df, [column]), {0: kernel})[0]
+    sums = mode_sums(value_blocks(value_counts(df, [column])), {0: kernel})[0]
     n, s1, s2 = sums["n"], sums["s1"], sums["s2"]
     m = kernel["m"]
     rows = zip(
@@ -275,7 +299,7 @@ def _cut_ranks(rows: int, cuts: Sequence[int]) -> list[int]:
     return [max(1, -(-rows * per_mille // 1000)) for per_mille in cuts]
 
 
-def _cut_kernels(counts, stats, cuts_of, tasks=None) -> dict[int, dict]:
+def _cut_kernels(counts, blocks, stats, cuts_of, tasks) -> dict[int, dict]:
     """Hard assignment by order statistics at the given per-mille ranks."""
     ranks = {c: _cut_ranks(s["rows"], cuts_of) for c, s in stats.items()}
     found = order_statistics(counts, ranks)
@@ -288,7 +312,7 @@ def _cut_kernels(counts, stats, cuts_of, tasks=None) -> dict[int, dict]:
             "shift": s["mean"], "scale": scale, "cuts": cuts,
             "m": np.concatenate([edges, edges[-1:]]) if len(cuts) else np.zeros(1),
         }
-    return _centred(kernels, mode_sums(counts, kernels, tasks))
+    return _centred(kernels, mode_sums(blocks, kernels, tasks))
 
 
 def _centred(kernels, sums):
@@ -299,11 +323,11 @@ def _centred(kernels, sums):
     return kernels
 
 
-def _lloyd(counts, kernels, tasks, rounds=300, tol=1e-4):
+def _lloyd(blocks, kernels, tasks, rounds=300, tol=1e-4):
     """Move the cut points to the 1-D k-means solution next to them."""
     for _ in range(rounds):
         moved = 0.0
-        sums = mode_sums(counts, kernels, tasks)
+        sums = mode_sums(blocks, kernels, tasks)
         for c, kernel in _centred(kernels, sums).items():
             n = sums[c]["n"]
             held = np.sort(kernel["m"][n > 0])
@@ -336,17 +360,17 @@ def fit_counts(
     """
     if init not in ("quantile", "kmeans"):
         raise ValueError(f"init must be 'quantile' or 'kmeans', not {init!r}")
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     stats = moments(counts)
     missing = [c for c in range(n_series) if c not in stats]
     if missing:
         raise ValueError(f"no usable value in column number {missing}")
 
     cuts = [round(1000 * i / n_components) for i in range(1, n_components)]
-    tasks = counts.rdd.getNumPartitions()
-    kernels = _cut_kernels(counts, stats, cuts, tasks)
+    blocks = value_blocks(counts).persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = blocks.rdd.getNumPartitions()
+    kernels = _cut_kernels(counts, blocks, stats, cuts, tasks)
     if init == "kmeans":
-        kernels = _lloyd(counts, kernels, tasks)
+        kernels = _lloyd(blocks, kernels, tasks)
 
     def settle(c, sums):
         scale = kernels[c]["scale"]
@@ -354,14 +378,14 @@ def fit_counts(
         prior = max(stats[c]["var"] / scale**2, floor)
         return _Posterior.update(sums, kernels[c]["m"], prior, floor, weight_prior)
 
-    state = {c: settle(c, sums) for c, sums in mode_sums(counts, kernels, tasks).items()}
+    state = {c: settle(c, sums) for c, sums in mode_sums(blocks, kernels, tasks).items()}
     bounds: dict[int, list[float]] = {c: [] for c in state}
     converged: dict[int, int] = {}
     running = set(state)
     for iteration in range(1, max_iter + 1):
         for c in running:
             kernels[c] = state[c].kernel(kernels[c]["shift"], kernels[c]["scale"])
-        for c, sums in mode_sums(counts, {c: kernels[c] for c in running}, tasks).items():
+        for c, sums in mode_sums(blocks, {c: kernels[c] for c in running}, tasks).items():
             state[c] = settle(c, sums)
             bounds[c].append(state[c].bound(sums, kernels[c]) / stats[c]["rows"])
             if len(bounds[c]) > 1 and abs(bounds[c][-1] - bounds[c][-2]) < tol:
@@ -373,8 +397,8 @@ def fit_counts(
     # A last pass under the final parameters gives mass and use of every mode.
     for c in state:
         kernels[c] = state[c].kernel(kernels[c]["shift"], kernels[c]["scale"])
-    final = mode_sums(counts, kernels, tasks)
-    counts.unpersist()
+    final = mode_sums(blocks, kernels, tasks)
+    blocks.unpersist()
     models = []
     for c in range(n_series):
         kernel, scale = kernels[c], kernels[c]["scale"]
@@ -431,10 +455,11 @@ def bucket_counts_models(
     missing = [c for c in range(n_series) if c not in stats]
     if missing:
         raise ValueError(f"no usable value in column number {missing}")
-    tasks = counts.rdd.getNumPartitions()
-    hard = _cut_kernels(counts, stats, cuts, tasks)
+    blocks = value_blocks(counts).persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = blocks.rdd.getNumPartitions()
+    hard = _cut_kernels(counts, blocks, stats, cuts, tasks)
     shapes, soft = {}, {}
-    for c, sums in mode_sums(counts, hard, tasks).items():
+    for c, sums in mode_sums(blocks, hard, tasks).items():
         n, kernel = sums["n"], hard[c]
         safe = np.maximum(n, 1)
         centre = kernel["m"] + sums["s1"] / safe
@@ -449,7 +474,8 @@ def bucket_counts_models(
             "shift": kernel["shift"], "scale": scale, "m": centre,
             "c": log_c + math.log(scale), "h": 0.5 / (std / scale) ** 2,
         }
-    final = mode_sums(counts, soft, tasks)
+    final = mode_sums(blocks, soft, tasks)
+    blocks.unpersist()
     models = []
     for c in range(n_series):
         weight, mean, std, log_c = shapes[c]
