@@ -31,7 +31,7 @@ from modeloom.operators.mixture import MixtureModel, model_table, sufficient_sta
 from modeloom.operators.table import TableEncoder, fit_numeric, fit_table
 from modeloom.plans.jobs import encode_chunks, encode_job, with_chunk
 from modeloom.plans.staging import staging_path
-from modeloom.sources import sinks, tables
+from modeloom.sources import tables
 from modeloom.streaming.encode_stream import encode_stream, read_parquet_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
