@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modeloom.llm import exact_dedup, mixing
+from modeloom.llm import embedding, exact_dedup, mixing, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,11 +16,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-equal vectors of one label."""
+    return embedding.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores, learnt from labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = quality.remainder(F.col("doc_id"), 5) == 0
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), learn=~held_out)
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from each document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -28,5 +48,8 @@ def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    plain = (op3_exact_dedup, op10_entropy_mixing)
+    plain = (
+        op1_curve_packing, op3_exact_dedup, op6_lattice_dedup, op7_compression_quality,
+        op10_entropy_mixing,
+    )
     return {query.__name__: query for query in plain}
