@@ -192,7 +192,7 @@ def _spread(rows: DataFrame, buckets: int) -> DataFrame:
         for dimension, packer in packers.items():
             yield from _tag(packer, dimension)
 
-    return rows.mapInArrow(work, Packer.schema(names) + ", dimension int")
+    return rows.mapInArrow(work, Packer(names).schema() + ", dimension int")
 
 
 def _tag(packer: Packer, dimension: int) -> Iterator[pa.RecordBatch]:

@@ -20,12 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modeloom.llm.flow import stage
-from modeloom.llm.text import bytes_of, slices, texts_of
+from modeloom.llm.text import bytes_of, lower, slices, texts_of
 
 PRIMES = (2147483647, 2147483629)
 BASES = (1_103_515_245, 1_299_709_021)
@@ -74,7 +73,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                raw, ends = bytes_of(pc.ascii_lower(texts_of(part.column("text"))))
+                raw, ends = bytes_of(lower(texts_of(part.column("text"))))
                 found, digests = [], []
                 for start, end in zip(ends[:-1], ends[1:], strict=True):
                     piece = raw[start:end]
@@ -139,7 +138,7 @@ def _chunks(rows: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = pc.ascii_lower(texts_of(part.column("text"))).cast(pa.large_binary())
+                texts = lower(texts_of(part.column("text"))).cast(pa.large_binary())
                 row, piece, body = [], [], []
                 for at, data in enumerate(texts.to_pylist()):
                     for number, start in enumerate(range(0, len(data), CHUNK_BYTES)):

@@ -32,10 +32,14 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 
 class Packer:
-    """Gathers parallel arrays by bucket; ``rows`` gives one record batch of packed rows."""
+    """Gathers parallel arrays by bucket; ``rows`` gives batches of packed rows.
 
-    def __init__(self, names: list[str], limit: int = FLUSH_BYTES):
-        self.names, self.limit = names, limit
+    Columns in ``runs`` mostly repeat from one entry to the next: a run is sent as one
+    value, with its length in the column ``<name>_n``.
+    """
+
+    def __init__(self, names: list[str], runs: tuple[str, ...] = (), limit: int = FLUSH_BYTES):
+        self.names, self.runs, self.limit = names, runs, limit
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
@@ -61,24 +65,36 @@ class Packer:
         for low in range(0, len(starts), 64):
             at = slice(low, low + 64)
             columns = [pa.array(bucket[starts[at]], pa.int32())]
-            for a in arrays:
-                columns.append(
-                    pa.array(
-                        [a[s:e].tobytes() for s, e in zip(starts[at], ends[at], strict=True)],
-                        pa.binary(),
-                    )
-                )
-            yield pa.RecordBatch.from_arrays(columns, names=["bucket", *self.names])
-
-    @staticmethod
-    def schema(names: list[str]) -> str:
-        return ", ".join(["bucket int", *(f"{n} binary" for n in names)])
+            names = ["bucket"]
+            for name, a in zip(self.names, arrays, strict=True):
+                cuts = [a[s:e] for s, e in zip(starts[at], ends[at], strict=True)]
+                if name in self.runs:
+                    first = [np.flatnonzero(np.r_[True, c[1:] != c[:-1]]) for c in cuts]
+                    sizes = [
+                        np.diff(np.r_[f, len(c)]).astype(np.uint32)
+                        for f, c in zip(first, cuts, strict=True)
+                    ]
+                    columns.append(pa.array([x.tobytes() for x in sizes], pa.binary()))
+                    names.append(f"{name}_n")
+                    cuts = [c[f] for f, c in zip(first, cuts, strict=True)]
+                columns.append(pa.array([x.tobytes() for x in cuts], pa.binary()))
+                names.append(name)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    def schema(self) -> str:
+        parts = ["bucket int"]
+        for name in self.names:
+            parts += [f"{name}_n binary"] * (name in self.runs) + [f"{name} binary"]
+        return ", ".join(parts)
 
 
 def unpack(table: pa.Table, name: str, dtype: str) -> np.ndarray:
     """One packed column of a group of rows as a single array."""
-    pieces = [np.frombuffer(x, dtype) for x in table.column(name).to_pylist()]
-    return np.concatenate(pieces) if pieces else np.zeros(0, dtype)
+    pieces = [np.frombuffer(x.as_buffer(), dtype) for x in table.column(name)]
+    whole = np.concatenate(pieces) if pieces else np.zeros(0, dtype)
+    if f"{name}_n" in table.column_names:
+        return np.repeat(whole, unpack(table, f"{name}_n", "<u4"))
+    return whole
 
 
 def by_bucket(packed: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:

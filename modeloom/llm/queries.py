@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modeloom.llm import embedding, exact_dedup, mixing, packing, quality
+from modeloom.llm import embedding, exact_dedup, mixing, ngram_join, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of similar shingle sets."""
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -49,7 +54,7 @@ def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     plain = (
-        op1_curve_packing, op3_exact_dedup, op6_lattice_dedup, op7_compression_quality,
+        op1_curve_packing, op2_ngram_join, op3_exact_dedup, op6_lattice_dedup, op7_compression_quality,
         op10_entropy_mixing,
     )
     return {query.__name__: query for query in plain}

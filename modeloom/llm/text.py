@@ -14,18 +14,36 @@ import xxhash
 
 # Text handled at once inside a task; longer texts are still taken whole.
 SLICE_BYTES = 8 << 20
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """The column as one large-string array; NULL becomes empty."""
+    """The column as one large-string array of its own offsets; NULL becomes empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
         if isinstance(column, pa.ChunkedArray):
             column = (
                 column.chunk(0) if column.num_chunks else pa.array([], type=pa.large_string())
             )
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    raw, offsets = bytes_of(column)
+    return _texts(raw[offsets[0] : offsets[-1]], offsets - offsets[0])
+
+
+def _texts(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.LargeStringArray.from_buffers(
+        len(offsets) - 1,
+        pa.py_buffer(np.ascontiguousarray(offsets, np.int64)),
+        pa.py_buffer(np.ascontiguousarray(raw)),
+    )
+
+
+def lower(texts: pa.Array) -> pa.Array:
+    """Texts with A-Z in lower case and all other characters as they are."""
+    raw, offsets = bytes_of(texts)
+    return _texts(LOWER[raw[offsets[0] : offsets[-1]]], offsets - offsets[0])
 
 
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
