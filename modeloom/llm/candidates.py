@@ -1,0 +1,148 @@
+"""From signatures to connected components, shared by the set-similarity operators.
+
+Nodes that share a signature form a group.  Every member is first compared with the
+group's smallest node; then, for groups that the links found so far leave in several
+components, members of different components are compared.  Members already connected need
+no comparison, so a group of copies costs one comparison each, and no link is lost.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from modeloom.llm.components import components
+from modeloom.llm.flow import stage
+from modeloom.llm.text import mix, owners
+
+FOUND = "kind byte, a long, b long"
+SKETCH_WORDS = 8
+
+
+def candidates(found: DataFrame) -> DataFrame:
+    """(node): every node that shares a signature with another."""
+    pairs = found.where("kind = 0")
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def parity_sketch(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Per set, whether each of 512 hash classes holds an odd number of its elements.
+
+    Two sketches never differ in more places than the sets differ in elements.
+    """
+    bits = 64 * SKETCH_WORDS
+    at = (mix(values, 9) % np.uint64(bits)).astype(np.int64)
+    count = np.bincount(owners(offsets) * bits + at, minlength=(len(offsets) - 1) * bits)
+    odd = np.packbits((count & 1).astype(np.uint8)).view(np.int64)
+    return pa.FixedSizeListArray.from_arrays(pa.array(odd), SKETCH_WORDS).cast(
+        pa.list_(pa.int64())
+    )
+
+
+def groups_of(node: np.ndarray, sign: np.ndarray) -> pa.Table:
+    """Candidate pairs (kind 0) and groups of three and more nodes (kind 1) of one bucket."""
+    if len(node) == 0:
+        return pa.table({"kind": pa.array([], pa.int8()), "a": pa.array([], pa.int64()),
+                         "b": pa.array([], pa.int64())})
+    order = np.lexsort((node, sign))
+    sign, node = sign[order], node[order]
+    new = np.r_[True, (sign[1:] != sign[:-1]) | (node[1:] != node[:-1])]
+    sign, node = sign[new], node[new]
+    starts = np.flatnonzero(np.r_[True, sign[1:] != sign[:-1]])
+    sizes = np.diff(np.r_[starts, len(sign)])
+    many = np.repeat(sizes > 1, sizes)
+    first = np.repeat(node[starts], sizes)
+    other = many & (node != first)
+    pairs = np.unique(np.stack([first[other], node[other]], axis=1), axis=0)
+    name = np.add.reduceat(mix(node, 11), starts) + sizes.astype(np.uint64)
+    _, chosen = np.unique(name, return_index=True)
+    chosen = chosen[sizes[chosen] > 2]
+    members = np.concatenate(
+        [np.arange(starts[g], starts[g] + sizes[g]) for g in chosen] or [np.zeros(0, np.int64)]
+    )
+    kind = np.r_[np.zeros(len(pairs), np.int8), np.ones(len(members), np.int8)]
+    left = np.r_[pairs[:, 0], np.repeat(name[chosen], sizes[chosen])]
+    right = np.r_[pairs[:, 1], node[members]]
+    return pa.table(
+        {
+            "kind": pa.array(kind, pa.int8()),
+            "a": pa.array(left.view(np.int64), pa.int64()),
+            "b": pa.array(right.view(np.int64), pa.int64()),
+        }
+    )
+
+
+def similar_sets(one: pa.Scalar, other: pa.Scalar) -> bool:
+    """Whether two sorted sets of 64-bit hashes reach Jaccard 0.8."""
+    x = np.frombuffer(one.as_buffer(), "<u8")
+    y = np.frombuffer(other.as_buffer(), "<u8")
+    if len(x) == 0 or len(y) == 0:
+        return False
+    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+    common = int((x[at] == y).sum())
+    return 100 * common >= 80 * (len(x) + len(y) - common)
+
+
+def verified(
+    pairs: DataFrame, sets: DataFrame, similar: Callable[[pa.Scalar, pa.Scalar], bool]
+) -> DataFrame:
+    """Pairs whose sets reach the similarity: by sketch first, then by whole sets."""
+    sketch = sets.select("node", "n", "sketch")
+
+    def side(name: str) -> DataFrame:
+        return sketch.select(
+            F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}")
+        )
+
+    apart = F.aggregate(
+        F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
+        F.lit(0).cast("long"),
+        lambda x, y: x + y,
+    )
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where(
+        (apart * 9 <= F.col("n_a") + F.col("n_b"))
+        & (F.col("n_a") * 5 >= F.col("n_b") * 4)
+        & (F.col("n_b") * 5 >= F.col("n_a") * 4)
+    )
+    near = near.select("a", "b")
+    whole = near.join(
+        sets.select(F.col("node").alias("b"), F.col("body").alias("other")), "b"
+    ).join(sets.select(F.col("node").alias("a"), F.col("body").alias("one")), "a")
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = zip(batch.column("one"), batch.column("other"), strict=True)
+            keep = [similar(one, other) for one, other in sides]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return whole.select("a", "b", "one", "other").mapInArrow(linked, "a long, b long")
+
+
+def closed_components(
+    found: DataFrame, sets: DataFrame, similar: Callable[[pa.Scalar, pa.Scalar], bool]
+) -> DataFrame:
+    """(node, component) under all links among nodes that share a signature.
+
+    ``found`` holds pairs and groups, ``sets`` (node, n, sketch, body) of every candidate.
+    """
+    pairs = found.where("kind = 0").select("a", "b").distinct()
+    links = stage(verified(pairs, sets, similar), "links")
+    groups = found.where("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("node"))
+    parts = components(links)
+    placed = groups.distinct().join(parts, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    several = placed.groupBy("g").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low <> high").select("g")
+    placed = stage(placed.join(several, "g", "left_semi"), "open")
+    left = placed.select("g", F.col("node").alias("a"), F.col("component").alias("ca"))
+    right = placed.select("g", F.col("node").alias("b"), F.col("component").alias("cb"))
+    crossing = left.join(right, "g").where("a < b and ca <> cb").select("a", "b").distinct()
+    crossing = crossing.join(pairs, ["a", "b"], "left_anti")
+    more = stage(verified(crossing, sets, similar), "links")
+    return stage(components(links.union(more)), "components")

@@ -36,7 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.llm.components import components
+from modeloom.llm.candidates import (
+    FOUND,
+    candidates,
+    closed_components,
+    groups_of,
+    parity_sketch,
+    similar_sets,
+)
 from modeloom.llm.flow import Packer, bucket_count, bucket_of, by_bucket, stage, unpack
 from modeloom.llm.text import (
     MULTIPLIER,
@@ -55,7 +62,6 @@ WIDTH = 5
 CELLS = 3
 # Seeds tried for sets with too many empty subsets before these are signed as well.
 SEEDS = 6
-SKETCH_WORDS = 8
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -194,37 +200,10 @@ def _signed(docs: DataFrame, width: int, buckets: int) -> DataFrame:
 
 
 def _groups(table: pa.Table) -> pa.Table:
-    """Candidate pairs (kind 0) and groups of three and more nodes (kind 1) of one bucket."""
-    node = unpack(table, "node", "<u8")
     sign = unpack(table, "low", "<u4") + (
         unpack(table, "high", "<u2").astype(np.uint64) << np.uint64(32)
     )
-    order = np.lexsort((node, sign))
-    sign, node = sign[order], node[order]
-    new = np.r_[True, (sign[1:] != sign[:-1]) | (node[1:] != node[:-1])]
-    sign, node = sign[new], node[new]
-    starts = np.flatnonzero(np.r_[True, sign[1:] != sign[:-1]])
-    sizes = np.diff(np.r_[starts, len(sign)])
-    many = np.repeat(sizes > 1, sizes)
-    first = np.repeat(node[starts], sizes)
-    other = many & (node != first)
-    pairs = np.unique(np.stack([first[other], node[other]], axis=1), axis=0)
-    name = np.add.reduceat(mix(node, 11), starts) + sizes.astype(np.uint64)
-    _, chosen = np.unique(name, return_index=True)
-    chosen = chosen[sizes[chosen] > 2]
-    members = np.concatenate(
-        [np.arange(starts[g], starts[g] + sizes[g]) for g in chosen] or [np.zeros(0, np.int64)]
-    )
-    kind = np.r_[np.zeros(len(pairs), np.int8), np.ones(len(members), np.int8)]
-    left = np.r_[pairs[:, 0], np.repeat(name[chosen], sizes[chosen])]
-    right = np.r_[pairs[:, 1], node[members]]
-    return pa.table(
-        {
-            "kind": pa.array(kind, pa.int8()),
-            "a": pa.array(left.view(np.int64), pa.int64()),
-            "b": pa.array(right.view(np.int64), pa.int64()),
-        }
-    )
+    return groups_of(unpack(table, "node", "<u8"), sign)
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -234,20 +213,11 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 values, offsets = shingle_sets(texts_of(part.column("text")), width)
-                owner = owners(offsets)
-                bit = (mix(values, 9) % np.uint64(64 * SKETCH_WORDS)).astype(np.int64)
-                count = np.bincount(
-                    owner * 64 * SKETCH_WORDS + bit,
-                    minlength=(len(offsets) - 1) * 64 * SKETCH_WORDS,
-                )
-                odd = np.packbits((count & 1).astype(np.uint8)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(nodes_of(values, offsets).view(np.int64), pa.int64()),
                         pa.array(np.diff(offsets), pa.int64()),
-                        pa.FixedSizeListArray.from_arrays(pa.array(odd), SKETCH_WORDS).cast(
-                            pa.list_(pa.int64())
-                        ),
+                        parity_sketch(values, offsets),
                         pa.array(
                             [
                                 values[s:e].tobytes()
@@ -256,50 +226,12 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                             pa.binary(),
                         ),
                     ],
-                    names=["node", "n", "sketch", "shingles"],
+                    names=["node", "n", "sketch", "body"],
                 )
 
     return docs.select("text").mapInArrow(
-        work, "node long, n long, sketch array<long>, shingles binary"
-    )
-
-
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for one, other in zip(batch.column("one"), batch.column("other"), strict=True):
-            x = np.frombuffer(one.as_buffer(), "<u8")
-            y = np.frombuffer(other.as_buffer(), "<u8")
-            at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-            common = int((x[at] == y).sum())
-            keep.append(100 * common >= 80 * (len(x) + len(y) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose sets reach the similarity: by sketch first, then by whole sets."""
-    sketch = sets.select("node", "n", "sketch")
-
-    def side(name: str) -> DataFrame:
-        return sketch.select(
-            F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}")
-        )
-
-    apart = F.aggregate(
-        F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
-        F.lit(0).cast("long"),
-        lambda x, y: x + y,
-    )
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        (apart * 9 <= F.col("n_a") + F.col("n_b"))
-        & (F.col("n_a") * 5 >= F.col("n_b") * 4)
-        & (F.col("n_b") * 5 >= F.col("n_a") * 4)
+        work, "node long, n long, sketch array<long>, body binary"
     )
-    near = near.select("a", "b")
-    whole = near.join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b"
-    ).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("one")), "a")
-    return whole.select("a", "b", "one", "other").mapInArrow(_linked, "a long, b long")
 
 
 def ngram_components(
@@ -310,32 +242,16 @@ def ngram_components(
     marks = stage(_marks(rows, width), "marks")
     buckets = bucket_count(docs.sparkSession)
     found = stage(
-        by_bucket(_signed(rows, width, buckets), _groups, "kind byte, a long, b long"), "groups"
+        by_bucket(_signed(rows, width, buckets), _groups, FOUND), "groups"
     )
-    pairs = found.where("kind = 0").select("a", "b").distinct()
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = candidates(found)
     # one row for each wanted set; only their texts are read into sets
     carrier = marks.join(wanted, "node", "left_semi").groupBy("node").agg(
         F.min("doc_id").alias("doc_id")
     )
     texts = rows.join(carrier.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = stage(_sets(texts, width).dropDuplicates(["node"]), "sets")
-    links = stage(_verified(pairs, sets), "links")
-    groups = found.where("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("node"))
-    parts = components(links)
-    placed = groups.distinct().join(parts, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    open_groups = placed.groupBy("g").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low <> high").select("g")
-    placed = stage(placed.join(open_groups, "g", "left_semi"), "open")
-    left = placed.select("g", F.col("node").alias("a"), F.col("component").alias("ca"))
-    right = placed.select("g", F.col("node").alias("b"), F.col("component").alias("cb"))
-    crossing = left.join(right, "g").where("a < b and ca <> cb").select("a", "b").distinct()
-    crossing = crossing.join(pairs, ["a", "b"], "left_anti")
-    more = stage(_verified(crossing, sets), "links")
-    parts = stage(components(links.union(more)), "components")
+    parts = closed_components(found, sets, similar_sets)
     joined = marks.join(parts, "node", "left").withColumn(
         "component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node"))
     )

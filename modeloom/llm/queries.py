@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modeloom.llm import embedding, exact_dedup, mixing, ngram_join, packing, quality
+from modeloom.llm import (
+    embedding,
+    exact_dedup,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +40,17 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without lines that resemble an earlier one."""
+    lean = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return lean.select(
+        "doc_id",
+        F.col("_lines").alias("n_lines"),
+        F.col("_gone").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op6_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-equal vectors of one label."""
     return embedding.near_vectors(table(spark, sf_dir, "embeddings"))
@@ -54,7 +73,8 @@ def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     plain = (
-        op1_curve_packing, op2_ngram_join, op3_exact_dedup, op6_lattice_dedup, op7_compression_quality,
+        op1_curve_packing, op2_ngram_join, op3_exact_dedup, op4_line_dedup,
+        op6_lattice_dedup, op7_compression_quality,
         op10_entropy_mixing,
     )
     return {query.__name__: query for query in plain}
