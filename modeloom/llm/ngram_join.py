@@ -74,9 +74,9 @@ def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.nd
     if len(short):
         whole = np.zeros(len(short), np.uint64)
         for at, doc in enumerate(short):
-            value = np.uint64(counts[doc])
-            for word in hashes[offsets[doc] : offsets[doc + 1]]:
-                value = value * MULTIPLIER + word
+            value = int(counts[doc])
+            for word in hashes[offsets[doc] : offsets[doc + 1]].tolist():
+                value = (value * int(MULTIPLIER) + word) & 0xFFFFFFFFFFFFFFFF
             whole[at] = value
         owner = np.r_[owner, short]
         found = np.r_[found, mix(whole, 5)]

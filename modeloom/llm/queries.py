@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from modeloom.llm import (
     embedding,
     exact_dedup,
+    katz,
     line_dedup,
     mixing,
     ngram_join,
@@ -65,6 +66,11 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of all texts, learnt outside the held-out tenth."""
+    return katz.katz_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from each document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -75,6 +81,6 @@ def queries() -> dict[str, Query]:
     plain = (
         op1_curve_packing, op2_ngram_join, op3_exact_dedup, op4_line_dedup,
         op6_lattice_dedup, op7_compression_quality,
-        op10_entropy_mixing,
+        op8_katz_backoff, op10_entropy_mixing,
     )
     return {query.__name__: query for query in plain}
