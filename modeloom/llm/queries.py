@@ -15,6 +15,7 @@ from modeloom.llm import (
     mixing,
     ngram_join,
     packing,
+    phrases,
     quality,
 )
 
@@ -71,6 +72,12 @@ def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.katz_scores(table(spark, sf_dir, "documents"))
 
 
+def op9_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without passages that a document of smaller id holds."""
+    results, _ = phrases.repeated_phrases(table(spark, sf_dir, "documents"))
+    return results
+
+
 def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from each document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -81,6 +88,6 @@ def queries() -> dict[str, Query]:
     plain = (
         op1_curve_packing, op2_ngram_join, op3_exact_dedup, op4_line_dedup,
         op6_lattice_dedup, op7_compression_quality,
-        op8_katz_backoff, op10_entropy_mixing,
+        op8_katz_backoff, op9_phrase_dedup, op10_entropy_mixing,
     )
     return {query.__name__: query for query in plain}
