@@ -19,8 +19,12 @@ documents of their own.  An empty table gives an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+import re
+from collections.abc import Iterator
+from itertools import islice
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modeloom.llm.flow import running_total
@@ -33,10 +37,11 @@ TOLERANCE = 1e-12
 
 
 def sized(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
-    """doc_id, source and the number of words."""
+    """doc_id, a hash of the text, source and the number of words."""
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     return docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
+        F.xxhash64(F.col(text)).alias("body"),
         F.col(source).cast("string").alias("source"),
         words.alias("size"),
     )
@@ -194,6 +199,7 @@ def mix(
     )
     rated = sizes.join(table, F.col("source").eqNullSafe(F.col("_s")), "left").select(
         "doc_id",
+        "body",
         "source",
         "size",
         F.coalesce("source_size", F.lit(0)).alias("source_size"),
@@ -201,3 +207,60 @@ def mix(
         F.coalesce("rate", F.lit(0.0)).alias("rate"),
     )
     return rounded(rated, repeats)
+
+
+def _first_words(text: str, n: int) -> str:
+    """``text`` up to the end of its n-th word."""
+    end = next((m.end() for m in islice(re.finditer(WORD, text), n - 1, n)), len(text))
+    return text[:end]
+
+
+def take_copies(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as it has whole copies, and where a
+    part of a copy is taken, once more with the text up to that word.
+
+    Rows that are equal in id and text take turns.  All columns are kept.
+    """
+    columns = docs.columns
+    taken = mix(docs, doc_id=doc_id, text=text, source=source)
+    turns = Window.partitionBy("_id", "_body").orderBy("_order")
+    taken = taken.select(
+        F.col("doc_id").alias("_id"), F.col("body").alias("_body"),
+        F.col("size").alias("_size"), F.col("taken").alias("_taken"), F.col("taken").alias("_order"),
+    ).withColumn("_turn", F.row_number().over(turns))
+    keyed = docs.select(
+        *(F.col(f"`{c}`") for c in columns),
+        F.col(doc_id).cast("long").alias("_id"),
+        F.xxhash64(F.col(text)).alias("_body"),
+        F.lit(0).alias("_order"),
+    ).withColumn("_turn", F.row_number().over(turns))
+    other = taken.select(*(F.col(c).alias(f"{c}2") for c in ("_id", "_body", "_turn", "_size", "_taken")))
+    same = (
+        F.col("_id").eqNullSafe(F.col("_id2"))
+        & (F.col("_body") == F.col("_body2"))
+        & (F.col("_turn") == F.col("_turn2"))
+    )
+    rows = keyed.join(other.where("_taken2 > 0"), same).select(
+        *(F.col(f"`{c}`") for c in columns), "_size2", "_taken2"
+    )
+    at = columns.index(text)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column("_size2").to_pylist()
+            taken = batch.column("_taken2").to_pylist()
+            base = batch.select(range(len(columns)))
+            rows = [i for i, (s, t) in enumerate(zip(size, taken, strict=True)) for _ in range(t // s)]
+            yield base.take(pa.array(rows, pa.int64()))
+            cut = [i for i, (s, t) in enumerate(zip(size, taken, strict=True)) if t % s]
+            part = base.take(pa.array(cut, pa.int64()))
+            texts = [
+                _first_words(x, taken[i] % size[i])
+                for i, x in zip(cut, part.column(at).to_pylist(), strict=True)
+            ]
+            field = part.schema.field(at)
+            yield part.set_column(at, field, pa.array(texts, field.type))
+
+    return rows.mapInArrow(spread, docs.schema)

@@ -14,10 +14,13 @@ from modeloom.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    order,
     packing,
     phrases,
     quality,
 )
+from modeloom.llm.flow import stage
+from modeloom.plans.staging import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +56,19 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slot of every sequence, read back from the written shards."""
+    rows = order.sequences(table(spark, sf_dir, "documents"))
+    rows = stage(rows, "sequences")
+    path = staging_path(spark, "shards")
+    order.write_shards(rows, path)
+    total = rows.count()
+    read = order.read_slots(spark, path, 0, total).select(
+        "slot", F.crc32("ids").alias("ids_crc32")
+    )
+    return rows.drop("ids").join(read, "slot")
+
+
 def op6_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-equal vectors of one label."""
     return embedding.near_vectors(table(spark, sf_dir, "embeddings"))
@@ -86,7 +102,7 @@ def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     plain = (
-        op1_curve_packing, op2_ngram_join, op3_exact_dedup, op4_line_dedup,
+        op1_curve_packing, op2_ngram_join, op3_exact_dedup, op4_line_dedup, op5_training_order,
         op6_lattice_dedup, op7_compression_quality,
         op8_katz_backoff, op9_phrase_dedup, op10_entropy_mixing,
     )
