@@ -1,14 +1,63 @@
-"""The corpus pipeline: documents through several operators, each stage stored and reread."""
+"""The corpus pipeline: documents through five operators, each stage stored and reread."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from modeloom.llm import line_dedup, mixing, ngram_join, packing, quality
 from modeloom.llm.flow import stage
 
-STAGES = []
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = quality.remainder(F.col("doc_id"), 5) == 0
+    return quality.keep_good(docs, quality.fit(docs, labels, learn=~held_out))
+
+
+def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that resemble an earlier one; n_chars follows the text."""
+    lean = line_dedup.dedup_lines(docs)
+    changed = F.when(F.col("_gone") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return lean.withColumn("n_chars", changed.cast("long")).select(*docs.columns)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones: that of the smallest id."""
+    parts = ngram_join.ngram_components(docs)
+    gone = parts.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone.distinct(), docs["doc_id"] == F.col("_gone"), "left_anti")
+
+
+def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; the part of a copy that meets a source's
+    target exactly is cut by whole words."""
+    copies = mixing.take_copies(docs)
+    return copies.withColumn(
+        "n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")
+    ).select(*docs.columns)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of packed token sequences."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality),
+    ("lines", distinct_lines),
+    ("ngrams", distinct_documents),
+    ("mixing", target_mix),
+    ("packing", packed_sequences),
+]
 
-# Fitted scores, hashed candidates and packing positions are not expressible in SQL.
+# Compression scores, MinHash and tokens cannot be written in SQL; tests compare the stages
+# with brute force.
 ORACLE_SQL = None
 
 
