@@ -35,8 +35,9 @@ def clip(sql: str, bound: str = "0.99") -> str:
     return f"greatest(-{bound}::DOUBLE, least({bound}::DOUBLE, {sql}))"
 
 
-def uniform(key: str, seed: int = SEED) -> str:
-    text = f"md5(concat_ws(':', {key}::VARCHAR, '{seed}'))"
+def uniform(key: str, seed: int = SEED, purpose: str = "draw") -> str:
+    part = f"coalesce(length({key}::VARCHAR)::VARCHAR || ':' || {key}::VARCHAR, '-')"
+    text = f"md5(concat_ws('|', '{purpose}', '{seed}', {part}))"
     return f"(('0x' || substr({text}, 1, 8))::UBIGINT)::DOUBLE / 4294967296.0::DOUBLE"
 
 
@@ -245,7 +246,7 @@ def synth_sql(pieces) -> str:
         [
             knots(),
             f"ids AS (SELECT r.range AS id FROM range((SELECT (n * {SYNTH_FACTOR})::BIGINT FROM pr)) r)",
-            f"us AS (SELECT id, {uniform('id')} AS u FROM ids)",
+            f"us AS (SELECT id, {uniform('id', purpose='synth')} AS u FROM ids)",
         ],
         f"SELECT id, {r6(piecewise(pieces))} AS amount FROM us, pr",
     )
@@ -298,7 +299,29 @@ def oracle_sql() -> dict[str, str]:
     sql["first_chunk"] = f"SELECT event_id, value FROM events ORDER BY event_id LIMIT {FIRST_ROWS}"
     sql["fit_sample"] = (
         f"SELECT event_id, value FROM events, (SELECT count(*) AS n FROM events) c"
-        f" WHERE {uniform('event_id')} < least(1.0::DOUBLE, {FIT_TARGET}.0::DOUBLE / c.n)"
+        f" WHERE {uniform('event_id', purpose='sample')} < least(1.0::DOUBLE, {FIT_TARGET}.0::DOUBLE / c.n)"
+    )
+    sql["chunk_filter_query"] = (
+        "SELECT CASE WHEN id < 0 THEN -2 ELSE 1 END::BIGINT AS chunk, count(*) AS rows, min(id) AS first_id,"
+        f" max(id) AS last_id, {r6('sum(value)', 4)} AS total"
+        " FROM (SELECT (event_id - 5000) * 9007199254741 AS id, event_id - 5000 AS n, value FROM events)"
+        " WHERE n BETWEEN -2000 AND -1001 OR n BETWEEN 1000 AND 1999 GROUP BY 1"
+    )
+    sql["table_scan_sink"] = "SELECT o_orderkey, o_totalprice FROM orders"
+    sql["merge_stage_tables"] = 'SELECT o_orderkey, o_orderstatus, 0 AS "left" FROM orders'
+    sql["generate_count"] = (
+        f"SELECT run::INTEGER AS run, n * {SYNTH_FACTOR} - run AS expected, n * {SYNTH_FACTOR} AS written"
+        " FROM (SELECT count(*) AS n FROM events WHERE value IS NOT NULL), (SELECT unnest([0, 1]) AS run)"
+    )
+    sql["encode_job_report"] = (
+        f"WITH d AS (SELECT {DIRTY_SQL_DUCKDB} AS v, event_type FROM events)"
+        " SELECT 'dirty_value' AS col, true AS present, count(*) AS rows, count(*) FILTER (WHERE v IS NULL) AS nulls,"
+        " count(*) FILTER (WHERE isnan(v)) AS nans, 0::BIGINT AS empties FROM d"
+        " UNION ALL SELECT 'event_type', true, count(*), count(*) FILTER (WHERE event_type IS NULL), 0, count(*) FILTER (WHERE event_type = '') FROM d"
+    )
+    sql["encode_keys"] = with_(
+        dictionary("a", "SELECT l_partkey::VARCHAR AS label FROM lineitem"),
+        "SELECT label::BIGINT AS l_partkey, idx, 1::BIGINT AS slots, cnt AS same FROM a_dict",
     )
     sql["mixed_split"] = (
         f"SELECT CASE WHEN x = 0 THEN 'zero' WHEN x = {MISSING} THEN 'missing' ELSE 'ordinary' END AS part,"
@@ -353,6 +376,11 @@ def oracle_sql() -> dict[str, str]:
         [*EV, *choice("m")],
         f"SELECT id AS event_id, k AS mode, {r6(uniform('id'), 9)} AS uniform FROM m_pick",
     )
+    sql["encode_sampled"] = with_(
+        [*EV, *choice("m")],
+        f"SELECT id AS event_id, k AS mode, {r6(uniform('id'), 9)} AS uniform FROM m_pick"
+        f" WHERE {uniform('id', purpose='sample')} < 0.25::DOUBLE",
+    )
     sql["modes_used"] = with_(EV, "SELECT k, hits::BIGINT AS hits FROM m_params WHERE hits > 0")
     sql["mode_mass"] = with_(EV, f"SELECT k, {r6('mass')} AS mass FROM m_params")
     sql["mode_order"] = with_(EV, f"SELECT k, {r6('mass')} AS mass, rank FROM m_params WHERE active")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,9 +30,9 @@ from modeloom.operators.dictionary import category_dictionary
 from modeloom.operators.encode import modal_values
 from modeloom.operators.mixture import MixtureModel, model_table, sufficient_statistics
 from modeloom.operators.table import TableEncoder, fit_numeric, fit_table
-from modeloom.plans.jobs import encode_chunks, encode_job, with_chunk
+from modeloom.plans.jobs import chunk_filter, encode_chunks, encode_job, ensure_rows, with_chunk
 from modeloom.plans.staging import staging_path
-from modeloom.sources import tables
+from modeloom.sources import sinks, tables
 from modeloom.streaming.encode_stream import encode_stream, read_parquet_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables.read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
+def stage_rows(df: DataFrame, name: str) -> DataFrame:
+    """Rows kept in the shared folder, for sources that are about to go."""
+    path = staging_path(df.sparkSession, name)
+    sinks.write_parquet(df, path)
+    return tables.read_parquet(df.sparkSession, path)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row key, value and the columns derived from them; unused ones are pruned."""
     return table(spark, sf_dir, "events").select(
@@ -139,6 +147,50 @@ def table_sample(spark, sf_dir):
     return sampling.block_sample(events(spark, sf_dir).select("event_id", "value"), 10, SEED)
 
 
+def chunk_filter_query(spark, sf_dir):
+    """Two range chunks, read by their id bounds, with ids far past 2^53 and below 0."""
+    rows = events(spark, sf_dir).select(
+        ((F.col("event_id") - 5000) * F.lit(9_007_199_254_741)).alias("event_id"), "value"
+    )
+    size = 1000 * 9_007_199_254_741
+    chosen = chunk_filter(rows, "event_id", [-2, 1], size)
+    return _chunk_sums(with_chunk(chosen, "event_id", chunk_rows=size))
+
+
+def table_scan_sink(spark, sf_dir):
+    """Write a catalog table and scan it back."""
+    name = f"orders_{uuid.uuid4().hex}"
+    sinks.write_table(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), name)
+    stored = tables.read_table(spark, name).select("o_orderkey", "o_totalprice")
+    kept = stage_rows(stored, "scanned")
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
+def merge_stage_tables(spark, sf_dir):
+    """Two staged catalog tables merged into one and dropped."""
+    names = [f"part_{uuid.uuid4().hex}" for _ in range(3)]
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for i, name in enumerate(names[:2]):
+        sinks.write_table(rows.where(F.col("o_orderkey") % 2 == i), name)
+    sinks.merge_stages(spark, names[:2], names[2])
+    left = [n for n in names[:2] if spark.catalog.tableExists(n)]
+    merged = stage_rows(tables.read_table(spark, names[2]), "merged")
+    spark.sql(f"DROP TABLE {names[2]}")
+    return merged.select("o_orderkey", "o_orderstatus", F.lit(len(left)).alias("left"))
+
+
+def generate_count(spark, sf_dir):
+    """Rows asked for and rows written, before and after the data is there."""
+    profile = ml.column_profile(events(spark, sf_dir), ["value"]).first().asDict()
+    path, rows = staging_path(spark, "generated"), profile["rows"] * SYNTH_FACTOR
+    counts = [ensure_rows(spark, path, n, profile, seed=SEED) for n in (rows, rows - 1)]
+    return spark.createDataFrame(
+        [(i, c["expected"], c["written"]) for i, c in enumerate(counts)],
+        "run int, expected long, written long",
+    )
+
+
 def mixed_split(spark, sf_dir):
     x = F.col("mixed_value")
     part = F.when(~x.isin(*MODAL), "ordinary").when(x == 0, "zero").otherwise("missing")
@@ -558,16 +610,47 @@ def synth_range(spark, sf_dir):
 def encode_events(spark, sf_dir):
     """Read, validate, fit on all rows, encode."""
     rows = events(spark, sf_dir).select("event_id", "value")
-    _, encoded = encode_job(
+    _, encoded, _ = encode_job(
         rows, {"value": ml.Continuous()}, key=["event_id"], seed=SEED,
         max_iter=ITERATIONS, tol=0, init="quantile",
     )
     return short_form(encoded, "event_id", F.col("overflow.value"))
 
 
+def encode_job_report(spark, sf_dir):
+    """The bad values that a job counts on its way."""
+    rows = events(spark, sf_dir).select("event_id", "dirty_value", "event_type")
+    spec = {"dirty_value": ml.Continuous(), "event_type": ml.Categorical()}
+    _, _, report = encode_job(
+        rows, spec, key=["event_id"], seed=SEED, method="buckets", cuts=TAIL_CUTS
+    )
+    return report
+
+
+def encode_sampled(spark, sf_dir):
+    """Modes drawn on a hash sample: sample and draw do not share their uniforms."""
+    rows = events(spark, sf_dir).select("event_id", "value")
+    some = sampling.hash_sample(rows, 0.25, ["event_id"], SEED)
+    return modes.drawn(some, "value", model_of(rows, "value"), ["event_id"], SEED).select(
+        "event_id", "mode", r6("uniform", 9).alias("uniform")
+    )
+
+
+def encode_keys(spark, sf_dir):
+    """A column of many labels, stored by index, and decoded."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    encoder = fit_table(rows, {"l_partkey": ml.Categorical()}, key=["l_orderkey"], categories="index")
+    decoded = encoder.decode(encoder.encode(rows))
+    return decoded.groupBy("l_partkey").agg(
+        F.min(item(F.col("encoded"), 0)).cast("long").alias("idx"),
+        F.max(F.size("encoded")).cast("long").alias("slots"),
+        F.count_if(F.col("decoded_l_partkey") == F.col("l_partkey")).alias("same"),
+    )
+
+
 def encode_orders(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    _, encoded = encode_job(
+    _, encoded, _ = encode_job(
         rows, {"o_totalprice": ml.Continuous()}, key=["o_orderkey"], seed=SEED,
         method="buckets", cuts=TAIL_CUTS,
     )
@@ -597,7 +680,7 @@ def merge_chunks(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "value")
     encoder, path = _value_encoder(rows), staging_path(spark, "merge")
     encode_chunks(
-        rows, encoder, path, id_column="event_id", n_chunks=N_CHUNKS, files_per_chunk=1
+        rows, encoder, path, id_column="event_id", n_chunks=N_CHUNKS
     )
     merged = tables.read_partitioned(spark, path, "chunk=*")
     return merged.groupBy(F.col("chunk").cast("long").alias("chunk")).agg(
@@ -630,6 +713,8 @@ def queries() -> dict[str, Query]:
         encode_hard_argmax, encode_extreme, encode_dirty, encode_mixed, encode_mixed_reversed,
         modal_norm, encode_table, decode_continuous, decode_scores, decode_soft_masked,
         decode_mixed, decode_table, encoding_stats, roundtrip_report, roundtrip_clipped,
+        chunk_filter_query, table_scan_sink, merge_stage_tables, generate_count,
+        encode_job_report, encode_sampled, encode_keys,
         synth_amount, synth_bracket, synth_range, encode_events, encode_orders, merge_chunks,
     )
     return {

@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 
 from modeloom.plans.staging import materialise
 
-# The most frequent labels, bounded in number and width, are broadcast; all others
-# are joined by shuffle.  A label past this many is in a small share of the rows.
-HOT_LABELS = 100_000
-HOT_LABEL_BYTES = 256
-
 LABEL_SCHEMA = "col string, idx long, label string, cnt long"
 
 
@@ -25,7 +20,6 @@ class Dictionary:
     table: DataFrame
     sizes: Mapping[str, int]
     types: Mapping[str, str]
-    widest: Mapping[str, int]  # bytes of the longest label
 
     def of(self, column: str) -> DataFrame:
         return self.table.where(F.col("col") == F.lit(column))
@@ -77,42 +71,21 @@ def category_dictionary(df: DataFrame, columns: Sequence[str]) -> Dictionary:
 
 
 def measured(table: DataFrame, columns: Sequence[str], types: Mapping[str, str]) -> Dictionary:
-    """A dictionary with the sizes that decide how it may be joined."""
-    rows = (
-        table.groupBy("col")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("label")).alias("widest"))
-        .collect()
-    )
+    """A dictionary with its number of labels per column."""
+    rows = table.groupBy("col").agg(F.count(F.lit(1)).alias("n")).collect()
     sizes = {r["col"]: r["n"] for r in rows}
-    widest = {r["col"]: r["widest"] for r in rows}
-    return Dictionary(
-        table,
-        {c: sizes.get(c, 0) for c in columns},
-        dict(types),
-        {c: widest.get(c, 0) for c in columns},
-    )
+    return Dictionary(table, {c: sizes.get(c, 0) for c in columns}, dict(types))
 
 
-def _lookup(
-    df: DataFrame, on: str, pairs: DataFrame, dictionary: Dictionary, column: str, out: str
-) -> DataFrame:
-    """Left join ``df.on`` with ``pairs`` (key, val, idx, bytes).
+def _lookup(df: DataFrame, on: str, pairs: DataFrame, out: str) -> DataFrame:
+    """Left join ``df.on`` with ``pairs`` (key, val).
 
-    The broadcast side is bounded in rows and in bytes per label.  What it does not
-    resolve takes a shuffle join; no label in there can dominate, since at least
-    HOT_LABELS labels are as frequent, except over-long ones, which adaptive execution
-    splits.
+    One join and no hint: the engine broadcasts the dictionary where its statistics show
+    that it is small, and otherwise shuffles, splitting partitions that a frequent label,
+    known or new, makes large.
     """
-    small = (F.col("idx") < F.lit(HOT_LABELS)) & (F.col("bytes") <= F.lit(HOT_LABEL_BYTES))
-    hot = pairs.where(small).select(F.col("key").alias("__key"), F.col("val").alias(out))
-    found = df.join(F.broadcast(hot), df[on] == F.col("__key"), "left")
-    if dictionary.sizes[column] <= HOT_LABELS and dictionary.widest[column] <= HOT_LABEL_BYTES:
-        return found.drop("__key")
-    missed = F.col("__key").isNull() & F.col(on).isNotNull()
-    rest = found.where(missed).drop("__key", out)
-    cold = pairs.where(~small).select(F.col("key").alias("__key"), F.col("val").alias(out))
-    slow = rest.join(cold, rest[on] == F.col("__key"), "left").drop("__key")
-    return found.where(~missed).drop("__key").unionByName(slow)
+    side = pairs.select(F.col("key").alias("__key"), F.col("val").alias(out))
+    return df.join(side, df[on] == F.col("__key"), "left").drop("__key")
 
 
 def index_labels(
@@ -132,12 +105,11 @@ def index_labels(
         raise ValueError(f"unknown must be 'error', 'keep' or 'skip', not {unknown!r}")
     text = f"__text_{out}"
     pairs = dictionary.of(column).select(
-        F.col("label").alias("key"), F.col("idx").alias("val"), "idx",
-        F.octet_length("label").alias("bytes"),
-    )
+        F.col("label").alias("key"), F.col("idx").alias("val")
+    )
     size = dictionary.sizes[column]
     keyed = df.withColumn(text, F.col(column).cast("string"))
-    found = _lookup(keyed, text, pairs, dictionary, column, out)
+    found = _lookup(keyed, text, pairs, out)
     strange = F.col(out).isNull() & F.col(text).isNotNull()
     if unknown == "keep":
         found = found.withColumn(out, F.when(strange, F.lit(size)).otherwise(F.col(out)))
@@ -157,11 +129,10 @@ def labels_of(
     """Append the label of a dictionary index, in the column's own type."""
     place = f"__place_{out}"
     pairs = dictionary.of(column).select(
-        F.col("idx").alias("key"), F.col("label").alias("val"), "idx",
-        F.octet_length("label").alias("bytes"),
-    )
+        F.col("idx").alias("key"), F.col("label").alias("val")
+    )
     source = F.col(index) if isinstance(index, str) else index
     text = f"__label_{out}"
     keyed = df.withColumn(place, source.cast("long"))
-    found = _lookup(keyed, place, pairs, dictionary, column, text)
+    found = _lookup(keyed, place, pairs, text)
     return found.select(*df.columns, F.col(text).cast(dictionary.types[column]).alias(out))

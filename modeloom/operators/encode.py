@@ -244,11 +244,14 @@ def encode_mixed(
 
 
 def categorical_block(
-    df: DataFrame, column: str, dictionary: Dictionary, tag: str, unknown: str = "error"
-) -> tuple[DataFrame, Column, Column, int]:
+    df: DataFrame, column: str, dictionary: Dictionary, tag: str, unknown: str = "error",
+    labels: str = "dense",
+) -> tuple[DataFrame, Column, Column, int]:
     df = index_labels(df, column, dictionary, unknown=unknown, out=f"{tag}i")
     width = dictionary.sizes[column] + (1 if unknown == "keep" else 0)
     index = F.col(f"{tag}i")
+    if labels == "index":
+        return df, F.array(index.cast("double")), index.isNotNull(), 1
     return df, one_hot(index, width), index.isNotNull(), width
 
 

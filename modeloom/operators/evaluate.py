@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modeloom.functions.arrays import finite, item, number
-from modeloom.operators.order_stats import order_statistics
+from modeloom.operators.order_stats import (
+    block_moments,
+    block_order_statistics,
+    column_values,
+    value_blocks,
+)
 from modeloom.operators.profile import DESCRIBE_PERCENTILES, column_profile
-from modeloom.plans.staging import materialise
 
 # Tail size per mille, and the relative error that counts as exact.
 TAIL_PER_MILLE = 1
@@ -42,21 +46,10 @@ def roundtrip_report(
     )
     error = F.abs(F.col(decoded) - x)
     exact = error <= number(EXACT) * F.greatest(number(1), F.abs(x))
-    # The encoded table is computed once, into one line per distinct value; a value that
-    # fills much of the table is combined before the shuffle.
-    lines = materialise(
-        df.where(finite(x))
-        .groupBy(x.alias("x"))
-        .agg(
-            F.count(F.lit(1)).alias("w"),
-            F.count_if(was_clipped).alias("clipped"),
-            F.count_if(exact).alias("exact"),
-            F.max(error).alias("max_error"),
-            F.sum(error).alias("sum_error"),
-        )
-    )
-    total = lines.agg(F.sum("w")).first()[0] or 0
+    values = value_blocks(column_values(df, [x])).persist()
+    total = block_moments(values).get(0, {"rows": 0})["rows"]
     if total == 0:
+        values.unpersist()
         raise ValueError(f"no usable value in {original}")
 
     def rank(per_mille):
@@ -64,27 +57,29 @@ def roundtrip_report(
 
     deciles = [rank(100 * i) for i in range(1, 10)]
     low, high = rank(TAIL_PER_MILLE), total - rank(TAIL_PER_MILLE) + 1
-    cuts = order_statistics(lines.select(F.lit(0).alias("c"), "x", "w"), {0: [*deciles, low, high]})
+    cuts = block_order_statistics(values, {0: [*deciles, low, high]})
+    values.unpersist()
     decile = F.lit(1)
     for r in deciles:
-        decile = decile + (F.col("x") > number(cuts[(0, r)])).cast("int")
+        decile = decile + (x > number(cuts[(0, r)])).cast("int")
     parts = F.array_compact(
         F.array(
             F.lit("all"),
             F.concat(F.lit("decile_"), F.lpad(decile.cast("string"), 2, "0")),
-            F.when(F.col("x") <= number(cuts[(0, low)]), F.lit("bottom_tail")),
-            F.when(F.col("x") >= number(cuts[(0, high)]), F.lit("top_tail")),
+            F.when(x <= number(cuts[(0, low)]), F.lit("bottom_tail")),
+            F.when(x >= number(cuts[(0, high)]), F.lit("top_tail")),
         )
     )
     # First by the set of parts a value is in, a few dozen of them, then by part.
     return (
-        lines.groupBy(parts.alias("parts"))
+        df.where(finite(x))
+        .groupBy(parts.alias("parts"))
         .agg(
-            F.sum("w").alias("rows"),
-            F.sum("clipped").alias("clipped"),
-            F.sum("exact").alias("exact"),
-            F.max("max_error").alias("max_error"),
-            F.sum("sum_error").alias("sum_error"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(was_clipped).alias("clipped"),
+            F.count_if(exact).alias("exact"),
+            F.max(error).alias("max_error"),
+            F.sum(error).alias("sum_error"),
         )
         .withColumn("part", F.explode("parts"))
         .groupBy("part")

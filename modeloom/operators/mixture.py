@@ -3,8 +3,8 @@
 The model is the truncated stick-breaking mixture (Blei & Jordan 2006; Attias 2000).
 Spark does the pass over the data: every task reduces its rows to a few sums per
 mode, Spark adds those up, and the driver updates K-sized parameters.  All columns
-share each pass.  The passes run over distinct values weighted by their row counts,
-which is exact and reads the source once.
+share each pass.  The passes run over the packed, persisted columns; a lost block is
+read again from the source.
 """
 
 from __future__ import annotations
@@ -19,9 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modeloom.functions.special import digamma, log_gamma
-from modeloom.operators.order_stats import moments, order_statistics, value_counts
+from modeloom.operators.order_stats import (
+    block_moments,
+    block_order_statistics,
+    column_values,
+    value_blocks,
+    value_counts,
+)
 from modeloom.operators.sampling import hash_sample
-from modeloom.plans.staging import materialise
 from modeloom.spec import EPS, MAX_ITER, N_COMPONENTS, WEIGHT_PRIOR
 
 # The priors on mean precision, degrees of freedom and spread.
@@ -30,8 +35,8 @@ DOF_PRIOR = 1.0
 COVARIANCE_FLOOR = 1e-6
 
 DECILES = tuple(range(100, 1000, 100))
-# Partial sums (tasks x columns x modes) up to which the driver adds them up itself.
-DIRECT_LINES = 10_000
+# Rounds after which the k-means start is taken as it is.
+KMEANS_ROUNDS = 300
 
 PARAM_SCHEMA = (
     "col string, k int, weight double, mean double, std double, log_c double,"
@@ -44,7 +49,8 @@ class MixtureModel:
     """K-sized parameters of one fitted column.
 
     Mode k has log density term ``log_c - half_prec * (x - mean)^2`` including its
-    log weight.  ``mass`` is its summed posterior and ``hits`` the rows it wins.
+    log weight.  ``mass`` is its summed posterior and ``hits`` the rows it wins.  Slots are
+    ordered by mass where modes are drawn, and by hits where the likeliest is taken.
     """
 
     weight: tuple[float, ...]
@@ -57,6 +63,8 @@ class MixtureModel:
     eps: float = EPS
     iterations: int = 0
     converged: bool = True
+    start_settled: bool = True
+    order_by: str = "mass"
     bounds: tuple[float, ...] = field(default=(), repr=False)
 
     @property
@@ -75,8 +83,9 @@ class MixtureModel:
 
     @property
     def order(self) -> list[int]:
-        """Active modes by falling mass, the lower mode first on ties."""
-        return sorted(self.active, key=lambda k: (-self.mass[k], k))
+        """Active modes by falling ``order_by`` (mass, or hits), the lower mode first on ties."""
+        size = self.mass if self.order_by == "mass" else self.hits
+        return sorted(self.active, key=lambda k: (-size[k], k))
 
     def rows(self, name: str) -> list[tuple]:
         active, order = set(self.active), self.order
@@ -108,40 +117,11 @@ def models_from_table(params: DataFrame, eps: float = EPS) -> dict[str, MixtureM
     }
 
 
-def value_blocks(counts: DataFrame) -> DataFrame:
-    """A count table packed for repeated passes: (c, x, w) with the numbers as bytes.
-
-    A block is at most one Arrow batch of rows.  Handing over bytes spares the row by row
-    conversion that would otherwise be most of a pass.
-    """
-
-    def pack(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            columns, values, weights = (
-                batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)
-            )
-            present = np.unique(columns)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(present, pa.int32()),
-                    pa.array([values[columns == c].astype("<f8").tobytes() for c in present]),
-                    pa.array([weights[columns == c].astype("<f8").tobytes() for c in present]),
-                ],
-                names=["c", "x", "w"],
-            )
-
-    return counts.select("c", "x", "w").mapInArrow(pack, "c int, x binary, w binary")
-
-
 def mode_sums(
-    blocks: DataFrame, kernels: Mapping[int, dict], tasks: int | None = None
+    blocks: DataFrame, kernels: Mapping[int, dict]
 ) -> dict[int, dict[str, np.ndarray]]:
     """One pass over the packed values: per mode the count, centred first and second
-    sums and the rows it wins, plus the summed log normaliser.  ``tasks`` is the number of
-    partitions of ``blocks``, where known.
+    sums and the rows it wins, plus the summed log normaliser.
 
     A kernel either assigns by cut points (``cuts``) or softly (``c``, ``h``, ``m``);
     sums are taken around ``m``, which keeps tight modes far from zero accurate.
@@ -156,7 +136,8 @@ def mode_sums(
         for batch in batches:
             for c, x, w in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 kernel = kernels[c]
-                x, w = np.frombuffer(x, "<f8"), np.frombuffer(w, "<f8")
+                x = np.frombuffer(x, "<f8")
+                w = np.frombuffer(w, "<f8") if w else np.ones(len(x))
                 z = (x - kernel["shift"]) / kernel["scale"]
                 centre = kernel["m"]
                 away = z[:, None] - centre
@@ -194,10 +175,7 @@ def mode_sums(
         reduce_partition,
         "c int, k int, n double, s1 double, s2 double, hits double, log_norm double",
     )
-    # Few tasks leave few partial sums: adding those up here spares a shuffle per pass.
-    lines = sum(len(kernel["m"]) for kernel in kernels.values())
-    if tasks is None or tasks * lines > DIRECT_LINES:
-        partial = partial.groupBy("c", "k").agg(*[F.sum(p).alias(p) for p in parts])
+    partial = partial.groupBy("c", "k").agg(*[F.sum(p).alias(p) for p in parts])
     out = {}
     for c, kernel in kernels.items():
         out[c] = {p: np.zeros(len(kernel["m"])) for p in parts}
@@ -213,7 +191,7 @@ def sufficient_statistics(df: DataFrame, column: str, model: MixtureModel) -> Da
         "shift": 0.0, "scale": 1.0, "m": np.array(model.mean),
         "c": np.array(model.log_c), "h": np.array(model.half_prec),
     }
-    sums = mode_sums(value_blocks(value_counts(df, [column])), {0: kernel})[0]
+    sums = mode_sums(value_blocks(column_values(df, [column])), {0: kernel})[0]
     n, s1, s2 = sums["n"], sums["s1"], sums["s2"]
     m = kernel["m"]
     rows = zip(
@@ -299,10 +277,10 @@ def _cut_ranks(rows: int, cuts: Sequence[int]) -> list[int]:
     return [max(1, -(-rows * per_mille // 1000)) for per_mille in cuts]
 
 
-def _cut_kernels(counts, blocks, stats, cuts_of, tasks) -> dict[int, dict]:
+def _cut_kernels(blocks, stats, cuts_of) -> dict[int, dict]:
     """Hard assignment by order statistics at the given per-mille ranks."""
     ranks = {c: _cut_ranks(s["rows"], cuts_of) for c, s in stats.items()}
-    found = order_statistics(counts, ranks)
+    found = block_order_statistics(blocks, ranks)
     kernels = {}
     for c, s in stats.items():
         cuts = np.array([found[(c, r)] for r in ranks[c]])
@@ -312,7 +290,7 @@ def _cut_kernels(counts, blocks, stats, cuts_of, tasks) -> dict[int, dict]:
             "shift": s["mean"], "scale": scale, "cuts": cuts,
             "m": np.concatenate([edges, edges[-1:]]) if len(cuts) else np.zeros(1),
         }
-    return _centred(kernels, mode_sums(blocks, kernels, tasks))
+    return _centred(kernels, mode_sums(blocks, kernels))
 
 
 def _centred(kernels, sums):
@@ -323,11 +301,12 @@ def _centred(kernels, sums):
     return kernels
 
 
-def _lloyd(blocks, kernels, tasks, rounds=300, tol=1e-4):
-    """Move the cut points to the 1-D k-means solution next to them."""
+def _lloyd(blocks, kernels, rounds, tol=1e-4):
+    """Move the cut points to the 1-D k-means solution next to them; and whether they
+    came to rest within ``rounds``."""
     for _ in range(rounds):
         moved = 0.0
-        sums = mode_sums(blocks, kernels, tasks)
+        sums = mode_sums(blocks, kernels)
         for c, kernel in _centred(kernels, sums).items():
             n = sums[c]["n"]
             held = np.sort(kernel["m"][n > 0])
@@ -339,8 +318,8 @@ def _lloyd(blocks, kernels, tasks, rounds=300, tol=1e-4):
             moved = max(moved, float(((fresh - kernel.get("last", np.inf)) ** 2).sum()))
             kernel.update(cuts=cuts, m=fresh, last=fresh)
         if moved <= tol:
-            break
-    return kernels
+            return kernels, True
+    return kernels, False
 
 
 def fit_counts(
@@ -353,24 +332,26 @@ def fit_counts(
     max_iter: int = MAX_ITER,
     tol: float = 1e-6,
     init: str = "quantile",
+    kmeans_rounds: int = KMEANS_ROUNDS,
 ) -> list[MixtureModel]:
-    """Fit every column of a count table ``(c, x, w)`` in shared passes.
+    """Fit every column of values ``(c, x)`` or counts ``(c, x, w)`` in shared passes.
 
-    Stops a column when its bound moves by less than ``tol`` per row.
+    Stops a column when its bound moves by less than ``tol`` per row.  A k-means start that
+    has not come to rest after ``kmeans_rounds`` leaves ``start_settled`` False.
     """
     if init not in ("quantile", "kmeans"):
         raise ValueError(f"init must be 'quantile' or 'kmeans', not {init!r}")
-    stats = moments(counts)
+    blocks = value_blocks(counts).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = block_moments(blocks)
     missing = [c for c in range(n_series) if c not in stats]
     if missing:
+        blocks.unpersist()
         raise ValueError(f"no usable value in column number {missing}")
 
     cuts = [round(1000 * i / n_components) for i in range(1, n_components)]
-    blocks = value_blocks(counts).persist(StorageLevel.MEMORY_AND_DISK)
-    tasks = blocks.rdd.getNumPartitions()
-    kernels = _cut_kernels(counts, blocks, stats, cuts, tasks)
+    kernels, settled = _cut_kernels(blocks, stats, cuts), True
     if init == "kmeans":
-        kernels = _lloyd(blocks, kernels, tasks)
+        kernels, settled = _lloyd(blocks, kernels, kmeans_rounds)
 
     def settle(c, sums):
         scale = kernels[c]["scale"]
@@ -378,14 +359,14 @@ def fit_counts(
         prior = max(stats[c]["var"] / scale**2, floor)
         return _Posterior.update(sums, kernels[c]["m"], prior, floor, weight_prior)
 
-    state = {c: settle(c, sums) for c, sums in mode_sums(blocks, kernels, tasks).items()}
+    state = {c: settle(c, sums) for c, sums in mode_sums(blocks, kernels).items()}
     bounds: dict[int, list[float]] = {c: [] for c in state}
     converged: dict[int, int] = {}
     running = set(state)
     for iteration in range(1, max_iter + 1):
         for c in running:
             kernels[c] = state[c].kernel(kernels[c]["shift"], kernels[c]["scale"])
-        for c, sums in mode_sums(blocks, {c: kernels[c] for c in running}, tasks).items():
+        for c, sums in mode_sums(blocks, {c: kernels[c] for c in running}).items():
             state[c] = settle(c, sums)
             bounds[c].append(state[c].bound(sums, kernels[c]) / stats[c]["rows"])
             if len(bounds[c]) > 1 and abs(bounds[c][-1] - bounds[c][-2]) < tol:
@@ -397,7 +378,7 @@ def fit_counts(
     # A last pass under the final parameters gives mass and use of every mode.
     for c in state:
         kernels[c] = state[c].kernel(kernels[c]["shift"], kernels[c]["scale"])
-    final = mode_sums(blocks, kernels, tasks)
+    final = mode_sums(blocks, kernels)
     blocks.unpersist()
     models = []
     for c in range(n_series):
@@ -414,6 +395,7 @@ def fit_counts(
                 eps=eps,
                 iterations=len(bounds[c]),
                 converged=c in converged,
+                start_settled=settled,
                 bounds=tuple(bounds[c]),
             )
         )
@@ -427,16 +409,18 @@ def fit_mixtures(
     sample_fraction: float | None = None,
     key: Sequence[str] = (),
     seed: int = 42,
+    combine: bool = False,
     **options,
 ) -> dict[str, MixtureModel]:
     """Fit one mixture per numeric column, on all rows unless a fraction is asked for.
 
-    With ``key`` the sample is drawn by hash and is the same on every run.
+    With ``key`` the sample is drawn by hash and is the same on every run.  ``combine``
+    counts equal values first, by one shuffle; worth it where they repeat many times.
     """
     if sample_fraction is not None and sample_fraction < 1:
         df = hash_sample(df, sample_fraction, key, seed) if key else df.sample(False, sample_fraction, seed)
-    counts = materialise(value_counts(df, columns))
-    return dict(zip(columns, fit_counts(counts, len(columns), **options), strict=True))
+    values = (value_counts if combine else column_values)(df, columns)
+    return dict(zip(columns, fit_counts(values, len(columns), **options), strict=True))
 
 
 def bucket_counts_models(
@@ -451,15 +435,15 @@ def bucket_counts_models(
 
     ``cuts`` are per-mille ranks; a value equal to a cut belongs to the bucket below.
     """
-    stats = moments(counts)
+    blocks = value_blocks(counts).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = block_moments(blocks)
     missing = [c for c in range(n_series) if c not in stats]
     if missing:
+        blocks.unpersist()
         raise ValueError(f"no usable value in column number {missing}")
-    blocks = value_blocks(counts).persist(StorageLevel.MEMORY_AND_DISK)
-    tasks = blocks.rdd.getNumPartitions()
-    hard = _cut_kernels(counts, blocks, stats, cuts, tasks)
+    hard = _cut_kernels(blocks, stats, cuts)
     shapes, soft = {}, {}
-    for c, sums in mode_sums(blocks, hard, tasks).items():
+    for c, sums in mode_sums(blocks, hard).items():
         n, kernel = sums["n"], hard[c]
         safe = np.maximum(n, 1)
         centre = kernel["m"] + sums["s1"] / safe
@@ -474,7 +458,7 @@ def bucket_counts_models(
             "shift": kernel["shift"], "scale": scale, "m": centre,
             "c": log_c + math.log(scale), "h": 0.5 / (std / scale) ** 2,
         }
-    final = mode_sums(blocks, soft, tasks)
+    final = mode_sums(blocks, soft)
     blocks.unpersist()
     models = []
     for c in range(n_series):
@@ -496,5 +480,4 @@ def bucket_counts_models(
 
 def bucket_models(df: DataFrame, columns: Sequence[str | Column], **options) -> list[MixtureModel]:
     """:func:`bucket_counts_models` straight from a table."""
-    counts = materialise(value_counts(df, columns))
-    return bucket_counts_models(counts, len(columns), **options)
+    return bucket_counts_models(column_values(df, columns), len(columns), **options)

@@ -9,29 +9,31 @@ from pyspark.sql import functions as F
 
 from modeloom.functions.arrays import finite
 from modeloom.operators.order_stats import (
+    block_moments,
+    block_order_statistics,
+    column_values,
     interpolated,
-    moments,
-    order_statistics,
     quantile_ranks,
-    value_counts,
+    value_blocks,
 )
-from modeloom.plans.staging import materialise
 
 # The percentiles of a generator profile and of a description.
 PROFILE_PERCENTILES = (25, 50, 75, 90, 95, 99)
 DESCRIBE_PERCENTILES = (25, 50, 75)
+# Relative rank error of a sketch is at most one over this.
+SKETCH_ACCURACY = 10_000
 
 
 def profile_values(
-    counts: DataFrame, n_series: int, percentiles: Sequence[float]
+    blocks: DataFrame, n_series: int, percentiles: Sequence[float]
 ) -> list[dict[str, float] | None]:
-    """Profile of every column of a materialised count table; None for an empty one."""
-    stats = moments(counts)
+    """Profile of every column of packed, persisted values; None for an empty one."""
+    stats = block_moments(blocks)
     ranks = {
         c: [r for p in percentiles for r in quantile_ranks(s["rows"], p / 100)[:2]]
         for c, s in stats.items()
     }
-    found = order_statistics(counts, ranks)
+    found = block_order_statistics(blocks, ranks)
     profiles = []
     for c in range(n_series):
         if c not in stats:
@@ -53,18 +55,19 @@ def column_profile(
     percentiles: Sequence[float] = PROFILE_PERCENTILES,
     exact: bool = True,
     names: Sequence[str] | None = None,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """(col, rows, min, max, mean, std, p25, ...): sample std, linear interpolation.
 
-    Exact quantiles take one aggregation and one range shuffle of the distinct values.
-    ``exact=False`` reads the table once and merges quantile sketches instead.
+    Exact quantiles take a few counting passes over the persisted columns.  ``exact=False``
+    reads the table once and merges quantile sketches of the given accuracy instead.
     """
     names = list(names or columns)
     if not exact:
-        return _sketched(df, list(columns), names, percentiles)
-    counts = materialise(value_counts(df, columns))
-    profiles = profile_values(counts, len(columns), percentiles)
-    counts.unpersist()
+        return _sketched(df, list(columns), names, percentiles, accuracy)
+    blocks = value_blocks(column_values(df, columns)).persist()
+    profiles = profile_values(blocks, len(columns), percentiles)
+    blocks.unpersist()
     fields = ["min", "max", "mean", "std"] + [f"p{p:g}" for p in percentiles]
     rows = [
         (name, int(p["rows"]), *[None if p[f] is None else float(p[f]) for f in fields])
@@ -76,10 +79,10 @@ def column_profile(
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def _sketched(df, columns, names, percentiles):
+def _sketched(df, columns, names, percentiles, accuracy):
     def of(value: Column, name: str):
         x = F.when(finite(value), value)
-        cuts = F.percentile_approx(x, [p / 100 for p in percentiles], 10000)
+        cuts = F.percentile_approx(x, [p / 100 for p in percentiles], accuracy)
         return F.struct(
             F.lit(name).alias("col"), F.count(x).alias("rows"), F.min(x).alias("min"),
             F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),

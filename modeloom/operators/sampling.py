@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.functions.draws import hash_uniform
-from modeloom.operators.order_stats import order_statistics, value_counts
-from modeloom.plans.staging import materialise
+from modeloom.functions.draws import SAMPLE, hash_uniform
+from modeloom.operators.order_stats import column_values, order_statistics
 
 # Fixed value: rows a fit needs at most.
 FIT_SAMPLE_ROWS = 100_000
 
 
-def hash_sample(df: DataFrame, fraction: float, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """Bernoulli sample decided by the row key alone."""
-    return df.where(hash_uniform(key, seed) < F.lit(float(min(1.0, fraction))))
+def hash_sample(
+    df: DataFrame, fraction: float, key: Sequence[str], seed: int = 42, method: str = "md5"
+) -> DataFrame:
+    """Bernoulli sample decided by the row key alone; steps of 2^-32, or 2^-53 by ``xxhash64``."""
+    return df.where(hash_uniform(key, seed, SAMPLE, method=method) < F.lit(float(min(1.0, fraction))))
 
 
 def fit_sample(
@@ -33,7 +35,7 @@ def fit_sample(
 def block_sample(df: DataFrame, percent: float, seed: int = 42) -> DataFrame:
     """``TABLESAMPLE (percent PERCENT)``; Spark samples rows, not storage blocks."""
     return df.sparkSession.sql(
-        f"SELECT * FROM {{source}} TABLESAMPLE ({percent:g} PERCENT) REPEATABLE ({int(seed)})",
+        f"SELECT * FROM {{source}} TABLESAMPLE ({Decimal(repr(float(percent))):f} PERCENT) REPEATABLE ({int(seed)})",
         source=df,
     )
 
@@ -44,16 +46,23 @@ def first_rows(df: DataFrame, n: int, id_column: str) -> DataFrame:
     The n-th id is found as an order statistic and pushed down as a filter, so no task
     holds all n rows the way an ordered limit would.
     """
-    counts = materialise(value_counts(df, [id_column], as_type="bigint"))
-    found = order_statistics(counts, {0: [n]})
+    found = order_statistics(column_values(df, [id_column], as_type="bigint"), {0: [n]})
     if not found:
         return df
     return df.where(F.col(id_column) <= F.lit(int(found[(0, n)])))
 
 
 def chunk_by_range(id_column: str, chunk_rows: int) -> Column:
-    """Chunk number of an id when chunks are consecutive id ranges."""
-    return F.floor(F.col(id_column) / F.lit(int(chunk_rows))).cast("long")
+    """Chunk number of an id when chunks are consecutive id ranges; exact for all ids."""
+    return floor_div(F.col(id_column), chunk_rows)
+
+
+def floor_div(number: Column, by: int) -> Column:
+    """``floor(number / by)`` in whole numbers, exact past 2^53 and below 0."""
+    whole, by = number.cast("long"), F.lit(int(by)).cast("long")
+    # neither the quotient nor the remainder leaves the range, unlike number - remainder
+    quotient = F.call_function("div", whole, by).cast("long")
+    return quotient - F.when((whole % by) < 0, 1).otherwise(0)
 
 
 def chunk_by_modulo(id_column: str, n_chunks: int) -> Column:
@@ -61,7 +70,12 @@ def chunk_by_modulo(id_column: str, n_chunks: int) -> Column:
     return F.pmod(F.col(id_column), F.lit(int(n_chunks))).cast("long")
 
 
+def range_condition(id_column: str, chunk: int, chunk_rows: int) -> Column:
+    """Whether an id lies in a range chunk, as two bounds."""
+    low = int(chunk) * int(chunk_rows)
+    return (F.col(id_column) >= F.lit(low)) & (F.col(id_column) < F.lit(low + int(chunk_rows)))
+
+
 def range_chunk(df: DataFrame, id_column: str, chunk: int, chunk_rows: int) -> DataFrame:
     """Rows of one id range; both bounds reach the file statistics."""
-    low = int(chunk) * int(chunk_rows)
-    return df.where((F.col(id_column) >= F.lit(low)) & (F.col(id_column) < F.lit(low + int(chunk_rows))))
+    return df.where(range_condition(id_column, chunk, chunk_rows))

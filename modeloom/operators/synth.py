@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modeloom.functions.arrays import number
-from modeloom.functions.draws import hash_uniform
+from modeloom.functions.draws import SYNTH, hash_uniform
+from modeloom.operators.sampling import floor_div
 
 # The brackets of the compatible form.  Each bracket is tried in turn
 # with its own chance, so the chances that reach it multiply.
@@ -21,6 +22,10 @@ KNOTS = (
 )
 
 
+# Rows of one generating task.
+TASK_ROWS = 5_000_000
+
+
 def bracket_probabilities() -> list[float]:
     out, left = [], 1.0
     for chance in BRACKET_CHANCES:
@@ -68,8 +73,9 @@ def synthesize(
     ``compat='bracket'`` draws between the 25th and 99th percentile with the uneven
     bracket chances of the sequential form; the default covers min to max.
     """
-    ids = spark.range(0, rows, 1, partitions) if partitions else spark.range(rows)
-    staged = ids.withColumn("__u", hash_uniform(["id"], seed))
+    parts = partitions or max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    ids = spark.range(0, rows, 1, parts)
+    staged = ids.withColumn("__u", hash_uniform(["id"], seed, SYNTH))
     return staged.select("id", inverse_cdf(F.col("__u"), profile, compat).alias(column))
 
 
@@ -90,7 +96,7 @@ def generate_dataset(
     """
     batch_rows = batch_rows or max(1, min(10_000_000, rows // 10))
     data = synthesize(spark, rows, profile, partitions=partitions, **options)
-    batch = F.floor(F.col("id") / F.lit(batch_rows)).cast("long").alias("batch")
+    batch = floor_div(F.col("id"), batch_rows).alias("batch")
     data.select("*", batch).write.mode("overwrite").partitionBy("batch").parquet(path)
     written = spark.read.parquet(path).count()
     return {"expected": rows, "written": written}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,10 +29,12 @@ from modeloom.operators.mixture import (
     model_table,
     models_from_table,
 )
-from modeloom.operators.order_stats import value_counts
-from modeloom.plans.staging import materialise
+from modeloom.operators.order_stats import column_values, value_counts
 from modeloom.spec import EPS, Categorical, Continuous, Mixed
 
+# What a stored model remembers of its fit.
+FIT_FACTS = ("iterations", "converged", "start_settled", "order_by", "bounds")
+
 LAYOUT_SCHEMA = (
     "col string, kind string, block int, start int, width int, activation string,"
     " min double, max double"
@@ -54,6 +56,7 @@ class TableEncoder:
     mode_choice: str = "draw"
     unknown: str = "error"
     ranges: Mapping[str, tuple] = field(default_factory=dict)
+    labels: str = "dense"
 
     @property
     def numeric(self) -> list[str]:
@@ -62,11 +65,15 @@ class TableEncoder:
     def width(self, column: str) -> int:
         kind = self.kinds[column]
         if kind == "categorical":
-            return self.dictionary.sizes[column] + (1 if self.unknown == "keep" else 0)
+            return 1 if self.labels == "index" else self.categories(column)
         if kind == "mixed":
             return self.fitted[column].width
         return continuous_width(self.fitted[column], "hard")
 
+    def categories(self, column: str) -> int:
+        """Slots of a categorical column as a dense block."""
+        return self.dictionary.sizes[column] + (1 if self.unknown == "keep" else 0)
+
     @property
     def starts(self) -> dict[str, int]:
         out, at = {}, 0
@@ -86,7 +93,7 @@ class TableEncoder:
             start, width = self.starts[column], self.width(column)
             low, high = self.ranges.get(column, (None, None))
             if kind == "categorical":
-                parts = [(start, width, "softmax")]
+                parts = [(start, width, "index" if self.labels == "index" else "softmax")]
             else:
                 parts = [(start, 1, "tanh"), (start + 1, width - 1, "softmax")]
             for at, wide, activation in parts:
@@ -105,7 +112,9 @@ class TableEncoder:
                 "split": len(self.numeric) > 1,
             }
             if kind == "categorical":
-                df, block, ok, _ = categorical_block(df, column, self.dictionary, tag, self.unknown)
+                df, block, ok, _ = categorical_block(
+                    df, column, self.dictionary, tag, self.unknown, self.labels
+                )
             elif kind == "mixed":
                 df, block, over, ok = mixed_block(df, F.col(column), self.fitted[column], tag, **choice)
                 overflows.append(over.alias(column))
@@ -130,7 +139,8 @@ class TableEncoder:
             over = F.col(overflow)[column] if exact and kind != "categorical" else None
             if kind == "categorical":
                 # A slot past the dictionary, the one for unknown labels, has no label.
-                best = argmax(F.slice(F.col(encoded), start + 1, self.width(column)))
+                block = F.slice(F.col(encoded), start + 1, self.width(column))
+                best = F.get(block, 0) if self.labels == "index" else argmax(block)
                 df = labels_of(df, best, self.dictionary, column, name)
                 values.append(F.col(name))
                 continue
@@ -156,8 +166,12 @@ class TableEncoder:
         about = {
             "kinds": dict(self.kinds), "mixed": mixed, "key": self.key, "seed": self.seed,
             "mode_choice": self.mode_choice, "unknown": self.unknown, "eps": eps,
+            "labels": self.labels,
             "ranges": {c: list(r) for c, r in self.ranges.items()},
             "types": dict(self.dictionary.types) if self.dictionary else {},
+            "fits": {
+                c: {f: getattr(m, f) for f in FIT_FACTS} for c, m in models.items()
+            },
         }
         spark.createDataFrame([(json.dumps(about),)], "about string").coalesce(1).write.mode(
             "overwrite"
@@ -178,7 +192,11 @@ class TableEncoder:
                 spark.read.parquet(f"{path}/mixture_params")
             ).items():
                 models[column] = MixtureModel(
-                    **{**model.__dict__, "eps": about["eps"][column]}
+                    **{
+                        **model.__dict__, "eps": about["eps"][column],
+                        **about["fits"][column],
+                        "bounds": tuple(about["fits"][column]["bounds"]),
+                    }
                 )
         fitted = {}
         for column, kind in kinds.items():
@@ -194,41 +212,42 @@ class TableEncoder:
         return cls(
             kinds, fitted, dictionary, tuple(about["key"]), about["seed"],
             about["mode_choice"], about["unknown"],
-            {c: tuple(r) for c, r in about["ranges"].items()},
+            {c: tuple(r) for c, r in about["ranges"].items()}, about["labels"],
         )
 
 
+def _ordered(fitted: MixtureModel | MixedModel, by: str) -> MixtureModel | MixedModel:
+    """The same model with the slots of a continuous column ordered by mass or hits."""
+    return replace(fitted, order_by=by) if isinstance(fitted, MixtureModel) else fitted
+
+
 def fit_numeric(
     df: DataFrame,
     columns: Sequence[str],
     mixed: Mapping[str, Mixed],
     *,
     method: str = "variational",
+    combine: bool = False,
     **options,
 ) -> tuple[dict[str, MixtureModel | MixedModel], dict[str, tuple]]:
     """Fit all numeric columns in shared passes; returns models and (min, max).
 
-    A mixed column is two series: all its rows, and the rows that are not special
-    values.  The second is cut out of the first one's value counts, not re-read.
+    A mixed column is two series: all its rows, and the rows that are not special values.
+    ``combine`` counts equal values first (see :func:`fit_mixtures`).
     """
-    counts = value_counts(df, columns)
+    values = (value_counts if combine else column_values)(df, columns)
     series = list(columns)
-    if mixed:
-        counts = materialise(counts)
-        extra = []
-        for column, spec in mixed.items():
-            c = columns.index(column)
-            rest = counts.where((F.col("c") == F.lit(c)) & ~F.col("x").isin(*spec.modal))
-            extra.append(rest.select(F.lit(len(series)).alias("c"), "x", "w"))
-            series.append(column)
-        both = reduce(DataFrame.unionByName, extra, counts)
-    else:
-        both = counts = materialise(counts)
+    both = values
+    for column, spec in mixed.items():
+        c = columns.index(column)
+        rest = values.where((F.col("c") == F.lit(c)) & ~F.col("x").isin(*spec.modal))
+        both = both.unionByName(rest.withColumn("c", F.lit(len(series))))
+        series.append(column)
     fit = {"variational": fit_counts, "buckets": bucket_counts_models}[method]
     models = fit(both, len(series), **options)
     ranges = {
         columns[r["c"]]: (r["lo"], r["hi"])
-        for r in counts.groupBy("c").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+        for r in values.groupBy("c").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
     }
     fitted = dict(zip(columns, models[: len(columns)], strict=True))
     if mixed:
@@ -237,7 +256,9 @@ def fit_numeric(
             lambda a, b: a | b,
             [(F.col("c") == columns.index(m)) & F.col("x").isin(*s.modal) for m, s in mixed.items()],
         )
-        rows = {(r["c"], r["x"]): r["w"] for r in counts.where(special).collect()}
+        weight = F.sum("w") if combine else F.count(F.lit(1))
+        lines = values.where(special).groupBy("c", "x").agg(weight.alias("w"))
+        rows = {(r["c"], r["x"]): r["w"] for r in lines.collect()}
         for i, (column, spec) in enumerate(mixed.items()):
             c = columns.index(column)
             fitted[column] = mixed_model(
@@ -256,12 +277,17 @@ def fit_table(
     mode_choice: str = "draw",
     unknown: str = "error",
     eps: float = EPS,
+    categories: str = "dense",
     **options,
 ) -> TableEncoder:
     """Fit every column of ``spec``: one scan for the numeric, one for the categorical.
 
-    ``options`` go to the mixture fit (``method``, ``max_iter``, ``tol``, ...).
+    ``categories="index"`` stores a categorical column as its dictionary index in one slot,
+    so that a row's size does not follow the number of labels; ``"dense"`` as one slot per
+    label.  ``options`` go to the mixture fit (``method``, ``max_iter``, ``tol``, ...).
     """
+    if categories not in ("dense", "index"):
+        raise ValueError(f"categories must be 'dense' or 'index', not {categories!r}")
     absent = [c for c in spec if c not in df.columns]
     if absent:
         raise ValueError(f"missing columns: {absent}")
@@ -273,6 +299,9 @@ def fit_table(
     if numeric:
         mixed = {c: spec[c] for c in numeric if kinds[c] == "mixed"}
         models, ranges = fit_numeric(df, numeric, mixed, eps=eps, **options)
-        fitted.update(models)
+        by = "mass" if mode_choice == "draw" else "hits"
+        fitted.update({c: _ordered(m, by) for c, m in models.items()})
     dictionary = category_dictionary(df, labels) if labels else None
-    return TableEncoder(kinds, fitted, dictionary, tuple(key), seed, mode_choice, unknown, ranges)
+    return TableEncoder(
+        kinds, fitted, dictionary, tuple(key), seed, mode_choice, unknown, ranges, categories
+    )

@@ -8,45 +8,41 @@ with a reliable checkpoint in the folder the session names in
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+# local, local[8], local[*, 2]; not local-cluster, whose executors are processes of their own
+LOCAL = re.compile(r"local(\[.*\])?")
 
-def checkpoint_folder(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder, or None on a cluster that names none.
 
-    A temporary folder is made only for a local master, where one machine holds
-    every task.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared checkpoint folder; an error on a cluster that names none.
+
+    A temporary folder is made only for a local master, where one process holds every task.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and context.master.startswith("local"):
+    if named is None and LOCAL.fullmatch(context.master):
         named = tempfile.mkdtemp(prefix="modeloom-checkpoint-")
-    if named is not None:
-        context.setCheckpointDir(named)
+    if named is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(named)
     return named
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """``df`` computed once, with its lineage cut where shared storage is named.
-
-    Without a shared folder the rows are persisted instead; a lost block is then
-    recomputed from the source.
-    """
-    if checkpoint_folder(df.sparkSession) is not None:
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """``df`` computed once, with its lineage cut, in the shared folder."""
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for staged tables."""
     root = checkpoint_folder(spark)
-    if root is None:
-        raise ValueError("set spark.checkpoint.dir to a shared folder to stage tables")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
