@@ -25,7 +25,8 @@ def posterior(model, x):
 
 
 def uniform(key, seed=42):
-    return int(hashlib.md5(f"{key}:{seed}".encode()).hexdigest()[:8], 16) / 2**32
+    text = f"draw|{seed}|{len(str(key))}:{key}"
+    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) / 2**32
 
 
 def test_hard_draw_equals_row_loop(events, model):

@@ -5,12 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import modeloom as ml
-from modeloom.operators import dictionary as dicts
+from modeloom.functions.draws import hash_uniform
 from modeloom.operators import sampling
-from modeloom.operators.order_stats import order_statistics, value_counts
+from modeloom.operators.order_stats import column_values, order_statistics, value_counts
 from modeloom.operators.synth import bracket_probabilities
 from modeloom.operators.table import fit_table
-from modeloom.plans.jobs import chunked_job, encode_chunks, ensure_rows
+from modeloom.plans.jobs import chunk_filter, chunked_job, encode_chunks, ensure_rows
 from modeloom.plans.staging import materialise
 from modeloom.sources import sinks, tables
 from modeloom.streaming.encode_stream import encode_stream, read_parquet_stream
@@ -29,6 +29,84 @@ def test_order_statistics_over_many_partitions(spark):
         assert [found[(c, r)] for r in ranks] == [values[r - 1] for r in ranks]
 
 
+def test_order_statistics_of_odd_numbers(spark):
+    values = [-0.0, 0.0, -1e300, 1e-320, -1e-320, 5.0, 5.0, float("nan"), None, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = order_statistics(column_values(df, ["x"]), {0: range(0, 12)})
+    usable = sorted(v for v in values[:7])
+    assert [found[(0, r)] for r in range(1, 8)] == usable and len(found) == 7
+    ids = [2**62 + 1, -(2**62), 2**53 + 1, 2**53, -1]
+    big = spark.createDataFrame([(v,) for v in ids], "x long")
+    found = order_statistics(column_values(big, ["x"], as_type="bigint"), {0: [1, 2, 3, 4, 5]})
+    assert [found[(0, r)] for r in range(1, 6)] == sorted(ids)
+    assert order_statistics(column_values(df.limit(0), ["x"]), {0: [1]}) == {}
+
+
+def test_chunk_numbers_are_exact(spark):
+    ids = [90071992547409999, 9007199254740991, -1, -1000, -1001, 0, 999, 2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = {r["id"]: r["c"] for r in df.select("id", sampling.chunk_by_range("id", 1000).alias("c")).collect()}
+    assert got == {i: i // 1000 for i in ids}
+
+
+def test_draws_of_a_sample_keep_their_distribution(spark):
+    df = spark.range(40000).withColumn("value", F.col("id").cast("double"))
+    some = sampling.hash_sample(df, 0.1, ["id"])
+    for method in ("md5", "xxhash64"):
+        mean = some.agg(F.avg(hash_uniform(["id"], 42, method=method))).first()[0]
+        assert mean == pytest.approx(0.5, abs=0.03)
+    assert some.count() == pytest.approx(4000, rel=0.1)
+
+
+def test_keys_with_nulls_do_not_collide(spark):
+    rows = [("a", None), (None, "a"), ("1:2", "3"), ("1", "2:3"), ("", "a"), ("a", "")]
+    df = spark.createDataFrame(rows, "p string, q string")
+    draws = [r[0] for r in df.select(hash_uniform(["p", "q"], 1)).collect()]
+    assert len(set(draws)) == len(rows)
+    with pytest.raises(Exception, match="all parts of the key are NULL"):
+        spark.createDataFrame([(None, None)], "p string, q string").select(
+            hash_uniform(["p", "q"], 1)
+        ).collect()
+
+
+def test_lookup_reads_the_table_once(spark, tmp_path):
+    rows = [(i, f"a{i % 7}", f"b{i % 3}", "new" if i % 2 else f"c{i % 5}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, a string, b string, c string")
+    df.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    spec = {c: ml.Categorical() for c in ("a", "b", "c")}
+    encoder = fit_table(facts.where("c <> 'new'"), spec, key=["id"], unknown="keep")
+    decoded = encoder.decode(encoder.encode(facts))
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    wrong = decoded.where("decoded_a <> a or decoded_b <> b or (c <> 'new' and decoded_c <> c)")
+    assert decoded.count() == 400 and wrong.count() == 0
+    assert decoded.where("c = 'new' and decoded_c is null").count() == 200
+    lean = fit_table(facts, spec, key=["id"], categories="index")
+    back = lean.decode(lean.encode(facts))
+    assert back.where("decoded_a <> a or decoded_b <> b or decoded_c <> c or size(encoded) <> 3").count() == 0
+
+
+def test_restart_reads_only_its_ranges(spark, tmp_path):
+    spark.range(10000).write.parquet(str(tmp_path / "ids"))
+    kept = chunk_filter(spark.read.parquet(str(tmp_path / "ids")), "id", [0, 3], 1000)
+    assert kept.count() == 2000
+    scan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert "PushedFilters: [Or(And(GreaterThanOrEqual(id,0)" in scan
+
+
+def test_small_percent(spark):
+    assert sampling.block_sample(spark.range(100), 0.00001).count() <= 1
+
+
+def test_reload_keeps_what_is_known_of_the_fit(spark, events, tmp_path):
+    encoder = fit_table(events, {"value": ml.Continuous()}, key=["event_id"], max_iter=2, tol=0)
+    encoder.save(str(tmp_path / "e"), spark)
+    again = type(encoder).load(str(tmp_path / "e"), spark).fitted["value"]
+    assert (again.converged, again.iterations) == (False, 2)
+    assert again.bounds == encoder.fitted["value"].bounds
+
+
 def test_profile_equals_numpy(spark, events):
     x = np.array([r["value"] for r in events.collect()])
     row = ml.column_profile(events, ["value"]).first()
@@ -62,8 +140,8 @@ def test_unknown_labels(spark):
     assert ml.index_labels(new, "v", d, unknown="skip").count() == 2
 
 
-def test_large_dictionary_joins_by_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(dicts, "HOT_LABELS", 5)
+def test_large_dictionary_joins_by_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     df = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("v")
     )
@@ -74,6 +152,7 @@ def test_large_dictionary_joins_by_shuffle(spark, monkeypatch):
     assert ml.labels_of(indexed, "idx", d, "v").where("label != v OR label IS NULL").count() == 0
     counts = {r["idx"]: r["count"] for r in indexed.groupBy("idx").count().collect()}
     assert [counts[i] for i in range(40)] == sorted(counts.values(), reverse=True)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_quality(spark):
@@ -126,12 +205,12 @@ def test_chunks_restart(spark, events, tmp_path):
     full = encode_chunks(events, encoder, path, id_column="event_id", n_chunks=4)
     before = {tuple(r["encoded"]) for r in full.collect()}
     redone = encode_chunks(
-        events, encoder, path, id_column="event_id", n_chunks=4, only=[2], files_per_chunk=2
+        events, encoder, path, id_column="event_id", n_chunks=4, only=[2], gather=False
     )
     assert redone.count() == events.count()
     assert {tuple(r["encoded"]) for r in redone.collect()} == before
     _, stats = chunked_job(
-        spark, events, {"value": ml.Continuous()}, str(tmp_path / "job"), id_column="event_id",
+        events, {"value": ml.Continuous()}, str(tmp_path / "job"), id_column="event_id",
         n_chunks=3, sample_percent=60, method="buckets",
     )
     assert {r["col"]: r["rows"] for r in stats.collect()} == {"value": 1000, "confidence": 1000}
