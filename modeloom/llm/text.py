@@ -55,12 +55,14 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", np.uint8), offsets
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch holding about SLICE_BYTES of text each, at least one row."""
+def slices(
+    batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch holding about ``size`` bytes of text each, at least one row."""
     if batch.num_rows == 0:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    part = (np.cumsum(sizes) - sizes) // size
     starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
     for start, end in zip(starts, np.r_[starts[1:], batch.num_rows], strict=True):
         yield batch.slice(start, end - start)
@@ -128,9 +130,20 @@ def owners(offsets: np.ndarray) -> np.ndarray:
 
 
 def distinct_per_owner(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (owner, value) pairs, ordered by owner and then value."""
-    order = np.lexsort((values, owner))
-    owner, values = owner[order], values[order]
+    """Distinct (owner, value) pairs, ordered by owner and then value.
+
+    Each owner's values are sorted on their own, several times faster than by two keys.
+    """
+    if len(owner) == 0:
+        return owner, values
+    if (owner[1:] < owner[:-1]).any():
+        order = np.argsort(owner, kind="stable")
+        owner, values = owner[order], values[order]
+    else:
+        values = values.copy()
+    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    for start, end in zip(starts, np.r_[starts[1:], len(owner)], strict=True):
+        values[start:end].sort()
     first = np.ones(len(values), bool)
     first[1:] = (owner[1:] != owner[:-1]) | (values[1:] != values[:-1])
     return owner[first], values[first]
