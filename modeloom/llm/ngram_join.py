@@ -14,12 +14,8 @@ partitions make up for them: only if a set has more partitions with an empty sub
 there are extra ones is it signed again under another seed (and finally with its empty
 subsets), so no pair is lost.
 
-Equal sets form one node, so copies meet once.  Nodes that share a signature form a group.
-First every member is compared with the group's smallest node; then, for groups that the
-links found so far leave in several components, the members of different components are
-compared.  A parity sketch, whose differences never exceed the sets', rejects most false
-candidates; the rest are compared by their whole sets.  Only connected components are
-built from links, so members already connected need no comparison.
+Equal sets form one node, so copies meet once; how groups become links and components is
+told in ``closure``.
 
 Defined results: a text with one to four words has its whole word sequence as its only
 shingle.  NULL, empty and blank texts have no shingles and are their own components.
@@ -36,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.llm.candidates import (
+from modeloom.llm.closure import (
     FOUND,
     candidates,
     closed_components,
     groups_of,
-    parity_sketch,
     similar_sets,
+    sketches,
 )
 from modeloom.llm.flow import Packer, bucket_count, bucket_of, by_bucket, stage, unpack
 from modeloom.llm.text import (
@@ -62,6 +58,7 @@ WIDTH = 5
 CELLS = 3
 # Seeds tried for sets with too many empty subsets before these are signed as well.
 SEEDS = 6
+SKETCH_BITS = 512
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -165,11 +162,12 @@ def _marks(docs: DataFrame, width: int) -> DataFrame:
                         part.column("doc_id"),
                         pa.array(np.diff(offsets), pa.int64()),
                         pa.array(nodes_of(values, offsets).view(np.int64), pa.int64()),
+                        sketches(values, offsets, SKETCH_BITS),
                     ],
-                    names=["doc_id", "n_shingles", "node"],
+                    names=["doc_id", "n_shingles", "node", "sketch"],
                 )
 
-    return docs.mapInArrow(work, "doc_id long, n_shingles long, node long")
+    return docs.mapInArrow(work, "doc_id long, n_shingles long, node long, sketch binary")
 
 
 SIGNED = (["node", "low", "high"], ("node",))
@@ -207,7 +205,7 @@ def _groups(table: pa.Table) -> pa.Table:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """node, n, sketch and the sorted set of each text."""
+    """node and the sorted set of each text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,8 +214,6 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(nodes_of(values, offsets).view(np.int64), pa.int64()),
-                        pa.array(np.diff(offsets), pa.int64()),
-                        parity_sketch(values, offsets),
                         pa.array(
                             [
                                 values[s:e].tobytes()
@@ -226,12 +222,10 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                             pa.binary(),
                         ),
                     ],
-                    names=["node", "n", "sketch", "body"],
+                    names=["node", "body"],
                 )
 
-    return docs.select("text").mapInArrow(
-        work, "node long, n long, sketch array<long>, body binary"
-    )
+    return docs.select("text").mapInArrow(work, "node long, body binary")
 
 
 def ngram_components(
@@ -244,14 +238,22 @@ def ngram_components(
     found = stage(
         by_bucket(_signed(rows, width, buckets), _groups, FOUND), "groups"
     )
-    wanted = candidates(found)
-    # one row for each wanted set; only their texts are read into sets
-    carrier = marks.join(wanted, "node", "left_semi").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id")
+    known = stage(
+        marks.select("node", F.col("n_shingles").alias("n"), "sketch")
+        .join(candidates(found), "node", "left_semi").dropDuplicates(["node"]),
+        "known",
     )
-    texts = rows.join(carrier.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = stage(_sets(texts, width).dropDuplicates(["node"]), "sets")
-    parts = closed_components(found, sets, similar_sets)
+
+    def bodies(nodes: DataFrame) -> DataFrame:
+        # one carrier for each node; only these texts are read into sets
+        carrier = marks.join(nodes, "node", "left_semi").groupBy("node").agg(
+            F.min("doc_id").alias("doc_id")
+        )
+        texts = rows.join(carrier.select("doc_id").distinct(), "doc_id", "left_semi")
+        sets = _sets(texts, width).join(nodes, "node", "left_semi")
+        return sets.dropDuplicates(["node"])
+
+    parts = closed_components(found, known, bodies, similar_sets)
     joined = marks.join(parts, "node", "left").withColumn(
         "component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node"))
     )
