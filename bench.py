@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 import modeloom as ml  # noqa: E402
 from modeloom.operators.dictionary import category_dictionary  # noqa: E402
 from modeloom.operators.sampling import hash_sample  # noqa: E402
+from modeloom.operators.table import fit_table  # noqa: E402
+from modeloom.plans.jobs import encode_chunks  # noqa: E402
+from modeloom.plans.staging import staging_path  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -59,10 +62,12 @@ def main() -> None:
         "o_orderstatus": ml.Categorical(),
     }
     table = ml.fit_table(orders, spec, key=["o_orderkey"], method="buckets")
+    mixed = fit_table(events, {"value": ml.Mixed((0.0,))}, key=["event_id"], method="buckets")
     profile = ml.column_profile(events, ["value"]).first().asDict()
 
     work = {
         "fit_value_20_iterations": lambda: ml.fit_mixtures(events, ["value"], max_iter=20, tol=0),
+        "fit_value_to_convergence": lambda: ml.fit_mixtures(events, ["value"]),
         "fit_two_lineitem_columns_10_iterations": lambda: ml.fit_mixtures(
             lineitem, ["l_extendedprice", "l_quantity"], max_iter=10, tol=0
         ),
@@ -78,6 +83,11 @@ def main() -> None:
             ml.decode_continuous(encoded, price), "l_extendedprice"
         ).collect(),
         "encode_table": lambda: run(table.encode(orders)),
+        "decode_table": lambda: run(table.decode(table.encode(orders))),
+        "encode_mixed": lambda: run(mixed.encode(events)),
+        "encode_chunks": lambda: encode_chunks(
+            orders, table, staging_path(spark, "bench"), id_column="o_orderkey", n_chunks=20
+        ),
         "column_profile": lambda: ml.column_profile(
             lineitem, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
         ).collect(),

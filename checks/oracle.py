@@ -398,6 +398,9 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT k, {r6('sum(r)')} AS n, {r6('sum(r*x)', 4)} AS sum_x, {r6('sum(r*x*x)', 3)} AS sum_xx FROM m_post GROUP BY k",
     )
     sql["em_step"] = with_(variational("m", EVENTS, 1), params_of("m", "value", 6))
+    sql["fit_converged"] = with_(
+        variational("m", ORDERS, ITERATIONS), params_of("m", "o_totalprice", 2)
+    )
     sql["fit_params"] = with_(variational("m", EVENTS, ITERATIONS), params_of("m", "value", 5))
     sql["fit_params_lineitem"] = with_(
         [
