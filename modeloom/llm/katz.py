@@ -144,6 +144,15 @@ def unigrams(counts: DataFrame) -> Unigrams:
 
 
 PAIRS = (["word", "history", "doc"], ("word", "history"))
+# Text whose pairs are packed together: more of them repeat, and fewer bytes are moved.
+PACK_BYTES = 20 << 20
+# Histories are told apart by 48 bits of their hashes.
+HISTORY = np.uint64((1 << 48) - 1)
+
+
+def _six_bytes(hashes: np.ndarray) -> bytes:
+    """The lower 48 bits of each number, little-endian."""
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
 def _pairs(docs: DataFrame, held_out: int, buckets: int, heavy: dict[int, int]) -> DataFrame:
@@ -157,8 +166,9 @@ def _pairs(docs: DataFrame, held_out: int, buckets: int, heavy: dict[int, int])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PACK_BYTES):
                 ids, _, owner, words, history = _token_rows(part, held_out)
+                history &= HISTORY
                 bucket = bucket_of(words, buckets)
                 if len(heavy_words):
                     at = np.minimum(np.searchsorted(heavy_words, words), len(heavy_words) - 1)
@@ -169,7 +179,12 @@ def _pairs(docs: DataFrame, held_out: int, buckets: int, heavy: dict[int, int])
                 packer = Packer(*PAIRS)
                 packer.add(bucket[order], words[order], history[order], owner[order].astype(np.uint32))
                 for rows in packer.rows():
-                    lists, codes = [], []
+                    lists, codes, short = [], [], []
+                    for x in rows.column("history"):
+                        h = np.frombuffer(x.as_buffer(), "<u8")
+                        short.append(_six_bytes(h))
+                    at = rows.schema.get_field_index("history")
+                    rows = rows.set_column(at, "history", pa.array(short, pa.binary()))
                     for x in rows.column("doc"):
                         own, code = np.unique(np.frombuffer(x.as_buffer(), "<u4"), return_inverse=True)
                         lists.append(ids[own].tobytes())
@@ -185,93 +200,117 @@ def _pairs(docs: DataFrame, held_out: int, buckets: int, heavy: dict[int, int])
 # What a word's bucket sends on: sums per document (kind 0), masses of histories (kind 1),
 # unseen pairs (kind 2) and counts of pair counts (kind 3).
 MEETS = "kind byte, bucket int, keys binary, numbers binary"
-DOC_SUMS = 5 + CUTOFF + 1
+# Sums of a document: tokens, known tokens, base score, score without what discounts and
+# histories add, and pairs seen 1 to CUTOFF times and more often.
+SUMS = np.dtype(
+    [("n", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8"),
+     ("seen", "<u4", (CUTOFF + 1,))]
+)
+MASSES = np.dtype([("r", "<u1"), ("total", "<u4"), ("mass", "<f8")])
+# Entries of a bucket looked at together.
+CHUNK = 400_000
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word, history and document index of every entry, and the documents' ids."""
+    ids, code, done = [], [], 0
+    for listed, index in zip(table.column("docs"), table.column("doc"), strict=True):
+        own = np.frombuffer(listed.as_buffer(), "<i8")
+        kind = "<u2" if len(own) <= 1 << 16 else "<u4"
+        code.append(np.frombuffer(index.as_buffer(), kind).astype(np.int32) + np.int32(done))
+        ids.append(own)
+        done += len(own)
+    ids, inverse = np.unique(np.concatenate(ids), return_inverse=True)
+    doc = inverse.astype(np.int32)[np.concatenate(code)]
+    raw = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 6) for x in table.column("history")]
+    history = np.zeros((sum(map(len, raw)), 8), np.uint8)
+    history[:, :6] = np.concatenate(raw)
+    history = np.repeat(history.view("<u8")[:, 0], unpack(table, "history_n", "<u4"))
+    return unpack(table, "word", "<u8"), history, doc, ids
+
+
+def _meet(
+    word: np.ndarray, history: np.ndarray, doc: np.ndarray, train: np.ndarray,
+    model: Unigrams, counts: dict[int, int], sums: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of whole words' entries, added to ``sums``; returns the masses of histories,
+    and the histories and documents of unseen pairs, and the counts of pair counts."""
+    order = np.lexsort((history, word))
+    word, history, doc = word[order], history[order], doc[order]
+    learnt = train[doc].astype(np.int64)
+    new_word = np.r_[True, word[1:] != word[:-1]]
+    new_pair = new_word | np.r_[True, history[1:] != history[:-1]]
+    starts, word_starts = np.flatnonzero(new_pair), np.flatnonzero(new_word)
+    c_pair, c_word = np.add.reduceat(learnt, starts), np.add.reduceat(learnt, word_starts)
+    for at, w in enumerate(word[word_starts].tolist()):
+        if w in counts:
+            c_word[at] = counts[w]
+    pair_word = np.cumsum(new_word)[starts] - 1
+    p_word = model.probability(c_word)
+    per = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(word)]))
+    c, w = c_pair[per], c_word[pair_word[per]]
+    unseen, known, frequent = c == 0, w > 0, c > CUTOFF
+    n = len(sums)
+
+    def summed(values: np.ndarray) -> np.ndarray:
+        return np.bincount(doc, weights=values, minlength=n)
+
+    base = np.log10((w + ADDED) / (model.tokens + ADDED * (model.distinct + 1)))
+    # as histories, known words divide what follows them by their count
+    score = np.where(known & (word != END), -np.log10(np.maximum(w, 1)), 0.0)
+    score += np.where(unseen, np.log10(p_word[pair_word[per]]), 0.0)
+    score += np.where(frequent, np.log10(np.maximum(c, 1)), 0.0)
+    sums["n"] += np.bincount(doc, minlength=n).astype(np.uint32)
+    sums["known"] += summed(known).astype(np.uint32)
+    sums["base"] += summed(base)
+    sums["score"] += summed(score)
+    place = np.minimum(c, CUTOFF + 1)
+    for r in range(1, CUTOFF + 2):
+        sums["seen"][:, r - 1] += summed(place == r).astype(np.uint32)
+    seen = c_pair > 0
+    types = np.bincount(np.minimum(c_pair[seen], CUTOFF + 2), minlength=CUTOFF + 3)
+    h, r = history[starts][seen], np.minimum(c_pair[seen], CUTOFF + 1)
+    order = np.lexsort((r, h))
+    h, r, total = h[order], r[order], c_pair[seen][order]
+    mass = p_word[pair_word[seen]][order]
+    first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (r[1:] != r[:-1])][: len(h)])
+    masses = np.zeros(len(first), MASSES)
+    if len(first):
+        masses["r"], masses["total"] = r[first], np.add.reduceat(total, first)
+        masses["mass"] = np.add.reduceat(mass, first)
+    return h[first], masses, history[unseen], doc[unseen], types
 
 
 def _word_bucket(
-    model: Unigrams, held_out: int, buckets: int, heavy: dict[int, int], counts: dict[int, int]
+    model: Unigrams, held_out: int, buckets: int, counts: dict[int, int]
 ) -> Callable[[pa.Table], pa.Table]:
     def work(table: pa.Table) -> pa.Table:
-        word, history = unpack(table, "word", "<u8"), unpack(table, "history", "<u8")
-        ids, code, done = [], [], 0
-        sizes = [
-            int(np.frombuffer(x.as_buffer(), "<u4").sum()) for x in table.column("word_n")
-        ]
-        for listed, index, size in zip(
-            table.column("docs"), table.column("doc"), sizes, strict=True
-        ):
-            own = np.frombuffer(listed.as_buffer(), "<i8")
-            kind = "<u2" if len(own) <= 1 << 16 else "<u4"
-            code.append(np.frombuffer(index.as_buffer(), kind).astype(np.int64)[:size] + done)
-            ids.append(own)
-            done += len(own)
-        ids, inverse = np.unique(np.concatenate(ids), return_inverse=True)
-        doc = inverse[np.concatenate(code)]
-        train = training(ids, held_out)
-        order = np.lexsort((history, word))
-        word, history, doc = word[order], history[order], doc[order]
-        learnt = train[doc]
-        new_word = np.r_[True, word[1:] != word[:-1]]
-        new_pair = new_word | np.r_[True, history[1:] != history[:-1]]
-        starts = np.flatnonzero(new_pair)
-        c_pair = np.add.reduceat(learnt.astype(np.int64), starts)
-        word_starts = np.flatnonzero(new_word)
-        c_word = np.add.reduceat(learnt.astype(np.int64), word_starts)
-        for at, w in enumerate(word[word_starts].tolist()):
-            if w in counts:
-                c_word[at] = counts[w]
-        pair_word = np.cumsum(new_word)[starts] - 1
-        p_word = model.probability(c_word)
-        per = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(word)]))
-        c, w = c_pair[per], c_word[pair_word[per]]
-        n = len(ids)
-
-        def summed(values: np.ndarray, where: np.ndarray | None = None) -> np.ndarray:
-            at = doc if where is None else doc[where]
-            return np.bincount(at, weights=values if where is None else values[where], minlength=n)
-
-        base = np.log10((w + ADDED) / (model.tokens + ADDED * (model.distinct + 1)))
-        unseen, known = c == 0, w > 0
-        frequent = c > CUTOFF
-        sums = [
-            np.bincount(doc, minlength=n).astype(float),
-            summed(known.astype(float)),
-            summed(base),
-            # as histories, known words divide what follows them by their count
-            -summed(np.log10(np.maximum(w, 1)), known & (word != END))
-            + summed(np.log10(p_word[pair_word[per]]), unseen),
-            summed(np.log10(np.maximum(c, 1)), frequent),
-            *(summed((c == r).astype(float)) for r in range(1, CUTOFF + 1)),
-            summed(frequent.astype(float)),
-        ]
+        word, history, doc, ids = _unpacked(table)
+        train, sums = training(ids, held_out), np.zeros(len(ids), SUMS)
+        ways = -(-len(word) // CHUNK)
+        part = mix(word, 24) % np.uint64(ways)
+        met = []
+        for way in range(ways):
+            at = np.flatnonzero(part == np.uint64(way))
+            if len(at):
+                met.append(_meet(word[at], history[at], doc[at], train, model, counts, sums))
+        h, masses, wanted, where, types = (
+            np.concatenate(x) if i < 4 else sum(x) for i, x in enumerate(zip(*met, strict=True))
+        )
         out: list[tuple[int, int, bytes, bytes]] = []
 
         def send(kind: int, keys: np.ndarray, at: np.ndarray, numbers: np.ndarray) -> None:
+            if len(at) == 0:
+                return
             order = np.argsort(at, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, np.diff(at[order]) != 0]) if len(at) else []
-            for s, e in zip(cuts, np.r_[cuts[1:], len(at)].astype(int), strict=True):
+            cuts = np.flatnonzero(np.r_[True, np.diff(at[order]) != 0])
+            for s, e in zip(cuts, np.r_[cuts[1:], len(at)], strict=True):
                 rows = order[s:e]
                 out.append((kind, int(at[rows[0]]), keys[rows].tobytes(), numbers[rows].tobytes()))
 
-        send(0, ids, bucket_of(mix(ids.view(np.uint64), 23), buckets), np.stack(sums, axis=1))
-        seen = c_pair > 0
-        h, r = history[starts][seen], np.minimum(c_pair[seen], CUTOFF + 1)
-        total, mass = c_pair[seen], p_word[pair_word[seen]]
-        order = np.lexsort((r, h))
-        h, r, total, mass = h[order], r[order], total[order], mass[order]
-        if len(h):
-            first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (r[1:] != r[:-1])])
-            numbers = np.zeros(
-                len(first), [("r", "<u1"), ("total", "<u4"), ("mass", "<f8")]
-            )
-            numbers["r"], numbers["total"] = r[first], np.add.reduceat(total, first)
-            numbers["mass"] = np.add.reduceat(mass, first)
-            send(1, h[first], bucket_of(h[first], buckets), numbers)
-        if unseen.any():
-            pairs = np.zeros(int(unseen.sum()), [("h", "<u8"), ("doc", "<i8")])
-            pairs["h"], pairs["doc"] = history[unseen], ids[doc[unseen]]
-            send(2, pairs["h"].copy(), bucket_of(pairs["h"], buckets), pairs["doc"].copy())
-        types = np.bincount(np.minimum(c_pair[seen], CUTOFF + 2), minlength=CUTOFF + 3)
+        send(0, ids, bucket_of(mix(ids.view(np.uint64), 23), buckets), sums)
+        send(1, h, bucket_of(mix(h, 25), buckets), masses)
+        send(2, wanted, bucket_of(mix(wanted, 25), buckets), ids[where])
         out.append((3, 0, b"", types.astype("<i8").tobytes()))
         kind, bucket, keys, numbers = zip(*out, strict=True)
         return pa.table(
@@ -299,17 +338,17 @@ def _settle(discount: list[float]) -> Callable[[pa.Table], pa.Table]:
             return np.concatenate(pieces) if pieces else np.zeros(0, dtype)
 
         ids, inverse = np.unique(packed(0, "keys", "<i8"), return_inverse=True)
-        numbers = packed(0, "numbers", "<f8").reshape(-1, DOC_SUMS)
-        sums = [
-            np.bincount(inverse, weights=numbers[:, k], minlength=len(ids))
-            for k in range(DOC_SUMS)
-        ]
-        score = sums[3] + sums[4]
-        for r in range(1, CUTOFF + 1):
-            score = score + sums[4 + r] * math.log10(d[r - 1] * r)
-        score = score + sums[5 + CUTOFF] * math.log10(d[CUTOFF])
+        numbers = packed(0, "numbers", SUMS)
+
+        def total(values: np.ndarray) -> np.ndarray:
+            return np.bincount(inverse, weights=values, minlength=len(ids))
+
+        score = total(numbers["score"])
+        for r in range(1, CUTOFF + 2):
+            gain = math.log10(d[r - 1] * (r if r <= CUTOFF else 1))
+            score = score + total(numbers["seen"][:, r - 1]) * gain
         h, at = np.unique(packed(1, "keys", "<u8"), return_inverse=True)
-        parts = packed(1, "numbers", [("r", "<u1"), ("total", "<u4"), ("mass", "<f8")])
+        parts = packed(1, "numbers", MASSES)
         count = np.bincount(at, weights=parts["total"], minlength=len(h))
         kept = np.bincount(at, weights=parts["total"] * d[parts["r"] - 1], minlength=len(h))
         mass = np.bincount(at, weights=parts["mass"], minlength=len(h))
@@ -327,9 +366,9 @@ def _settle(discount: list[float]) -> Callable[[pa.Table], pa.Table]:
         return pa.table(
             {
                 "id": pa.array(np.r_[ids, back], pa.int64()),
-                "n_tokens": pa.array(np.r_[sums[0], zeros].astype(np.int64)),
-                "n_known": pa.array(np.r_[sums[1], zeros].astype(np.int64)),
-                "base_score": pa.array(np.r_[sums[2], zeros]),
+                "n_tokens": pa.array(np.r_[total(numbers["n"]), zeros].astype(np.int64)),
+                "n_known": pa.array(np.r_[total(numbers["known"]), zeros].astype(np.int64)),
+                "base_score": pa.array(np.r_[total(numbers["base"]), zeros]),
                 "score": pa.array(np.r_[score, added]),
             }
         )
@@ -355,7 +394,7 @@ def katz_scores(
     met = stage(
         by_bucket(
             _pairs(rows, held_out, buckets, heavy),
-            _word_bucket(model, held_out, buckets, heavy, frequent),
+            _word_bucket(model, held_out, buckets, frequent),
             MEETS,
         ),
         "pairs",
