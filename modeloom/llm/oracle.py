@@ -2,19 +2,98 @@
 
 from __future__ import annotations
 
+LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+WORDS = r"'[^\x20\x09-\x0D]+'"
 
-def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_DEDUP}
-
+# From links l(a, b): r(id, root), every node with the nodes of smaller id that reach it.
+REACHED = """e AS (
+    SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+    SELECT id, id AS root FROM nodes
+    UNION
+    SELECT e.b, r.root FROM r JOIN e ON e.a = r.id WHERE r.root < e.b
+)"""
 
-EXACT_DEDUP = """
+EXACT_DEDUP = f"""
 WITH d AS (
-    SELECT doc_id, sha256(translate(coalesce(text, ''),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
-    FROM documents
+    SELECT doc_id, sha256({LOWERED}) AS text_sha256 FROM documents
 ), g AS (
     SELECT *, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size
     FROM d WINDOW w AS (PARTITION BY text_sha256)
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
+
+NGRAM_JOIN = f"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all({LOWERED}, {WORDS}) AS w FROM documents
+), s AS (
+    SELECT doc_id, unnest(list_distinct(CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    END)) AS g FROM w
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+    SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE 100 * c >= 80 * (x.n + y.n - c)
+), nodes AS (SELECT doc_id AS id FROM documents), {REACHED}
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.id = d.doc_id GROUP BY d.doc_id
+"""
+
+LATTICE_DEDUP = f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id AS id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+    SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.label = y.label AND x.id < y.id
+        AND len(x.e) = len(y.e)
+    WHERE list_cosine_similarity(x.e, y.e) >= 0.93
+), nodes AS (SELECT vec_id AS id FROM embeddings), {REACHED}, n AS (
+    SELECT a AS id, count(*) AS n FROM e GROUP BY 1
+)
+SELECT r.id AS vec_id, coalesce(any_value(n.n), 0) AS n_links, min(root) AS component_id,
+    r.id = min(root) AS kept
+FROM r LEFT JOIN n USING (id) GROUP BY r.id
+"""
+
+PHRASE_DEDUP = f"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORDS}) AS w FROM documents
+), t AS (
+    SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM w
+), g AS (
+    SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM w WHERE len(w) >= 13
+), k AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM g
+), f AS (
+    SELECT g, min(doc_id) AS first FROM k GROUP BY 1
+), gone AS (
+    SELECT DISTINCT doc_id, i + j AS i
+    FROM k JOIN f USING (g), (SELECT unnest(range(13)) AS j) WHERE first < doc_id
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+    FROM t ANTI JOIN gone USING (doc_id, i) GROUP BY 1
+)
+SELECT w.doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {
+        "op2_ngram_join": NGRAM_JOIN,
+        "op3_exact_dedup": EXACT_DEDUP,
+        "op6_lattice_dedup": LATTICE_DEDUP,
+        "op9_phrase_dedup": PHRASE_DEDUP,
+    }
