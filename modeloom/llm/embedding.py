@@ -5,7 +5,11 @@ where they are scaled and decoded to the nearest point of the lattice E8.  A vec
 stored under its own lattice point, and also asks at the next nearest points.  Vectors of
 equal label that meet are compared by their exact cosine.  Pairs that meet in several
 cells count only in the first, which both vectors' own cells tell, so links are counted
-and joined without being listed; each cell hands on one count per vector and a forest.
+and joined block by block without being listed; each cell hands on one count per vector
+and a forest.
+
+Equal vectors of a label are one node that counts as often as it occurs.  A cell of more
+than ``CHUNK`` nodes is dealt to chunks, and each pair of chunks is a task of its own.
 
 Defined results: vectors that are NULL, empty, zero, or hold NULL or non-finite numbers,
 and vectors without label, link with nothing.  Vectors of different lengths do not link.
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.llm.components import Forest, components
+from modeloom.llm.components import components
 from modeloom.llm.flow import Packer, bucket_count, bucket_of, stage
 from modeloom.llm.text import MULTIPLIER, mix
 
@@ -32,6 +36,10 @@ PROBES = 3
 CELL = 0.22
 # Vectors compared at once inside a task.
 BLOCK = 1024
+# Nodes of one cell that go to one task; larger cells are dealt to pairs of such chunks.
+CHUNK = 4096
+# Sides of an entry: of a task that compares all its nodes, or only across its two chunks.
+WITHIN, LOW, HIGH = 0, 1, 2
 
 
 def decode(points: np.ndarray, most: int) -> np.ndarray:
@@ -101,98 +109,170 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _meets(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """(pair, table): whether either vector asks at the other's own cell."""
-    asks = (one == other[:, :, :1]).any(axis=2)
-    return asks | (other == one[:, :, :1]).any(axis=2)
+    """Whether either vector of each pair asks at the other's own cell of a table."""
+    return (one == other[:, :1]).any(axis=1) | (other == one[:, :1]).any(axis=1)
+
+
+def _blocks(side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Blocks of members to compare, and whether both are the same block."""
+    low, high = np.flatnonzero(side == LOW), np.flatnonzero(side == HIGH)
+    for one in range(0, len(low), BLOCK):
+        for other in range(0, len(high), BLOCK):
+            yield low[one : one + BLOCK], high[other : other + BLOCK], False
+    within = np.flatnonzero(side == WITHIN)
+    for one in range(0, len(within), BLOCK):
+        for other in range(one, len(within), BLOCK):
+            yield within[one : one + BLOCK], within[other : other + BLOCK], one == other
 
 
 def link_cell(
-    own: np.ndarray, where: np.ndarray, vectors: np.ndarray, cells: np.ndarray,
-    table: int, cell: np.uint64, least: float,
+    own: np.ndarray, side: np.ndarray, times: np.ndarray, vectors: np.ndarray,
+    cells: np.ndarray, table: int, cell: np.uint64, least: float,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs of one cell that no earlier cell holds, as indices into the members."""
-    ones, others = [], []
-    for low in range(0, len(where), BLOCK):
-        for next_low in range(low, len(where), BLOCK):
-            a, b = where[low : low + BLOCK], where[next_low : next_low + BLOCK]
-            close = vectors[a] @ vectors[b].T >= least
-            close &= own[low : low + BLOCK, None] | own[None, next_low : next_low + BLOCK]
-            i, j = np.nonzero(close)
-            i, j = a[i], b[j]
-            if low == next_low:
-                i, j = i[i < j], j[i < j]
+    """For each member of one cell, the rows it links with where no earlier cell holds the
+    pair, and the smallest member it is joined to; pairs of one block at a time are held."""
+    count, root = np.zeros(len(own), np.int64), np.arange(len(own))
+    for a, b, same in _blocks(side):
+        close = vectors[a] @ vectors[b].T >= least
+        close &= own[a, None] | own[None, b]
+        if same:
+            close &= np.arange(len(a))[:, None] < np.arange(len(b))[None]
+        i, j = np.nonzero(close)
+        i, j = a[i], b[j]
+        for earlier in range(table):
             if len(i) == 0:
-                continue
-            for part in range(0, len(i), 100_000):
-                p, q = i[part : part + 100_000], j[part : part + 100_000]
-                earlier = _meets(cells[p][:, :table], cells[q][:, :table]).any(axis=1)
-                # within one table a pair may meet in both own cells: the smaller counts
-                mine, yours = cells[p][:, table, 0], cells[q][:, table, 0]
-                at_mine = (cells[q][:, table] == mine[:, None]).any(axis=1)
-                at_yours = (cells[p][:, table] == yours[:, None]).any(axis=1)
-                top = np.uint64(0xFFFFFFFFFFFFFFFF)
-                first = np.minimum(np.where(at_mine, mine, top), np.where(at_yours, yours, top))
-                keep = ~earlier & (first == cell)
-                ones.append(p[keep])
-                others.append(q[keep])
-    empty = np.zeros(0, np.int64)
-    return (
-        np.concatenate(ones) if ones else empty,
-        np.concatenate(others) if others else empty,
-    )
+                break
+            new = ~_meets(cells[i, earlier], cells[j, earlier])
+            i, j = i[new], j[new]
+        if len(i) == 0:
+            continue
+        # within one table a pair may meet in both own cells: the smaller counts
+        x, y = cells[i, table], cells[j, table]
+        at_x, at_y = (y == x[:, :1]).any(axis=1), (x == y[:, :1]).any(axis=1)
+        top = np.uint64(0xFFFFFFFFFFFFFFFF)
+        first = np.minimum(np.where(at_x, x[:, 0], top), np.where(at_y, y[:, 0], top)) == cell
+        i, j = i[first], j[first]
+        np.add.at(count, i, times[j])
+        np.add.at(count, j, times[i])
+        root = _joined(root, i, j)
+    return count, root
+
+
+def _joined(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest member that each member reaches, with links i - j added."""
+    while True:
+        x, y = root[i], root[j]
+        apart = x != y
+        if not apart.any():
+            return root
+        i, j, x, y = i[apart], j[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
 
 
 def _usable(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> DataFrame:
-    """row, vec_id, label and values of vectors that can link."""
+    """vec_id, label, values and node (a hash of label and values) of vectors that can link."""
     v = F.col("v")
     rows = vectors.select(
         F.col(vec_id).cast("long").alias("vec_id"),
         F.col(label).cast("long").alias("label"),
-        F.col(embedding).cast("array<double>").alias("v"),
+        # -0.0 becomes 0.0
+        F.transform(F.col(embedding).cast("array<double>"), lambda x: x + F.lit(0.0)).alias("v"),
     ).where("label is not null and vec_id is not null and size(v) > 0")
     huge = F.lit(float("inf"))
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < huge))
-    return rows.where(F.coalesce(sound, F.lit(False)) & F.exists(v, lambda x: x != 0.0))
+    rows = rows.where(F.coalesce(sound, F.lit(False)) & F.exists(v, lambda x: x != 0.0))
+    return rows.withColumn("node", F.xxhash64("label", "v"))
 
 
-def _spread(rows: DataFrame, buckets: int) -> DataFrame:
-    """Every vector once per cell it is stored or asks in, packed by bucket."""
-    names = ["cell", "table", "own", "row", "label", "vector"]
+def _by_dimension(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(dimension, places in the batch, unit vectors) of a batch of nodes."""
+    lists = batch.column("v")
+    sizes = np.array([len(x) for x in lists], np.int64)
+    for dimension in np.unique(sizes):
+        at = np.flatnonzero(sizes == dimension)
+        flat = lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
+        yield int(dimension), at, unit(flat.reshape(-1, dimension))
+
+
+def _large(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of more than ``CHUNK`` nodes, sorted, and the chunks each is dealt to.
+
+    They are at most 48 for every ``CHUNK`` nodes, so they fit the driver.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packers: dict[int, Packer] = {}
         for batch in batches:
-            lists = batch.column("v")
-            sizes = np.array([len(x) for x in lists], np.int64)
-            for dimension in np.unique(sizes):
-                at = np.flatnonzero(sizes == dimension)
-                flat = lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
-                values = unit(flat.reshape(-1, dimension))
+            for dimension, at, values in _by_dimension(batch):
                 labels = batch.column("label").to_numpy()[at]
-                ids = batch.column("vec_id").to_numpy()[at]
-                cells = Lattice(int(dimension)).cells(values, labels)
-                packer = packers.setdefault(int(dimension), Packer(names))
+                cells, n = np.unique(Lattice(dimension).cells(values, labels), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cells.view(np.int64), pa.int64()), pa.array(n, pa.int64())],
+                    names=["cell", "n"],
+                )
+
+    sizes = nodes.select("label", "v").mapInArrow(work, "cell long, n long")
+    large = sizes.groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > CHUNK).toArrow()
+    cells = large.column("cell").to_numpy().view(np.uint64)
+    order = np.argsort(cells)
+    return cells[order], -(-large.column("n").to_numpy()[order] // CHUNK)
+
+
+NAMES = ["task", "cell", "table", "own", "side", "node", "rep", "times", "label", "vector"]
+
+
+def _spread(nodes: DataFrame, buckets: int, large: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Every node once per cell it is stored or asks in, packed by bucket; in a large cell,
+    once per pair of chunks that its own chunk is in."""
+    hot, chunks = large
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packers: dict[int, Packer] = {}
+        for batch in batches:
+            for dimension, at, values in _by_dimension(batch):
+                labels, node, rep, times = (
+                    batch.column(c).to_numpy()[at] for c in ("label", "node", "rep", "times")
+                )
+                cells = Lattice(dimension).cells(values, labels)
+                packer = packers.setdefault(dimension, Packer(NAMES))
                 n, tables, probes = cells.shape
-                flat_cells = cells.reshape(-1)
-                which = np.repeat(np.arange(n), tables * probes)
-                for low in range(0, len(which), 200_000):
-                    part = slice(low, low + 200_000)
-                    w = which[part]
-                    packer.add(
-                        bucket_of(flat_cells[part], buckets),
-                        flat_cells[part],
-                        np.tile(np.repeat(np.arange(tables), probes), n)[part].astype(np.int16),
-                        np.tile(np.arange(probes), n * tables)[part].astype(np.int8),
-                        ids[w],
-                        labels[w],
-                        values[w],
-                    )
-                    if packer.full():
-                        yield from _tag(packer, int(dimension))
+                flat = cells.reshape(-1)
+                entry = np.arange(len(flat))
+                for low in range(0, len(flat), 50_000):
+                    e = entry[low : low + 50_000]
+                    parts = np.ones(len(e), np.int64)
+                    if len(hot):
+                        found = np.minimum(np.searchsorted(hot, flat[e]), len(hot) - 1)
+                        parts = np.where(hot[found] == flat[e], chunks[found], 1)
+                    mine = mix(node[e // (tables * probes)].view(np.uint64), 13)
+                    mine = (mine % parts.astype(np.uint64)).astype(np.int64)
+                    for other in range(int(parts.max())):
+                        take = parts > other
+                        x, c = e[take], mine[take]
+                        pair = np.minimum(c, other) * parts[take] + np.maximum(c, other)
+                        task = mix(flat[x] + pair.astype(np.uint64) * MULTIPLIER, 14)
+                        side = np.where(c == other, WITHIN, np.where(c < other, LOW, HIGH))
+                        w = x // (tables * probes)
+                        packer.add(
+                            bucket_of(task, buckets),
+                            task,
+                            flat[x],
+                            (x // probes % tables).astype(np.int16),
+                            (x % probes).astype(np.int8),
+                            side.astype(np.int8),
+                            node[w],
+                            rep[w],
+                            times[w],
+                            labels[w],
+                            values[w],
+                        )
+                        if packer.full():
+                            yield from _tag(packer, dimension)
         for dimension, packer in packers.items():
             yield from _tag(packer, dimension)
 
-    return rows.mapInArrow(work, Packer(names).schema() + ", dimension int")
+    return nodes.mapInArrow(work, Packer(NAMES).schema() + ", dimension int")
 
 
 def _tag(packer: Packer, dimension: int) -> Iterator[pa.RecordBatch]:
@@ -206,46 +286,41 @@ def _link_bucket(least: float):
 
     def work(table: pa.Table) -> pa.Table:
         dimension = table.column("dimension")[0].as_py()
-        cell, ids = unpack(table, "cell", "<u8"), unpack(table, "row", "<i8")
+        task, cell = unpack(table, "task", "<u8"), unpack(table, "cell", "<u8")
         tables, own = unpack(table, "table", "<i2"), unpack(table, "own", "<i1") == 0
+        side, node = unpack(table, "side", "<i1"), unpack(table, "node", "<i8")
+        rep, times = unpack(table, "rep", "<i8"), unpack(table, "times", "<i8")
         labels = unpack(table, "label", "<i8")
         vectors = unpack(table, "vector", "<f8").reshape(-1, dimension)
-        order = np.argsort(cell, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(cell[order]) != 0])
-        counts: dict[int, int] = {}
-        forest = Forest()
+        order = np.argsort(task, kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(task[order]) != 0])
+        found: list[tuple[np.ndarray, ...]] = []
         lattice = Lattice(dimension)
         for start, end in zip(starts, np.r_[starts[1:], len(order)], strict=True):
             members = order[start:end]
             if len(members) < 2 or not own[members].any():
                 continue
             close = np.zeros(len(members), bool)
-            for low in range(0, len(members), BLOCK):
-                part = members[low : low + BLOCK]
-                for other in range(0, len(members), BLOCK):
-                    hit = vectors[part] @ vectors[members[other : other + BLOCK]].T >= least
-                    close[low : low + BLOCK] |= hit.sum(axis=1) > (low == other)
+            for a, b, same in _blocks(side[members]):
+                hit = vectors[members[a]] @ vectors[members[b]].T >= least
+                close[a] |= hit.sum(axis=1) > same
+                close[b] |= hit.sum(axis=0) > same
             members = members[close]
             if len(members) < 2:
                 continue
             held = vectors[members]
-            i, j = link_cell(
-                own[members], np.arange(len(members)), held,
+            count, root = link_cell(
+                own[members], side[members], times[members], held,
                 lattice.cells(held, labels[members]),
                 int(tables[members[0]]), cell[members[0]], least,
             )
-            who, n = np.unique(np.r_[i, j], return_counts=True)
-            for at, c in zip(who.tolist(), n.tolist(), strict=True):
-                key = int(ids[members[at]])
-                counts[key] = counts.get(key, 0) + c
-            for a, b in zip(ids[members[i]].tolist(), ids[members[j]].tolist(), strict=True):
-                forest.join(a, b)
-        root = {n: forest.find(n) for n in counts}
+            at = np.flatnonzero(count)
+            found.append((node[members[at]], count[at], rep[members[at]], rep[members[root[at]]]))
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0, np.int64)] * 4
         return pa.table(
             {
-                "vec_id": pa.array(list(counts), pa.int64()),
-                "n": pa.array(list(counts.values()), pa.int64()),
-                "root": pa.array(list(root.values()), pa.int64()),
+                name: pa.array(column, pa.int64())
+                for name, column in zip(("node", "n", "rep", "root"), columns, strict=True)
             }
         )
 
@@ -261,18 +336,32 @@ def near_vectors(
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of ``vectors``."""
     usable = _usable(vectors, vec_id, embedding, label)
+    # one node for equal vectors, named for components by its smallest id
+    nodes = stage(
+        usable.groupBy("node").agg(
+            F.min("vec_id").alias("rep"), F.count("*").alias("times"),
+            F.first("label").alias("label"), F.first("v").alias("v"),
+        ),
+        "vectors",
+    )
     buckets = bucket_count(vectors.sparkSession)
     # cosines are taken of unit vectors, so a hair is allowed for rounding
     found = stage(
-        _spread(usable, buckets)
+        _spread(nodes, buckets, _large(nodes))
         .groupBy("bucket", "dimension")
-        .applyInArrow(_link_bucket(least - 1e-12), "vec_id long, n long, root long"),
+        .applyInArrow(_link_bucket(least - 1e-12), "node long, n long, rep long, root long"),
         "links",
     )
-    counts = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
-    nodes = components(found, "vec_id", "root").withColumnRenamed("node", "vec_id")
+    counts = found.groupBy("node").agg(F.sum("n").alias("n"))
+    linked = nodes.select("node", "rep", "times").join(counts, "node", "left").select(
+        "node", "rep", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n")
+    ).where("n > 0")
+    linked = stage(usable.select("vec_id", "node").join(linked, "node"), "linked")
+    counts = linked.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
+    links = linked.select("vec_id", "rep").union(found.select("rep", "root"))
+    parts = components(links, "vec_id", "rep").withColumnRenamed("node", "vec_id")
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"))
-    joined = rows.join(counts, "vec_id", "left").join(nodes, "vec_id", "left")
+    joined = rows.join(counts, "vec_id", "left").join(parts, "vec_id", "left")
     root = F.coalesce("component", "vec_id")
     return joined.select(
         "vec_id",
