@@ -4,11 +4,16 @@ Nodes that share a signature form a group.  Every member is first compared with
 group's smallest node.  Groups that the links found so far leave in several components
 are then looked into by their own tasks, with sketches in place of sets: two sketches
 differ in no more places than the sets do in elements, so a pair whose sketches differ too
-much cannot link.  Of the pairs that may, a task proposes only as many as could join its
-components, these are compared by their whole sets, and the groups are looked into again;
-the last round proposes all pairs that are left.  Pairs already connected are never
-proposed, so a group of copies costs one comparison each, groups of documents that merely
-share a passage propose nothing, and no link that joins components is missed.
+much cannot link.  A sketch has at least as many bits as its set has elements, so it tells
+large sets apart as well as small ones.  Of the pairs that may link, a task proposes at
+first one or so for each of its components, these are compared by their whole sets, and the
+groups are looked into again for pairs not yet compared, ``GROWTH`` times as many in each
+round, until nothing is left to propose.  Pairs already connected are never proposed, so a
+group of copies costs one comparison each, groups of documents that merely share a passage
+propose nothing, and no link that joins components is missed.
+
+Groups of more than ``CHUNK`` nodes, or of large sketches, are dealt to chunks, and each
+pair of chunks is a task of its own; so a task holds a bounded number of nodes and pairs.
 """
 
 from __future__ import annotations
@@ -17,16 +22,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.llm.components import Forest, components
+from modeloom.llm.components import components
 from modeloom.llm.flow import stage
-from modeloom.llm.text import mix, owners
+from modeloom.llm.text import mix, ragged
 
 FOUND = "kind byte, a long, b long"
-# Rounds that propose a forest before the one that proposes everything left.
-FOREST_ROUNDS = 1
+# Growth of the pairs proposed for each component from one round to the next.
+GROWTH = 8
+# Nodes, and elements of their sets, of one group that go to one chunk.
+CHUNK = 1024
+CHUNK_ELEMENTS = 1 << 26
 # Members compared at once inside a task.
 BLOCK = 512
 
@@ -35,24 +44,43 @@ Similar = Callable[[pa.Scalar, pa.Scalar], bool]
 
 
 def sketches(values: np.ndarray, offsets: np.ndarray, bits: int) -> pa.Array:
-    """Per set, whether each of ``bits`` hash classes holds an odd number of its elements."""
-    at = (mix(values, 9) % np.uint64(bits)).astype(np.int64)
-    out = []
-    for low in range(0, len(offsets) - 1, 1000):
-        part = offsets[low : low + 1001]
-        inside = at[part[0] : part[-1]]
-        count = np.bincount(
-            owners(part) * bits + inside, minlength=(len(part) - 1) * bits
-        )
-        rows = np.packbits((count & 1).astype(np.uint8)).reshape(-1, bits // 8)
-        out += [row.tobytes() for row in rows]
+    """Per set, whether each of its hash classes holds an odd number of its elements.
+
+    A set has ``bits`` classes, doubled until there is one for every element.  Folding the
+    halves of a sketch together gives the sketch of half as many classes.
+    """
+    sizes = np.diff(offsets)
+    wide = np.full(len(sizes), bits, np.int64)
+    while (wide < sizes).any():
+        wide = np.where(wide < sizes, wide * 2, wide)
+    mixed = mix(values, 9)
+    out: list[bytes] = [b""] * len(sizes)
+    for width in np.unique(wide).tolist():
+        sets = np.flatnonzero(wide == width)
+        step = max(1, 512_000 // width)
+        for low in range(0, len(sets), step):
+            part = sets[low : low + step]
+            inside = mixed[ragged(offsets[part], sizes[part])] % np.uint64(width)
+            place = np.repeat(np.arange(len(part)), sizes[part]) * width + inside.astype(np.int64)
+            count = np.bincount(place, minlength=len(part) * width)
+            rows = np.packbits((count & 1).astype(np.uint8)).reshape(-1, width // 8)
+            for at, row in zip(part.tolist(), rows, strict=True):
+                out[at] = row.tobytes()
     return pa.array(out, pa.binary())
 
 
-def _words(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Sketches as rows of 64-bit words."""
-    rows = [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
-    return np.stack(rows) if rows else np.zeros((0, 1), np.uint64)
+def _lengths(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Bytes of each sketch."""
+    return pc.binary_length(column).to_numpy().astype(np.int64)
+
+
+def _words(column: pa.Array | pa.ChunkedArray, at: np.ndarray, size: int) -> np.ndarray:
+    """Some sketches as rows of 64-bit words, folded to ``size`` bytes."""
+    out = np.zeros((len(at), size // 8), np.uint64)
+    for row, i in enumerate(at.tolist()):
+        whole = np.frombuffer(column[i].as_buffer(), np.uint64)
+        out[row] = np.bitwise_xor.reduce(whole.reshape(-1, size // 8), axis=0)
+    return out
 
 
 def _may_link(apart: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -111,9 +139,14 @@ def near_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            apart = np.bitwise_count(_words(batch.column("sa")) ^ _words(batch.column("sb")))
-            apart = apart.sum(axis=1, dtype=np.int64) if batch.num_rows else np.zeros(0, np.int64)
             n, m = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            one, other = batch.column("sa"), batch.column("sb")
+            apart = np.zeros(batch.num_rows, np.int64)
+            sizes = np.minimum(_lengths(one), _lengths(other))
+            for size in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == size)
+                differ = np.bitwise_count(_words(one, at, size) ^ _words(other, at, size))
+                apart[at] = differ.sum(axis=1, dtype=np.int64)
             yield batch.select(["a", "b"]).filter(pa.array(_may_link(apart, n, m), pa.bool_()))
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -147,63 +180,118 @@ def similar_sets(one: pa.Scalar, other: pa.Scalar) -> bool:
 
 
 def _near_blocks(
-    words: np.ndarray, n: np.ndarray, component: np.ndarray
+    table: pa.Table, component: np.ndarray
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a group that lie in different components and may link, block by block."""
-    for low in range(0, len(n), BLOCK):
-        for other in range(low, len(n), BLOCK):
-            a, b = slice(low, low + BLOCK), slice(other, other + BLOCK)
-            apart = np.zeros((len(n[a]), len(n[b])), np.int64)
-            for word in range(words.shape[1]):
-                apart += np.bitwise_count(words[a, word, None] ^ words[None, b, word])
-            fit = _may_link(apart, n[a, None], n[None, b])
-            fit &= component[a, None] != component[None, b]
-            i, j = np.nonzero(fit)
-            i, j = i + low, j + other
-            yield (i[i < j], j[i < j]) if low == other else (i, j)
+    """Pairs of a task that lie in different components and may link, block by block.
+
+    Members of side 0 are compared with each other, those of side 1 with those of side 2.
+    """
+    n, side = table.column("n").to_numpy(), table.column("side").to_numpy()
+    sketch = table.column("sketch").combine_chunks()
+    sizes = _lengths(sketch)
+    for size in np.unique(sizes).tolist():
+        # sets that may link differ by a factor 5/4 at most, their sketches by a factor 2
+        same, twice = np.flatnonzero(sizes == size), np.flatnonzero(sizes == 2 * size)
+        for wide, once in ((same, True), (twice, False)):
+            for x, y in ((0, 0), (1, 2)) if once else ((0, 0), (1, 2), (2, 1)):
+                ones, others = same[side[same] == x], wide[side[wide] == y]
+                for low in range(0, len(ones), BLOCK):
+                    a = ones[low : low + BLOCK]
+                    words = _words(sketch, a, size)
+                    halves = once and x == 0
+                    for next_low in range(low if halves else 0, len(others), BLOCK):
+                        b = others[next_low : next_low + BLOCK]
+                        more = _words(sketch, b, size)
+                        apart = np.zeros((len(a), len(b)), np.int64)
+                        for word in range(words.shape[1]):
+                            apart += np.bitwise_count(words[:, word, None] ^ more[None, :, word])
+                        fit = _may_link(apart, n[a, None], n[None, b])
+                        fit &= component[a, None] != component[None, b]
+                        i, j = np.nonzero(fit)
+                        if halves and low == next_low:
+                            i, j = i[i < j], j[i < j]
+                        yield a[i], b[j]
 
 
 def _active(table: pa.Table) -> pa.Table:
-    """(node): members of one group that may link with another member."""
+    """(node): members of one task that may link with another member."""
     node = table.column("node").to_numpy()
     hit = np.zeros(len(node), bool)
-    for i, j in _near_blocks(
-        _words(table.column("sketch")), table.column("n").to_numpy(), np.arange(len(node))
-    ):
+    for i, j in _near_blocks(table, np.arange(len(node))):
         hit[i] = hit[j] = True
     return pa.table({"node": pa.array(node[hit], pa.int64())})
 
 
-def _propose(everything: bool) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+def _propose(most: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+    """Pairs not asked before; one is left for later only if both its components have
+    ``most`` pairs in this round."""
+
     def work(_key: tuple, table: pa.Table, asked: pa.Table) -> pa.Table:
-        node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
-        before = set(zip(asked.column("a").to_pylist(), asked.column("b").to_pylist(), strict=True))
-        forest, out = Forest(), []
-        for i, j in _near_blocks(
-            _words(table.column("sketch")), table.column("n").to_numpy(), component
-        ):
-            ends = (node[i], node[j], component[i], component[j])
-            for a, b, x, y in zip(*(e.tolist() for e in ends), strict=True):
-                a, b = min(a, b), max(a, b)
-                if (a, b) in before:
-                    continue
-                if everything:
-                    out.append((a, b))
-                elif forest.find(x) != forest.find(y):
-                    forest.join(x, y)
-                    out.append((a, b))
-        g = table.column("g")[0].as_py() if table.num_rows else 0
-        return pa.table(
-            {
-                "g": pa.array([g] * len(out), pa.int64()),
-                "a": pa.array([p for p, _ in out], pa.int64()),
-                "b": pa.array([q for _, q in out], pa.int64()),
-            }
-        )
+        node = table.column("node").to_numpy()
+        _, component = np.unique(table.column("component").to_numpy(), return_inverse=True)
+        order = np.argsort(node)
+        before = np.zeros(0, np.int64)
+        if asked.num_rows and len(node):
+            # all asked pairs are of this task, and their nodes are still here or connected
+            ends = [asked.column(c).to_numpy() for c in ("a", "b")]
+            at = [np.minimum(np.searchsorted(node[order], e), len(node) - 1) for e in ends]
+            here = (node[order][at[0]] == ends[0]) & (node[order][at[1]] == ends[1])
+            x, y = (order[p[here]] for p in at)
+            before = np.minimum(x, y) * len(node) + np.maximum(x, y)
+        taken = np.zeros(len(node), np.int64)
+        out_a, out_b = [], []
+        for i, j in _near_blocks(table, component):
+            fresh = ~np.isin(np.minimum(i, j) * len(node) + np.maximum(i, j), before)
+            i, j = i[fresh], j[fresh]
+            for p, q, x, y in zip(
+                i.tolist(), j.tolist(), component[i].tolist(), component[j].tolist(), strict=True
+            ):
+                if taken[x] < most or taken[y] < most:
+                    taken[x] += 1
+                    taken[y] += 1
+                    out_a.append(p)
+                    out_b.append(q)
+        a, b = node[np.array(out_a, np.int64)], node[np.array(out_b, np.int64)]
+        same = {
+            c: pa.array(np.full(len(a), table.column(c)[0].as_py() if len(a) else 0), pa.int64())
+            for c in TASK
+        }
+        pair = {"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())}
+        return pa.table(same | pair)
 
     return work
 
 
+TASK = ["g", "low", "high"]
+
+
+def _chunks(members: DataFrame, known: DataFrame) -> DataFrame:
+    """``members`` (g, node) with the number of chunks of their group."""
+    sizes = members.join(known.select("node", "n"), "node").groupBy("g").agg(
+        F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("n") / CHUNK_ELEMENTS)).alias("chunks")
+    )
+    # at most one for every CHUNK members
+    large = F.broadcast(sizes.where("chunks > 1"))
+    return members.join(large, "g", "left").withColumn(
+        "chunks", F.coalesce("chunks", F.lit(1)).cast("long")
+    )
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Every member once for each task, a pair of chunks that its chunk is in; and its side."""
+    mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    dealt = members.withColumn("mine", mine).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    )
+    side = F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1)
+    return (
+        dealt.withColumn("low", F.least("mine", "other"))
+        .withColumn("high", F.greatest("mine", "other"))
+        .withColumn("side", side.otherwise(2))
+        .drop("mine", "other", "chunks")
+    )
+
+
 def closed_components(
     found: DataFrame, known: DataFrame, bodies: Bodies, similar: Similar
 ) -> DataFrame:
@@ -214,16 +302,19 @@ def closed_components(
     """
     pairs = stage(near_pairs(found.where("kind = 0").select("a", "b").distinct(), known), "near")
     members = found.where("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("node"))
-    members = members.distinct().join(known, "node")
-    active = members.groupBy("g").applyInArrow(_active, "node long")
+    members = members.distinct()
+    dealt = _dealt(_chunks(members, known)).join(known, "node")
+    active = dealt.groupBy(*TASK).applyInArrow(_active, "node long")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(active).distinct()
     # only nodes that may link are ever compared by their whole sets
     ends = stage(ends, "ends")
     whole = stage(bodies(ends), "bodies")
     links = stage(verified(pairs, whole, similar), "links")
-    members = stage(members.join(ends, "node", "left_semi"), "members")
-    asked = None
-    for turn in range(FOREST_ROUNDS + 1):
+    members = _chunks(members.join(ends, "node", "left_semi"), known)
+    members = stage(members.join(known, "node"), "members")
+    asked = members.sparkSession.createDataFrame([], "g long, low long, high long, a long, b long")
+    most = 1
+    while True:
         parts = components(links)
         placed = members.join(parts, "node", "left").withColumn(
             "component", F.coalesce("component", "node")
@@ -231,20 +322,16 @@ def closed_components(
         several = placed.groupBy("g").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).where("low <> high").select("g")
-        placed = placed.join(several, "g", "left_semi").select(
-            "g", "node", "component", "n", "sketch"
-        )
-        if asked is None:
-            asked = placed.sparkSession.createDataFrame([], "g long, a long, b long")
+        placed = _dealt(placed.join(several, "g", "left_semi"))
         fresh = stage(
-            placed.groupBy("g").cogroup(asked.groupBy("g")).applyInArrow(
-                _propose(turn == FOREST_ROUNDS), "g long, a long, b long"
+            placed.groupBy(*TASK).cogroup(asked.groupBy(*TASK)).applyInArrow(
+                _propose(most), "g long, low long, high long, a long, b long"
             ),
             "proposed",
         )
         if fresh.isEmpty():
             return parts
         asked = asked.union(fresh)
+        most *= GROWTH
         more = verified(fresh.select("a", "b").distinct(), whole, similar)
         links = stage(links.union(more), "links")
-    return stage(components(links), "components")
