@@ -7,8 +7,10 @@ candidates (a pair of similarity 0.8 is found with probability 0.996).  Candidat
 compared by their exact Jaccard similarity, links of 0.8 and more are joined by
 distributed union-find, and of each component one line stays: the first by document id
 and line number.  Equal plain lines are one node, so common lines are compared once.
+A shorter line has the whole line as its only shingle, so it links with equal lines only;
+these are its node already, and it needs no signature.
 
-Defined results: lines end at "\\n"; shorter and blank lines always stay.  NULL text has no
+Defined results: lines end at "\\n"; blank lines always stay.  NULL text has no
 lines and stays NULL; an empty text stays empty.  Rows that repeat an id are told apart by
 their text; equal rows stay or lose lines alike.  A NULL id counts as the smallest.  An empty
 table gives an empty table.  Other columns pass through unchanged.
@@ -40,7 +42,8 @@ from modeloom.llm.text import (
 WIDTH = 5
 BANDS = 14
 ROWS = 5
-LEAST = 20
+# Characters of the shortest line that has shingles besides itself.
+LEAST = WIDTH
 SKETCH_BITS = 256
 LINE_SHIFT, HASH_SHIFT = np.uint64(40), np.uint64(24)
 HASH_MASK = np.uint64((1 << 40) - 1)
@@ -48,25 +51,30 @@ SPACES = re.compile("[ \t\v\f\r]+")
 
 
 def plain_lines(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Plain form of every line long enough, its text's index and its number there."""
+    """Plain form of every line that is not blank, its text's index and its number there."""
     lines, owner, number = [], [], []
     for at, text in enumerate(lower(texts).to_pylist()):
         for n, line in enumerate(text.split("\n")):
             form = SPACES.sub(" ", line).strip(" ")
-            if len(form) >= LEAST:
+            if form:
                 lines.append(form)
                 owner.append(at)
                 number.append(n)
     return lines, np.array(owner, np.int64), np.array(number, np.int64)
 
 
+def shingled_lines(texts: pa.Array) -> list[str]:
+    """Distinct plain lines that have shingles."""
+    return list(dict.fromkeys(x for x in plain_lines(texts)[0] if len(x) >= LEAST))
+
+
 def line_nodes(lines: list[str]) -> np.ndarray:
     """64-bit hashes of plain lines."""
     return np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))
 
 
 def shingles(lines: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every run of ``width`` characters of each line (all are longer), and offsets."""
+    """Hash of every run of ``width`` characters of each line (none is shorter), and offsets."""
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     starts = np.cumsum(sizes) - sizes
@@ -123,8 +131,7 @@ def _signed(docs: DataFrame, buckets: int) -> DataFrame:
         packer = Packer(SIGNED)
         for batch in batches:
             for part in slices(batch, "text"):
-                lines, _, _ = plain_lines(texts_of(part.column("text")))
-                lines = list(dict.fromkeys(lines))
+                lines = shingled_lines(texts_of(part.column("text")))
                 if not lines:
                     continue
                 keys = band_keys(*shingles(lines)).reshape(-1)
@@ -154,8 +161,7 @@ def _known(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                lines, _, _ = plain_lines(texts_of(part.column("text")))
-                lines = list(dict.fromkeys(lines))
+                lines = shingled_lines(texts_of(part.column("text")))
                 if not lines:
                     continue
                 hashes, offsets = shingles(lines)
@@ -182,8 +188,7 @@ def _bodies(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                lines, _, _ = plain_lines(texts_of(part.column("text")))
-                lines = list(dict.fromkeys(lines))
+                lines = shingled_lines(texts_of(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(line_nodes(lines).view(np.int64), pa.int64()),
