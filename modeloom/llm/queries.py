@@ -11,13 +11,16 @@ from modeloom.llm import (
     embedding,
     exact_dedup,
     katz,
+    lexical,
     line_dedup,
     mixing,
     ngram_join,
     order,
     packing,
     phrases,
+    prefix_trie,
     quality,
+    topk_search,
 )
 from modeloom.llm.flow import stage
 from modeloom.plans.staging import staging_path
@@ -100,10 +103,27 @@ def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations, with subtree totals."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    documents, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return lexical.ranked_documents(documents, items)
+
+
+def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty highest products of every twentieth vector."""
+    return topk_search.top_products(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     plain = (
         op1_curve_packing, op2_ngram_join, op3_exact_dedup, op4_line_dedup, op5_training_order,
         op6_lattice_dedup, op7_compression_quality,
         op8_katz_backoff, op9_phrase_dedup, op10_entropy_mixing,
+        op11_prefix_trie, op12_ranked_search, op13_topk_search,
     )
     return {query.__name__: query for query in plain}
