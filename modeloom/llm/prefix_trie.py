@@ -24,17 +24,17 @@ ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel, TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modeloom.llm.flow import stage
 from modeloom.llm.forward import subtree_totals
-from modeloom.plans.staging import materialise
 
 HUNDRED = 100
 # Turns taken from the first conversation of the hundred: fewer than this.
@@ -45,9 +45,7 @@ BASES = np.array([1103515245, 1299709021, 1566083941, 1812433253], np.uint64)
 # Kinds of rows of a rebuilt conversation, in its order.
 HEAD, OWN, END = 0, 1, 2
 
-PREFIXES = (
-    "conv_id long, kind int, depth long, f1 long, f2 long, p1 long, p2 long, pos long, size long"
-)
+PREFIXES = "conv_id long, kind int, depth long, f1 long, f2 long, p1 long, p2 long, size long"
 KEY = ["depth", "f1", "f2"]
 
 
@@ -71,33 +69,49 @@ def packed(fields: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Runner:
-    """Running counts and fingerprints of sorted rows; a conversation may span batches."""
+    """Running depths and fingerprints of sorted rows; a conversation may span batches.
 
-    def __init__(self, conv: int | None = None, count: int = 0, fields=(0, 0, 0, 0)):
-        self.conv, self.count = conv, count
+    ``skip`` own turns of the conversation at hand are still to be left out.
+    """
+
+    def __init__(self, conv: int | None = None, skip: int = 0, count: int = 0, fields=(0,) * 4):
+        self.conv, self.skip, self.count = conv, skip, count
         self.fields = np.array(fields, np.uint64)
 
-    def add(self, conv: np.ndarray, digest: np.ndarray, turn: np.ndarray):
-        """Depth and fingerprint of each row, and the fingerprint before it."""
-        first = np.flatnonzero(np.r_[True, conv[1:] != conv[:-1]])
-        group = np.cumsum(np.r_[True, conv[1:] != conv[:-1]]) - 1
-        carried = bool(conv[0] == self.conv)
-        counts = np.cumsum(turn)
-        before = np.r_[0, counts][first]
-        if carried:
-            before[0] -= self.count
-        depth = counts - before[group]
+    def state(self) -> tuple[int, int, list[int]]:
+        return self.skip, self.count, [int(x) for x in self.fields]
+
+    def add(self, conv: np.ndarray, kind: np.ndarray, digest: np.ndarray):
+        """Whether a row stays, its depth and fingerprint, and the fingerprint before it."""
+        fresh = np.r_[True, conv[1:] != conv[:-1]]
+        first = np.flatnonzero(fresh)
+        group = np.cumsum(fresh) - 1
+        skip = np.array([shared_turns(c) for c in conv[first].tolist()], np.int64)
+        counted, held = np.zeros(len(first), np.int64), np.zeros((len(first), 4), np.uint64)
+        if conv[0] == self.conv:
+            skip[0], counted[0], held[0] = self.skip, self.count, self.fields
+
+        def running(values):
+            sums = np.cumsum(values, axis=0)
+            before = np.concatenate([np.zeros_like(sums[:1]), sums])[first]
+            return sums - before[group]
+
+        own = kind == OWN
+        passed = running(own.astype(np.int64))
+        turn = (kind == HEAD) | (own & (passed > skip[group]))
+        depth = running(turn.astype(np.int64)) + counted[group]
         terms = digest % PRIMES * powers(depth) % PRIMES
         terms[~turn] = 0
-        sums = np.cumsum(terms, axis=0)
-        base = np.vstack([np.zeros((1, 4), np.uint64), sums])[first]
-        after = (sums - base[group]) % PRIMES
-        if carried:
-            held = group == 0
-            after[held] = (after[held] + self.fields) % PRIMES
+        after = (running(terms) + held[group]) % PRIMES
         ahead = (after + PRIMES - terms) % PRIMES
         self.conv, self.count, self.fields = int(conv[-1]), int(depth[-1]), after[-1]
-        return depth, after, ahead
+        self.skip = max(0, int(skip[-1] - passed[-1]))
+        return turn | (kind == END), depth, after, ahead
+
+
+def shared_turns(conv: int) -> int:
+    """How many turns a conversation takes from the first of its hundred."""
+    return zlib.crc32(str(conv).encode()) % SHARED
 
 
 def _digests(column: pa.Array) -> np.ndarray:
@@ -107,145 +121,131 @@ def _digests(column: pa.Array) -> np.ndarray:
 
 
 def _arrays(batch: pa.RecordBatch):
-    conv = batch.column("conv_id").to_numpy()
-    turn = batch.column("kind").to_numpy() != END
-    return conv, _digests(batch.column("digest")), turn
-
+    conv, kind = batch.column("conv_id").to_numpy(), batch.column("kind").to_numpy()
+    return conv, kind, _digests(batch.column("digest"))
+
+
+def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per task: its first and last conversation and the state it ends in.
+
+    If it holds one conversation only, which may have begun in another task, there is a state
+    for each number of turns that may be left to skip.
+    """
+    whole, parts, first = Runner(), [Runner(None, r) for r in range(SHARED)], None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        conv, kind, digest = _arrays(batch)
+        if first is None:
+            first = int(conv[0])
+            for runner in parts:
+                runner.conv = first
+        mine = conv == first
+        if mine.any():
+            for runner in parts:
+                runner.add(conv[mine], kind[mine], digest[mine])
+        whole.add(conv, kind, digest)
+    if first is not None:
+        states = [r.state() for r in parts] if whole.conv == first else [whole.state()]
+        yield pa.RecordBatch.from_pydict(
+            {
+                "part": pa.array([TaskContext.get().partitionId()], pa.int64()),
+                "first": pa.array([first], pa.int64()),
+                "last": pa.array([whole.conv], pa.int64()),
+                "states": pa.array(
+                    [[[skip, count, *fields] for skip, count, fields in states]],
+                    pa.list_(pa.list_(pa.int64())),
+                ),
+            }
+        )
 
-def prefixes(rows: DataFrame, order: list) -> DataFrame:
-    """Depth and fingerprints of every row among its conversation's rows, in ``order`` (which
-    must begin with conv_id).  ``rows``: conv_id, kind, digest, pos, size and order columns."""
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialise(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order))
 
-    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runner, first = Runner(), None
-        for batch in batches:
-            if batch.num_rows:
-                conv, digest, turn = _arrays(batch)
-                first = int(conv[0]) if first is None else first
-                runner.add(conv, digest, turn)
-        if first is not None:
-            row = (TaskContext.get().partitionId(), first, runner.conv, runner.count)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    **{n: [v] for n, v in zip(("part", "first", "last", "n"), row, strict=True)},
-                    "fields": [[int(x) for x in runner.fields]],
-                }
-            )
-
-    # one row per task: its first and last conversation and what it holds of the last
-    found = ranged.mapInArrow(ends, "part long, first long, last long, n long, fields array<long>")
-    starts, carry = {}, (None, 0, (0, 0, 0, 0))
-    for row in sorted(found.collect(), key=lambda r: r["part"]):
+def carries(tails: list) -> dict[int, tuple]:
+    """For each task, the state in which the tasks before it leave its first conversation."""
+    starts, carry = {}, (None, 0, 0, (0,) * 4)
+    for row in sorted(tails, key=lambda r: r["part"]):
         starts[row["part"]] = carry
-        if carry[0] == row["last"]:
-            shift = powers(np.array([carry[1]]))[0]
-            held = np.array(row["fields"], np.uint64) * shift + np.array(carry[2], np.uint64)
-            carry = (carry[0], carry[1] + row["n"], tuple((held % PRIMES).tolist()))
+        conv, skip, count, fields = carry
+        joined = conv == row["first"]
+        if row["first"] != row["last"]:
+            skip, n, *more = row["states"][0]
+            joined = False
         else:
-            carry = (row["last"], row["n"], tuple(row["fields"]))
+            begun = skip if joined else shared_turns(row["first"])
+            skip, n, *more = row["states"][begun]
+        if joined:
+            shift = powers(np.array([count]))[0]
+            more = (np.array(more, np.uint64) * shift + np.array(fields, np.uint64)) % PRIMES
+            more, n = more.tolist(), count + n
+        carry = (row["last"], skip, n, tuple(more))
+    return starts
+
+
+def prefixes(ranged: DataFrame) -> DataFrame:
+    """Depth and fingerprints of every turn of the rebuilt conversations, and their ends.
+
+    ``ranged`` is range-partitioned, sorted and kept, so that both passes see the same rows.
+    """
+    tails = ranged.mapInArrow(
+        _tails, "part long, first long, last long, states array<array<long>>"
+    ).collect()
+    starts = carries(tails)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runner = Runner(*starts.get(TaskContext.get().partitionId(), (None, 0, (0, 0, 0, 0))))
+        runner = Runner(*starts.get(TaskContext.get().partitionId(), ()))
         for batch in batches:
             if batch.num_rows:
-                depth, after, ahead = runner.add(*_arrays(batch))
+                stays, depth, after, ahead = runner.add(*_arrays(batch))
                 columns = [depth, *packed(after), *packed(ahead)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("conv_id"), batch.column("kind"),
-                        *(pa.array(c.astype(np.int64)) for c in columns),
-                        batch.column("pos"), batch.column("size"),
+                        *(pa.array(c.astype(np.int64)) for c in columns), batch.column("size"),
                     ],
                     names=[f.split(" ")[0] for f in PREFIXES.split(", ")],
-                )
-
-    carried = ranged.select("conv_id", "kind", "digest", "pos", "size")
-    return carried.mapInArrow(work, PREFIXES)
+                ).filter(pa.array(stays))
 
-
-def shared_turns() -> F.Column:
-    """How many turns a conversation takes from the first of its hundred."""
-    return F.crc32(F.col("conv_id").cast("string").cast("binary")) % SHARED
+    return ranged.select("conv_id", "kind", "digest", "size").mapInArrow(work, PREFIXES)
 
 
-def numbered_turns(conversations: DataFrame, names: dict[str, str]) -> DataFrame:
-    """(conv_id, pos, digest, size) of every turn, ``pos`` from 1."""
+def turn_rows(conversations: DataFrame, names: dict[str, str]) -> DataFrame:
+    """(conv_id, turn, digest, size) of every turn that belongs to a conversation."""
     role, text = (F.coalesce(F.col(names[n]).cast("string"), F.lit("")) for n in ("role", "text"))
     content = F.concat(F.length(role).cast("string"), F.lit(":"), role, text)
-    turns = conversations.select(
+    return conversations.select(
         F.col(names["conv_id"]).cast("long").alias("conv_id"),
         F.col(names["turn"]).cast("long").alias("turn"),
         F.unhex(F.md5(content.cast("binary"))).alias("digest"),
         F.length(text).cast("long").alias("size"),
     ).where("conv_id is not null")
-    turns = turns.withColumn("kind", F.lit(OWN)).withColumn("pos", F.lit(0).cast("long"))
-    order = ["conv_id", F.asc_nulls_first("turn"), "digest"]
-    # depths of the original conversations are the numbers of their turns
-    ranged = turns.repartitionByRange(_parts(turns), *order).sortWithinPartitions(*order)
-    return _positions(materialise(ranged))
-
-
-def _parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _positions(ranged: DataFrame) -> DataFrame:
-    """The number of each turn in its conversation, over range-sorted partitions."""
-    here = F.spark_partition_id()
-    tails = (
-        ranged.groupBy(here.alias("part"), "conv_id").agg(F.count("*").alias("n"))
-        .groupBy("part")
-        .agg(F.max(F.struct("conv_id", "n")).alias("last"))
-        .orderBy("part")
-        .collect()
-    )
-    starts, carry = {}, (None, 0)
-    for row in tails:
-        starts[row["part"]] = carry
-        last, n = row["last"]["conv_id"], row["last"]["n"]
-        carry = (last, carry[1] + n if last == carry[0] else n)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, count = starts.get(TaskContext.get().partitionId(), (None, 0))
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            conv = batch.column("conv_id").to_numpy()
-            fresh = np.r_[True, conv[1:] != conv[:-1]]
-            first = np.flatnonzero(fresh)
-            at = np.arange(len(conv)) - np.repeat(first, np.diff(np.r_[first, len(conv)])) + 1
-            if conv[0] == last:
-                at[conv == last] += count
-            last, count = int(conv[-1]), int(at[-1])
-            yield batch.set_column(
-                batch.schema.get_field_index("pos"), "pos", pa.array(at, pa.int64())
-            )
-
-    return ranged.select("conv_id", "digest", "size", "kind", "pos").mapInArrow(
-        work, "conv_id long, digest binary, size long, kind int, pos long"
-    )
 
-
-def rebuilt_turns(turns: DataFrame) -> DataFrame:
-    """Turns of the rebuilt conversations and one END row for each, with order columns."""
-    columns = ["conv_id", "kind", "pos", "digest", "size"]
-    own = turns.where(F.col("pos") > shared_turns()).select(*columns)
+def rebuilt_rows(turns: DataFrame) -> DataFrame:
+    """Rows of the rebuilt conversations, range-sorted: the shared turns, all own turns (those
+    to be left out are still there), and one END row."""
+    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ["conv_id", "kind", "turn", "digest", "size"]
+    own = turns.withColumn("kind", F.lit(OWN)).select(*columns)
     convs = turns.select("conv_id").distinct()
-    first = F.col("conv_id") - F.col("conv_id") % HUNDRED
-    wanted = convs.withColumn("first", first).withColumn("h", shared_turns())
-    heads = turns.where((F.col("conv_id") % HUNDRED == 0) & (F.col("pos") < SHARED)).select(
-        F.col("conv_id").alias("first"), "pos", "digest", "size"
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % SHARED
+    wanted = convs.select(
+        "conv_id", (F.col("conv_id") - F.col("conv_id") % HUNDRED).alias("first"), h.alias("h")
+    )
+    # a limit per group: the engine cuts every task's rows before the shuffle
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "digest")
+    heads = turns.where(F.col("conv_id") % HUNDRED == 0)
+    heads = heads.withColumn("pos", F.row_number().over(order)).where(F.col("pos") < SHARED)
+    heads = heads.select(F.col("conv_id").alias("first"), "pos", "digest", "size")
+    taken = wanted.join(heads, "first").where("pos <= h").select(
+        "conv_id", F.lit(HEAD).alias("kind"), F.col("pos").cast("long").alias("turn"), "digest", "size"
     )
-    taken = wanted.join(heads, "first").where("pos <= h")
-    taken = taken.withColumn("kind", F.lit(HEAD)).select(*columns)
     ends = convs.select(
-        "conv_id", F.lit(END).alias("kind"), F.lit(0).cast("long").alias("pos"),
+        "conv_id", F.lit(END).alias("kind"), F.lit(None).cast("long").alias("turn"),
         F.lit(b"\0" * 16).alias("digest"), F.lit(0).cast("long").alias("size"),
     )
-    return own.union(taken).union(ends)
+    order = ["conv_id", "kind", F.asc_nulls_first("turn"), "digest"]
+    rows = own.union(taken).union(ends)
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
 
 def end_hashes(ends: DataFrame) -> DataFrame:
@@ -290,11 +290,12 @@ def end_hashes(ends: DataFrame) -> DataFrame:
             yield _hash_rows([(*key, state.hexdigest())])
 
     order = ["f1", "f2", "depth", "conv_id"]
-    ranged = ends.select(*KEY, "conv_id").repartitionByRange(_parts(ends), *order)
+    parts = int(ends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = ends.select(*KEY, "conv_id").repartitionByRange(parts, *order)
     joined = ranged.sortWithinPartitions(*order).mapInArrow(
         pieces, "depth long, f1 long, f2 long, low long, ids string"
     )
-    joined = joined.repartition(_parts(ends), *KEY).sortWithinPartitions(*KEY, "low")
+    joined = joined.repartition(parts, *KEY).sortWithinPartitions(*KEY, "low")
     return joined.mapInArrow(digests, "depth long, f1 long, f2 long, ends_sha256 string")
 
 
@@ -306,40 +307,34 @@ def _hash_rows(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def trie_nodes(prefix: DataFrame) -> DataFrame:
-    """One row per node: smallest member, depth, parent's smallest member, n_convs, n_children,
-    the size of its last text and the hash of the conversations that end in it."""
-    ends = prefix.where(F.col("kind") == END)
-    zero = F.lit(0).cast("long")
-    none = F.lit(None).cast("long")
-    root = ends.select(
-        "conv_id", zero.alias("depth"), zero.alias("f1"), zero.alias("f2"),
-        none.alias("p1"), none.alias("p2"), zero.alias("size"),
-    )
-    steps = prefix.where(F.col("kind") != END).select(
-        "conv_id", "depth", "f1", "f2", "p1", "p2", "size"
+def counted_nodes(prefix: DataFrame) -> DataFrame:
+    """One row per node: its key and its parent's, members, smallest member, size of its text."""
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+    root = F.col("kind") == END
+    steps = prefix.select(
+        "conv_id",
+        *(F.when(root, zero).otherwise(F.col(c)).alias(c) for c in [*KEY, "size"]),
+        *(F.when(root, none).otherwise(F.col(c)).alias(c) for c in ["p1", "p2"]),
     )
-    nodes = steps.union(root).groupBy(*KEY).agg(
+    return steps.groupBy(*KEY).agg(
         F.count("*").alias("n_convs"), F.min("conv_id").alias("owner"),
         F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.min("size").alias("size"),
     )
-    nodes = stage(nodes, "nodes")
+
+
+def linked_nodes(nodes: DataFrame) -> DataFrame:
+    """The nodes with ``above``, their parent's smallest member, and ``n_children``."""
     up = [(F.col("depth") - 1).alias("depth"), F.col("p1").alias("f1"), F.col("p2").alias("f2")]
     children = nodes.where("depth > 0").select(*up).groupBy(*KEY).agg(F.count("*").alias("n_children"))
     parents = nodes.select(
         (F.col("depth") + 1).alias("depth"), F.col("f1").alias("p1"), F.col("f2").alias("p2"),
         F.col("owner").alias("above"),
     )
-    return (
-        nodes.join(children, KEY, "left")
-        .join(end_hashes(ends), KEY, "left")
-        .join(parents, ["depth", "p1", "p2"], "left")
-        .select(
-            "owner", "depth", "above", "n_convs", F.coalesce("n_children", zero).alias("n_children"),
-            "size",
-            F.coalesce("ends_sha256", F.sha2(F.lit(b""), 256)).alias("ends_sha256"),
-        )
-    )
+    found = nodes.join(children, KEY, "left").join(parents, ["depth", "p1", "p2"], "left")
+    return found.select(
+        *KEY, "owner", "above", "n_convs", "size",
+        F.coalesce("n_children", F.lit(0).cast("long")).alias("n_children"),
+    )
 
 
 def prefix_trie(
@@ -352,10 +347,13 @@ def prefix_trie(
 ) -> DataFrame:
     """The nodes of the trie of rebuilt conversations."""
     names = {"conv_id": conv_id, "turn": turn, "role": role, "text": text}
-    turns = stage(numbered_turns(conversations, names), "turns")
-    rebuilt = rebuilt_turns(turns)
-    prefix = stage(prefixes(rebuilt, ["conv_id", "kind", "pos"]), "prefixes")
-    nodes = stage(trie_nodes(prefix), "trie")
+    ranged = rebuilt_rows(turn_rows(conversations, names)).persist(StorageLevel.DISK_ONLY)
+    prefix = prefixes(ranged).persist(StorageLevel.DISK_ONLY)
+    nodes = stage(counted_nodes(prefix), "nodes")
+    ends = stage(end_hashes(prefix.where(F.col("kind") == END)), "ends")
+    prefix.unpersist()
+    ranged.unpersist()
+    nodes = stage(linked_nodes(nodes), "trie")
     own = nodes.select(
         "owner", "depth", "above",
         (F.col("n_children") == 0).cast("long").alias("leaves"),
@@ -363,7 +361,7 @@ def prefix_trie(
     )
     totals = subtree_totals(own)
     zero = F.lit(0).cast("long")
-    return nodes.join(totals, ["owner", "depth"], "left").select(
+    return nodes.join(totals, ["owner", "depth"], "left").join(ends, KEY, "left").select(
         F.col("owner").alias("conv_id"),
         "depth",
         F.col("above").alias("parent_conv_id"),
@@ -371,5 +369,5 @@ def prefix_trie(
         "n_children",
         F.coalesce("leaves", zero).alias("n_leaves"),
         F.coalesce("saved", zero).alias("saved_tokens"),
-        "ends_sha256",
+        F.coalesce("ends_sha256", F.sha2(F.lit(b""), 256)).alias("ends_sha256"),
     )
