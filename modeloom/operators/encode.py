@@ -53,13 +53,15 @@ class MixedModel:
     """A fitted mixed column.
 
     ``values`` holds the normalised value of every modal value, ``order`` the slots of
-    ``modal ++ active modes`` by falling mass at fit time.
+    ``modal ++ active modes`` by falling mass at fit time.  ``model`` is the mixture of the
+    ordinary rows; ``overall``, that of all rows, is known right after a fit only.
     """
 
     modal: tuple[float, ...]
     values: tuple[float, ...]
     model: MixtureModel
     order: tuple[int, ...]
+    overall: MixtureModel | None = None
 
     @property
     def width(self) -> int:
@@ -95,7 +97,7 @@ def mixed_model(
     mass = [float(n) for n in modal_rows] + [rest.mass[k] for k in rest.active]
     order = tuple(sorted(range(len(mass)), key=lambda slot: (-mass[slot], slot)))
     modal = tuple(float(v) for v in modal)
-    return MixedModel(modal, modal_values(overall, modal, missing), rest, order)
+    return MixedModel(modal, modal_values(overall, modal, missing), rest, order, overall)
 
 
 def stage_choice(

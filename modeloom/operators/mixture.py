@@ -1,10 +1,13 @@
 """Dirichlet-process Gaussian mixtures fitted by distributed variational EM.
 
 The model is the truncated stick-breaking mixture (Blei & Jordan 2006; Attias 2000).
-Spark does the pass over the data: every task reduces its rows to a few sums per
-mode, Spark adds those up, and the driver updates K-sized parameters.  All columns
-share each pass.  The passes run over the packed, persisted columns; a lost block is
-read again from the source.
+By default the table is scanned once, into a bounded summary of every column
+(:mod:`modeloom.operators.cells`), and each column's passes run over its cells in one task.
+The other way is a pass of Spark over all rows: every task reduces its rows to a few sums
+per mode, Spark adds those up, and the driver updates K-sized parameters; all columns
+share each pass over the packed, persisted columns, and a lost block is read again from
+the source.  Either way passes are extrapolated, so that a fit comes to rest in tens of
+passes where plain updates take hundreds.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modeloom.functions.special import digamma, log_gamma
+from modeloom.operators.cells import CELLS, value_cells
 from modeloom.operators.order_stats import (
     block_moments,
     block_order_statistics,
@@ -37,6 +41,9 @@ COVARIANCE_FLOOR = 1e-6
 DECILES = tuple(range(100, 1000, 100))
 # Rounds after which the k-means start is taken as it is.
 KMEANS_ROUNDS = 300
+# The longest extrapolation at first, and the factor by which the limit grows.
+STEP_LIMIT = 4.0
+STEP_GROWTH = 4.0
 
 PARAM_SCHEMA = (
     "col string, k int, weight double, mean double, std double, log_c double,"
@@ -50,7 +57,8 @@ class MixtureModel:
 
     Mode k has log density term ``log_c - half_prec * (x - mean)^2`` including its
     log weight.  ``mass`` is its summed posterior and ``hits`` the rows it wins.  Slots are
-    ordered by mass where modes are drawn, and by hits where the likeliest is taken.
+    ordered by mass where modes are drawn, and by hits where the likeliest is taken.  ``gap``
+    bounds, per row, how far the bound over all rows may lie above the last of ``bounds``.
     """
 
     weight: tuple[float, ...]
@@ -64,6 +72,7 @@ class MixtureModel:
     iterations: int = 0
     converged: bool = True
     start_settled: bool = True
+    gap: float = 0.0
     order_by: str = "mass"
     bounds: tuple[float, ...] = field(default=(), repr=False)
 
@@ -277,20 +286,36 @@ def _cut_ranks(rows: int, cuts: Sequence[int]) -> list[int]:
     return [max(1, -(-rows * per_mille // 1000)) for per_mille in cuts]
 
 
-def _cut_kernels(blocks, stats, cuts_of) -> dict[int, dict]:
+class _Blocks:
+    """All rows, packed and kept: every pass reads them."""
+
+    def __init__(self, counts: DataFrame):
+        self.blocks = value_blocks(counts).persist(StorageLevel.MEMORY_AND_DISK)
+        self.stats = block_moments(self.blocks)
+
+    def sums(self, kernels: Mapping[int, dict]) -> dict[int, dict[str, np.ndarray]]:
+        return mode_sums(self.blocks, kernels)
+
+    def cuts(self, per_mille: Sequence[int]) -> dict[int, np.ndarray]:
+        ranks = {c: _cut_ranks(s["rows"], per_mille) for c, s in self.stats.items()}
+        found = block_order_statistics(self.blocks, ranks)
+        return {c: np.array([found[(c, r)] for r in wanted]) for c, wanted in ranks.items()}
+
+    def close(self) -> None:
+        self.blocks.unpersist()
+
+
+def _cut_kernels(data, per_mille: Sequence[int]) -> dict[int, dict]:
     """Hard assignment by order statistics at the given per-mille ranks."""
-    ranks = {c: _cut_ranks(s["rows"], cuts_of) for c, s in stats.items()}
-    found = block_order_statistics(blocks, ranks)
     kernels = {}
-    for c, s in stats.items():
-        cuts = np.array([found[(c, r)] for r in ranks[c]])
-        scale = math.sqrt(s["var"]) or 1.0
-        edges = (cuts - s["mean"]) / scale
+    for c, cuts in data.cuts(per_mille).items():
+        mean, scale = data.stats[c]["mean"], math.sqrt(data.stats[c]["var"]) or 1.0
+        edges = (cuts - mean) / scale
         kernels[c] = {
-            "shift": s["mean"], "scale": scale, "cuts": cuts,
+            "shift": mean, "scale": scale, "cuts": cuts,
             "m": np.concatenate([edges, edges[-1:]]) if len(cuts) else np.zeros(1),
         }
-    return _centred(kernels, mode_sums(blocks, kernels))
+    return _centred(kernels, data.sums(kernels))
 
 
 def _centred(kernels, sums):
@@ -301,12 +326,12 @@ def _centred(kernels, sums):
     return kernels
 
 
-def _lloyd(blocks, kernels, rounds, tol=1e-4):
+def _lloyd(data, kernels, rounds, tol=1e-4):
     """Move the cut points to the 1-D k-means solution next to them; and whether they
     came to rest within ``rounds``."""
     for _ in range(rounds):
         moved = 0.0
-        sums = mode_sums(blocks, kernels)
+        sums = data.sums(kernels)
         for c, kernel in _centred(kernels, sums).items():
             n = sums[c]["n"]
             held = np.sort(kernel["m"][n > 0])
@@ -322,9 +347,82 @@ def _lloyd(blocks, kernels, rounds, tol=1e-4):
     return kernels, False
 
 
-def fit_counts(
-    counts: DataFrame,
-    n_series: int,
+class _Ascent:
+    """The passes of one column: plain updates, and squared extrapolation between them.
+
+    A cycle is two plain updates and one from the point they lead to when their change is
+    carried on (Varadhan & Roland 2008, second step length).  The coordinates are the square
+    roots of the shares, the means and the log variances, so every point is a proper
+    posterior.  The third update stays only where the bound does not fall; else the cycle is
+    two plain updates.  Steps are bounded, and the limit grows as long as it is reached.
+    """
+
+    def __init__(self, rows, kernel, sums, *, alpha, tol, accelerate):
+        self.rows, self.alpha, self.tol, self.accelerate = rows, alpha, tol, accelerate
+        self.shift, self.scale, var = kernel["shift"], kernel["scale"], kernel["var"]
+        self.floor = COVARIANCE_FLOOR / self.scale**2
+        self.prior = max(var / self.scale**2, self.floor)
+        self.state = self._update(sums, kernel)
+        self.trial: _Posterior | None = None
+        self.path: list[np.ndarray] = []
+        self.bounds: list[float] = []
+        self.passes = self.refused = 0
+        self.longest, self.at_limit = STEP_LIMIT, False
+        self.converged = False
+
+    def _update(self, sums, kernel) -> _Posterior:
+        return _Posterior.update(sums, kernel["m"], self.prior, self.floor, self.alpha)
+
+    def kernel(self) -> dict:
+        return (self.trial or self.state).kernel(self.shift, self.scale)
+
+    def take(self, sums, kernel) -> None:
+        """One pass under :meth:`kernel` was made."""
+        self.passes += 1
+        fresh = self._update(sums, kernel)
+        bound = fresh.bound(sums, kernel) / self.rows
+        if self.trial is not None:
+            self.trial = None
+            if bound >= self.bounds[-1]:
+                self.bounds.append(bound)
+                self.state = fresh
+            else:
+                self.refused += 1
+                if self.at_limit:
+                    self.longest = max(STEP_LIMIT, self.longest / STEP_GROWTH**2)
+            self.path = [self._point(self.state)]
+            return
+        self.converged = bool(self.bounds) and abs(bound - self.bounds[-1]) < self.tol
+        self.bounds.append(bound)
+        self.state = fresh
+        self.path.append(self._point(fresh))
+        if self.accelerate and len(self.path) == 3:
+            self.trial = self._carried_on()
+
+    def _point(self, state: _Posterior) -> np.ndarray:
+        share = (state.a - 1.0) / self.rows
+        return np.concatenate([np.sqrt(share), state.m, np.log(state.var)])
+
+    def _carried_on(self) -> _Posterior:
+        first, second, third = self.path
+        step = second - first
+        turn = third - second - step
+        size = float(turn @ turn)
+        length = abs(float(step @ turn)) / size if size > 0 else 1.0
+        length = max(1.0, min(length, self.longest))
+        self.at_limit = length == self.longest
+        if self.at_limit:
+            self.longest *= STEP_GROWTH
+        share, m, log_var = np.split(first + 2 * length * step + length**2 * turn, 3)
+        n = np.maximum(share, 0.0) ** 2
+        n = n * (self.rows / n.sum()) if n.sum() > 0 else self.state.a - 1.0
+        later = np.concatenate([np.cumsum(n[::-1])[-2::-1], [0.0]]) if len(n) > 1 else np.zeros(1)
+        var = np.exp(np.clip(log_var, math.log(self.floor) - 1, 50.0))
+        return _Posterior(a=1 + n, b=self.alpha + later, beta=1 + n, m=m, nu=1 + n, var=var)
+
+
+def _fit(
+    data,
     *,
     n_components: int = N_COMPONENTS,
     eps: float = EPS,
@@ -333,72 +431,179 @@ def fit_counts(
     tol: float = 1e-6,
     init: str = "quantile",
     kmeans_rounds: int = KMEANS_ROUNDS,
-) -> list[MixtureModel]:
-    """Fit every column of values ``(c, x)`` or counts ``(c, x, w)`` in shared passes.
+    accelerate: bool = True,
+) -> dict[int, MixtureModel]:
+    """Fit every column of ``data`` (rows or cells); columns share each pass.
 
-    Stops a column when its bound moves by less than ``tol`` per row.  A k-means start that
-    has not come to rest after ``kmeans_rounds`` leaves ``start_settled`` False.
+    Stops a column when its bound moves by less than ``tol`` per row in a plain update.  A
+    k-means start that has not come to rest after ``kmeans_rounds`` leaves ``start_settled``
+    False, a fit that has not stopped after ``max_iter`` passes ``converged``.
     """
     if init not in ("quantile", "kmeans"):
         raise ValueError(f"init must be 'quantile' or 'kmeans', not {init!r}")
-    blocks = value_blocks(counts).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = block_moments(blocks)
-    missing = [c for c in range(n_series) if c not in stats]
-    if missing:
-        blocks.unpersist()
-        raise ValueError(f"no usable value in column number {missing}")
-
-    cuts = [round(1000 * i / n_components) for i in range(1, n_components)]
-    kernels, settled = _cut_kernels(blocks, stats, cuts), True
+    per_mille = [round(1000 * i / n_components) for i in range(1, n_components)]
+    start, settled = _cut_kernels(data, per_mille), True
     if init == "kmeans":
-        kernels, settled = _lloyd(blocks, kernels, kmeans_rounds)
-
-    def settle(c, sums):
-        scale = kernels[c]["scale"]
-        floor = COVARIANCE_FLOOR / scale**2
-        prior = max(stats[c]["var"] / scale**2, floor)
-        return _Posterior.update(sums, kernels[c]["m"], prior, floor, weight_prior)
-
-    state = {c: settle(c, sums) for c, sums in mode_sums(blocks, kernels).items()}
-    bounds: dict[int, list[float]] = {c: [] for c in state}
-    converged: dict[int, int] = {}
-    running = set(state)
-    for iteration in range(1, max_iter + 1):
-        for c in running:
-            kernels[c] = state[c].kernel(kernels[c]["shift"], kernels[c]["scale"])
-        for c, sums in mode_sums(blocks, {c: kernels[c] for c in running}).items():
-            state[c] = settle(c, sums)
-            bounds[c].append(state[c].bound(sums, kernels[c]) / stats[c]["rows"])
-            if len(bounds[c]) > 1 and abs(bounds[c][-1] - bounds[c][-2]) < tol:
-                converged[c] = iteration
-        running -= set(converged)
-        if not running:
+        start, settled = _lloyd(data, start, kmeans_rounds)
+    fits = {
+        c: _Ascent(
+            data.stats[c]["rows"], start[c] | {"var": data.stats[c]["var"]}, sums,
+            alpha=weight_prior, tol=tol, accelerate=accelerate,
+        )
+        for c, sums in data.sums(start).items()
+    }
+    for _ in range(max_iter):
+        kernels = {c: fit.kernel() for c, fit in fits.items() if not fit.converged}
+        if not kernels:
             break
+        for c, sums in data.sums(kernels).items():
+            fits[c].take(sums, kernels[c])
 
     # A last pass under the final parameters gives mass and use of every mode.
-    for c in state:
-        kernels[c] = state[c].kernel(kernels[c]["shift"], kernels[c]["scale"])
-    final = mode_sums(blocks, kernels)
-    blocks.unpersist()
+    kernels = {c: fit.state.kernel(fit.shift, fit.scale) for c, fit in fits.items()}
+    final = data.sums(kernels)
+    models = {}
+    for c, fit in fits.items():
+        kernel, scale = kernels[c], fit.scale
+        models[c] = MixtureModel(
+            weight=tuple(fit.state.weights().tolist()),
+            mean=tuple((kernel["m"] * scale + kernel["shift"]).tolist()),
+            std=tuple((np.sqrt(fit.state.var) * scale).tolist()),
+            log_c=tuple((kernel["c"] - math.log(scale)).tolist()),
+            half_prec=tuple((kernel["h"] / scale**2).tolist()),
+            mass=tuple(final[c]["n"].tolist()),
+            hits=tuple(int(round(v)) for v in final[c]["hits"]),
+            eps=eps,
+            iterations=fit.passes,
+            converged=fit.converged,
+            start_settled=settled,
+            bounds=tuple(fit.bounds),
+            gap=float(final[c]["gap"]) / data.stats[c]["rows"] if "gap" in final[c] else 0.0,
+        )
+    return models
+
+
+def _missing(found, n_series: int) -> None:
+    missing = [c for c in range(n_series) if c not in found]
+    if missing:
+        raise ValueError(f"no usable value in column number {missing}")
+
+
+def fit_counts(counts: DataFrame, n_series: int, **options) -> list[MixtureModel]:
+    """Fit every column of values ``(c, x)`` or counts ``(c, x, w)``; each pass reads all rows.
+
+    ``options`` are those of :func:`fit_mixtures` that concern the fit itself.
+    """
+    data = _Blocks(counts)
+    try:
+        _missing(data.stats, n_series)
+        models = _fit(data, **options)
+    finally:
+        data.close()
+    return [models[c] for c in range(n_series)]
+
+
+class _Cells:
+    """One column's cells (see :mod:`modeloom.operators.cells`) in the arrays of one task.
+
+    All rows of a cell share one posterior, taken at the cell's mean and spread (Kurihara,
+    Welling & Vlassis 2006): the bound stays a lower bound of the bound over all rows, and
+    their difference is at most ``gap``.
+    """
+
+    def __init__(self, n, mean, m2, low, high):
+        order = np.argsort(high, kind="stable")
+        self.n, self.mean, self.m2 = n[order], mean[order], m2[order]
+        self.low, self.high = low[order], high[order]
+        rows = float(self.n.sum())
+        centre = float(np.clip(self.n @ self.mean / rows, self.low.min(), self.high.max()))
+        ss = float(self.m2.sum() + self.n @ (self.mean - centre) ** 2)
+        self.rows = int(round(rows))
+        self.stats = {
+            0: {"rows": self.rows, "mean": centre, "var": ss / (rows - 1) if rows > 1 else 0.0}
+        }
+
+    def cuts(self, per_mille: Sequence[int]) -> dict[int, np.ndarray]:
+        at = np.searchsorted(np.cumsum(self.n), _cut_ranks(self.rows, per_mille))
+        return {0: self.high[np.minimum(at, len(self.high) - 1)]}
+
+    def sums(self, kernels: Mapping[int, dict]) -> dict[int, dict[str, np.ndarray]]:
+        out = {}
+        for c, kernel in kernels.items():
+            z = (self.mean - kernel["shift"]) / kernel["scale"]
+            inside = self.m2 / kernel["scale"] ** 2
+            away = z[:, None] - kernel["m"]
+            weight = self.n
+            found = {"gap": 0.0}
+            if "cuts" in kernel:
+                winner = np.searchsorted(kernel["cuts"], self.high, side="left")
+                share = np.zeros(away.shape)
+                share[np.arange(len(z)), winner] = 1.0
+                log_norm = 0.0
+            else:
+                squares = away**2 + (inside / weight)[:, None]
+                terms = kernel["c"] - kernel["h"] * squares
+                top = terms.max(axis=1)
+                share = np.exp(terms - top[:, None])
+                norm = share.sum(axis=1)
+                share /= norm[:, None]
+                winner = terms.argmax(axis=1)
+                log_norm = float(weight @ (top + np.log(norm)))
+                # how far a row's terms may lie from its cell's: exp(g) - 1 - g <= g^2 exp(|g|) / 2
+                reach = (
+                    np.maximum(self.high - self.mean, self.mean - self.low) / kernel["scale"]
+                )[:, None]
+                wide = np.flatnonzero(reach[:, 0] > 0)
+                g = kernel["h"] * reach[wide] * (2 * np.abs(away[wide]) + reach[wide])
+                with np.errstate(over="ignore"):
+                    most = np.minimum(share[wide] * g**2 * np.exp(np.minimum(g, 700.0)) / 2, 1e300)
+                found["gap"] = float(weight[wide] @ most.sum(axis=1)) if len(wide) else 0.0
+            size = len(kernel["m"])
+            found |= {
+                "n": weight @ share,
+                "s1": (weight[:, None] * share * away).sum(axis=0),
+                "s2": (weight[:, None] * share * away**2 + inside[:, None] * share).sum(axis=0),
+                "hits": np.bincount(winner, weights=weight, minlength=size),
+                "log_norm": np.array([log_norm]),
+            }
+            out[c] = found
+        return out
+
+
+MODEL_ARRAYS = ("weight", "mean", "std", "log_c", "half_prec", "mass", "bounds")
+
+
+def fit_cells(cells: DataFrame, n_series: int, **options) -> list[MixtureModel]:
+    """Fit every column of a summary (see :mod:`modeloom.operators.cells`), one task a column.
+
+    A column's cells are bounded in number, so all passes run over arrays in its task; where
+    its distinct values are no more than that, the result is that of a fit over all rows.
+    """
+
+    def work(table):
+        import pyarrow as pa
+
+        parts = [table.column(n).to_numpy() for n in ("n", "mean", "m2", "low", "high")]
+        model = _fit(_Cells(*parts), **options)[0]
+        row = {"c": pa.array([table.column("c")[0].as_py()], pa.int32())}
+        for name in MODEL_ARRAYS:
+            row[name] = pa.array([list(getattr(model, name))], pa.list_(pa.float64()))
+        row["hits"] = pa.array([list(model.hits)], pa.list_(pa.int64()))
+        for name in ("iterations", "converged", "start_settled", "gap"):
+            row[name] = pa.array([getattr(model, name)])
+        return pa.table(row)
+
+    schema = ", ".join(["c int", *[f"{n} array<double>" for n in MODEL_ARRAYS], "hits array<long>"])
+    schema += ", iterations long, converged boolean, start_settled boolean, gap double"
+    rows = cells.select("c", "n", "mean", "m2", "low", "high").groupBy("c").applyInArrow(work, schema)
+    found = {r["c"]: r.asDict() for r in rows.collect()}  # a few numbers per column and mode
+    _missing(found, n_series)
     models = []
     for c in range(n_series):
-        kernel, scale = kernels[c], kernels[c]["scale"]
-        models.append(
-            MixtureModel(
-                weight=tuple(state[c].weights().tolist()),
-                mean=tuple((kernel["m"] * scale + kernel["shift"]).tolist()),
-                std=tuple((np.sqrt(state[c].var) * scale).tolist()),
-                log_c=tuple((kernel["c"] - math.log(scale)).tolist()),
-                half_prec=tuple((kernel["h"] / scale**2).tolist()),
-                mass=tuple(final[c]["n"].tolist()),
-                hits=tuple(int(round(v)) for v in final[c]["hits"]),
-                eps=eps,
-                iterations=len(bounds[c]),
-                converged=c in converged,
-                start_settled=settled,
-                bounds=tuple(bounds[c]),
-            )
-        )
+        row = found[c]
+        arrays = {n: tuple(row[n]) for n in (*MODEL_ARRAYS, "hits")}
+        facts = {n: row[n] for n in ("iterations", "converged", "start_settled", "gap")}
+        models.append(MixtureModel(**arrays, **facts, eps=options.get("eps", EPS)))
     return models
 
 
@@ -409,18 +614,30 @@ def fit_mixtures(
     sample_fraction: float | None = None,
     key: Sequence[str] = (),
     seed: int = 42,
+    on: str = "cells",
+    limit: int = CELLS,
     combine: bool = False,
     **options,
 ) -> dict[str, MixtureModel]:
     """Fit one mixture per numeric column, on all rows unless a fraction is asked for.
 
-    With ``key`` the sample is drawn by hash and is the same on every run.  ``combine``
-    counts equal values first, by one shuffle; worth it where they repeat many times.
+    ``on="cells"`` scans the table once, into at most ``limit`` cells a column, and fits those;
+    ``gap`` of a model bounds what the bound per row loses by it, and is 0 where a column has no
+    more distinct values.  ``on="rows"`` reads all rows in every pass; ``combine`` counts equal
+    values first, by one shuffle.  With ``key`` the sample is drawn by hash and is the same on
+    every run.  ``options``: ``n_components``, ``eps``, ``weight_prior``, ``max_iter``, ``tol``,
+    ``init`` (``"quantile"`` or ``"kmeans"``), ``kmeans_rounds``, ``accelerate``.
     """
+    if on not in ("cells", "rows"):
+        raise ValueError(f"on must be 'cells' or 'rows', not {on!r}")
     if sample_fraction is not None and sample_fraction < 1:
         df = hash_sample(df, sample_fraction, key, seed) if key else df.sample(False, sample_fraction, seed)
-    values = (value_counts if combine else column_values)(df, columns)
-    return dict(zip(columns, fit_counts(values, len(columns), **options), strict=True))
+    if on == "cells":
+        models = fit_cells(value_cells(df, columns, limit=limit), len(columns), **options)
+    else:
+        values = (value_counts if combine else column_values)(df, columns)
+        models = fit_counts(values, len(columns), **options)
+    return dict(zip(columns, models, strict=True))
 
 
 def bucket_counts_models(
@@ -435,15 +652,14 @@ def bucket_counts_models(
 
     ``cuts`` are per-mille ranks; a value equal to a cut belongs to the bucket below.
     """
-    blocks = value_blocks(counts).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = block_moments(blocks)
-    missing = [c for c in range(n_series) if c not in stats]
-    if missing:
-        blocks.unpersist()
-        raise ValueError(f"no usable value in column number {missing}")
-    hard = _cut_kernels(blocks, stats, cuts)
+    data = _Blocks(counts)
+    stats = data.stats
+    if len(stats) < n_series:
+        data.close()
+        _missing(stats, n_series)
+    hard = _cut_kernels(data, cuts)
     shapes, soft = {}, {}
-    for c, sums in mode_sums(blocks, hard).items():
+    for c, sums in data.sums(hard).items():
         n, kernel = sums["n"], hard[c]
         safe = np.maximum(n, 1)
         centre = kernel["m"] + sums["s1"] / safe
@@ -458,8 +674,8 @@ def bucket_counts_models(
             "shift": kernel["shift"], "scale": scale, "m": centre,
             "c": log_c + math.log(scale), "h": 0.5 / (std / scale) ** 2,
         }
-    final = mode_sums(blocks, soft)
-    blocks.unpersist()
+    final = data.sums(soft)
+    data.close()
     models = []
     for c in range(n_series):
         weight, mean, std, log_c = shapes[c]

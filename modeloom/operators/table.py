@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modeloom.functions.arrays import argmax
+from modeloom.operators.cells import CELLS, gathered, merged
 from modeloom.operators.decode import continuous_value, mixed_value
 from modeloom.operators.dictionary import Dictionary, category_dictionary, labels_of, measured
 from modeloom.operators.encode import (
@@ -25,6 +27,7 @@ from modeloom.operators.encode import (
 from modeloom.operators.mixture import (
     MixtureModel,
     bucket_counts_models,
+    fit_cells,
     fit_counts,
     model_table,
     models_from_table,
@@ -32,8 +35,10 @@ from modeloom.operators.mixture import (
 from modeloom.operators.order_stats import column_values, value_counts
 from modeloom.spec import EPS, Categorical, Continuous, Mixed
 
+LOG = logging.getLogger(__name__)
+
 # What a stored model remembers of its fit.
-FIT_FACTS = ("iterations", "converged", "start_settled", "order_by", "bounds")
+FIT_FACTS = ("iterations", "converged", "start_settled", "gap", "order_by", "bounds")
 
 LAYOUT_SCHEMA = (
     "col string, kind string, block int, start int, width int, activation string,"
@@ -227,45 +232,78 @@ def fit_numeric(
     mixed: Mapping[str, Mixed],
     *,
     method: str = "variational",
+    on: str = "cells",
+    limit: int = CELLS,
     combine: bool = False,
     **options,
 ) -> tuple[dict[str, MixtureModel | MixedModel], dict[str, tuple]]:
-    """Fit all numeric columns in shared passes; returns models and (min, max).
+    """Fit all numeric columns together; returns models and (min, max).
 
     A mixed column is two series: all its rows, and the rows that are not special values.
-    ``combine`` counts equal values first (see :func:`fit_mixtures`).
+    ``on``, ``limit`` and ``combine`` are as in :func:`fit_mixtures`; on cells, the series, the
+    ranges and the rows of special values all come from one scan.
     """
-    values = (value_counts if combine else column_values)(df, columns)
-    series = list(columns)
-    both = values
-    for column, spec in mixed.items():
-        c = columns.index(column)
-        rest = values.where((F.col("c") == F.lit(c)) & ~F.col("x").isin(*spec.modal))
-        both = both.unionByName(rest.withColumn("c", F.lit(len(series))))
-        series.append(column)
-    fit = {"variational": fit_counts, "buckets": bucket_counts_models}[method]
-    models = fit(both, len(series), **options)
+    if method not in ("variational", "buckets"):
+        raise ValueError(f"method must be 'variational' or 'buckets', not {method!r}")
+    series = _series_on_cells if method == "variational" and on == "cells" else _series_on_rows
+    models, ranges, rows = series(
+        df, list(columns), mixed, method=method, limit=limit, combine=combine, **options
+    )
+    fitted = dict(zip(columns, models[: len(columns)], strict=True))
+    for i, (column, spec) in enumerate(mixed.items()):
+        fitted[column] = mixed_model(
+            fitted[column], models[len(columns) + i], spec.modal,
+            [rows.get((column, v), 0) for v in spec.modal], spec.missing,
+        )
+    return fitted, ranges
+
+
+def _series_on_cells(df, columns, mixed, *, method, limit, combine, **options):
+    """Models of all series, ranges of the columns and rows of special values, in one scan."""
+    first = len(columns)
+    kept = {}
+    for i, (column, spec) in enumerate(mixed.items()):
+        kept[first + i] = (columns.index(column), spec.modal, False)
+        kept[first + len(mixed) + i] = (columns.index(column), spec.modal, True)
+    limit = max([limit, *[len(s.modal) for s in mixed.values()]])
+    cells = merged(gathered(df, columns, limit=limit, kept=kept), limit=limit)
+    fitted = first + len(mixed)
+    models = fit_cells(cells.where(F.col("c") < fitted), fitted, **options)
+    wide = cells.where(F.col("c") < first).groupBy("c")
     ranges = {
         columns[r["c"]]: (r["lo"], r["hi"])
-        for r in values.groupBy("c").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+        for r in wide.agg(F.min("low").alias("lo"), F.max("high").alias("hi")).collect()
     }
-    fitted = dict(zip(columns, models[: len(columns)], strict=True))
-    if mixed:
-        # Rows of each special value: at most one line per declared value.
-        special = reduce(
-            lambda a, b: a | b,
-            [(F.col("c") == columns.index(m)) & F.col("x").isin(*s.modal) for m, s in mixed.items()],
+    # at most one cell per declared value
+    special = cells.where(F.col("c") >= fitted).select("c", "mean", "n").collect()
+    names = list(mixed)
+    rows = {(names[r["c"] - fitted], r["mean"]): int(r["n"]) for r in special}
+    return models, ranges, rows
+
+
+def _series_on_rows(df, columns, mixed, *, method, limit, combine, **options):
+    """The same from packed rows, which every pass reads."""
+    values = (value_counts if combine else column_values)(df, columns)
+    both = values
+    for i, (column, spec) in enumerate(mixed.items()):
+        rest = values.where(
+            (F.col("c") == F.lit(columns.index(column))) & ~F.col("x").isin(*spec.modal)
         )
-        weight = F.sum("w") if combine else F.count(F.lit(1))
-        lines = values.where(special).groupBy("c", "x").agg(weight.alias("w"))
-        rows = {(r["c"], r["x"]): r["w"] for r in lines.collect()}
-        for i, (column, spec) in enumerate(mixed.items()):
-            c = columns.index(column)
-            fitted[column] = mixed_model(
-                models[c], models[len(columns) + i], spec.modal,
-                [rows.get((c, v), 0) for v in spec.modal], spec.missing,
-            )
-    return fitted, ranges
+        both = both.unionByName(rest.withColumn("c", F.lit(len(columns) + i)))
+    fit = {"variational": fit_counts, "buckets": bucket_counts_models}[method]
+    models = fit(both, len(columns) + len(mixed), **options)
+    wide = values.groupBy("c").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    ranges = {columns[r["c"]]: (r["lo"], r["hi"]) for r in wide.collect()}
+    if not mixed:
+        return models, ranges, {}
+    special = reduce(
+        lambda a, b: a | b,
+        [(F.col("c") == columns.index(m)) & F.col("x").isin(*s.modal) for m, s in mixed.items()],
+    )
+    weight = F.sum("w") if combine else F.count(F.lit(1))
+    # at most one line per declared value
+    lines = values.where(special).groupBy("c", "x").agg(weight.alias("w")).collect()
+    return models, ranges, {(columns[r["c"]], r["x"]): r["w"] for r in lines}
 
 
 def fit_table(
@@ -301,6 +339,12 @@ def fit_table(
         models, ranges = fit_numeric(df, numeric, mixed, eps=eps, **options)
         by = "mass" if mode_choice == "draw" else "hits"
         fitted.update({c: _ordered(m, by) for c, m in models.items()})
+        for column, model in models.items():
+            mixture = model.model if isinstance(model, MixedModel) else model
+            if not mixture.converged:
+                LOG.warning(
+                    "%s: the fit has not converged after %d passes", column, mixture.iterations
+                )
     dictionary = category_dictionary(df, labels) if labels else None
     return TableEncoder(
         kinds, fitted, dictionary, tuple(key), seed, mode_choice, unknown, ranges, categories

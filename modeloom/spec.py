@@ -8,7 +8,7 @@ from dataclasses import dataclass
 N_COMPONENTS = 10
 EPS = 0.005
 WEIGHT_PRIOR = 0.001
-MAX_ITER = 100
+MAX_ITER = 300
 ENCODE_CLIP = 0.99
 DECODE_CLIP = 1.0
 DRAW_FLOOR = 1e-6
