@@ -12,7 +12,8 @@ Equal vectors of a label are one node that counts as often as it occurs.  A cell
 than ``CHUNK`` nodes is dealt to chunks, and each pair of chunks is a task of its own.
 
 Defined results: vectors that are NULL, empty, zero, or hold NULL or non-finite numbers,
-and vectors without label, link with nothing.  Vectors of different lengths do not link.
+and vectors without label, link with nothing; so do rows without an id, which no result could
+name: each is one row with no links, its component NULL.  Vectors of different lengths do not link.
 Equal vectors link (cosine 1).  Rows that repeat an id count as vectors of their own, and
 share a component.  An empty table gives an empty table.
 """

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.llm.flow import stage
+from modeloom.llm.flow import stage, unused
 from modeloom.llm.text import bytes_of, lower, slices, texts_of
 
 PRIMES = (2147483647, 2147483629)
@@ -199,14 +199,24 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "doc_id",
         keep.alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("doc_id") == keep, F.lit(True)).alias("kept"),
+        F.col("doc_id").eqNullSafe(keep).alias("kept"),
         "text_sha256",
     )
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Rows that share both text and id are one document here too: all of them stay or go.
+    """
+    number, digest, other, same = unused(docs.columns, "number", "digest", "other", "same")
+    upper, small = (bytes(range(a, a + 26)).decode() for a in (65, 97))
+    plain = F.translate(F.coalesce(F.col(text), F.lit("")), upper, small)
+    keyed = docs.withColumn(number, F.col(doc_id).cast("long")).withColumn(
+        digest, F.sha2(plain.cast("binary"), 256)
+    )
     keep = exact_groups(docs, doc_id, text).where("kept").select(
-        F.col("doc_id").alias("_keep")
+        F.col("doc_id").alias(other), F.col("text_sha256").alias(same)
     ).distinct()
-    return docs.join(keep, docs[doc_id].cast("long") == keep["_keep"], "left_semi")
+    stays = F.col(number).eqNullSafe(F.col(other)) & (F.col(digest) == F.col(same))
+    return keyed.join(keep, stays, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

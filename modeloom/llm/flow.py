@@ -97,6 +97,18 @@ def unpack(table: pa.Table, name: str, dtype: str) -> np.ndarray:
     return whole
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores in front as keep it apart from ``columns``."""
+    held = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name = "_" + name
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def by_bucket(packed: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """Run ``work`` on all packed rows of each bucket."""
     return packed.groupBy("bucket").applyInArrow(work, schema)

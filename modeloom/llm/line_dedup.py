@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modeloom.llm.closure import FOUND, candidates, closed_components, groups_of, sketches
-from modeloom.llm.flow import Packer, bucket_count, bucket_of, by_bucket, stage, unpack
+from modeloom.llm.flow import Packer, bucket_count, bucket_of, by_bucket, stage, unpack, unused
 from modeloom.llm.text import (
     MULTIPLIER,
     lower,
@@ -256,29 +256,31 @@ def _without(text: str, gone: set[int]) -> str:
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with repeated lines taken out of ``text``, and the columns ``_lines``
-    (of the input) and ``_gone`` (taken out)."""
-    keyed = docs.withColumn("_doc", F.col(doc_id).cast("long")).withColumn(
-        "_body", F.xxhash64(F.col(text))
-    )
+    """``docs`` with repeated lines taken out of ``text``, and two more columns: the lines of
+    the input and those taken out.  They are ``_lines`` and ``_gone``, with more underscores in
+    front where ``docs`` has such columns."""
+    names = docs.columns
+    lines, gone = unused(names, "_lines", "_gone")
+    d, b, other_d, other_b, numbers = unused([*names, lines, gone], "d", "b", "e", "c", "n")
+    keyed = docs.withColumn(d, F.col(doc_id).cast("long")).withColumn(b, F.xxhash64(F.col(text)))
     rows = keyed.select(
-        F.col("_doc").alias("doc_id"), F.col("_body").alias("body"), F.col(text).alias("text")
+        F.col(d).alias("doc_id"), F.col(b).alias("body"), F.col(text).alias("text")
     )
-    gone = stage(removals(rows), "gone").select(
-        F.col("doc_id").alias("_d"), F.col("body").alias("_b"), F.col("gone").alias("_numbers")
+    found = stage(removals(rows), "gone").select(
+        F.col("doc_id").alias(other_d), F.col("body").alias(other_b), F.col("gone").alias(numbers)
     )
     joined = keyed.join(
-        gone, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_body") == F.col("_b")), "left"
+        found, F.col(d).eqNullSafe(F.col(other_d)) & (F.col(b) == F.col(other_b)), "left"
     )
     parts = F.split(F.col(text), "\n")
     kept = F.filter(
         F.transform(parts, lambda x, n: F.struct(x.alias("x"), n.cast("long").alias("n"))),
-        lambda s: ~F.array_contains(F.col("_numbers"), s["n"]),
+        lambda s: ~F.array_contains(F.col(numbers), s["n"]),
     )
     shorter = F.array_join(F.transform(kept, lambda s: s["x"]), "\n")
-    return (
-        joined.withColumn("_lines", F.coalesce(F.size(parts), F.lit(0)).cast("long"))
-        .withColumn("_gone", F.coalesce(F.size("_numbers"), F.lit(0)).cast("long"))
-        .withColumn(text, F.when(F.col("_numbers").isNull(), F.col(text)).otherwise(shorter))
-        .drop("_doc", "_body", "_d", "_b", "_numbers")
+    lean = F.when(F.col(numbers).isNull(), F.col(text)).otherwise(shorter).alias(text)
+    return joined.select(
+        *(lean if c == text else F.col(f"`{c}`") for c in names),
+        F.coalesce(F.size(parts), F.lit(0)).cast("long").alias(lines),
+        F.coalesce(F.size(numbers), F.lit(0)).cast("long").alias(gone),
     )

@@ -21,13 +21,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modeloom.llm.flow import running_total
+from modeloom.llm.flow import running_total, unused
 from modeloom.plans.staging import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -221,36 +222,41 @@ def take_copies(
     """``docs`` as the mix takes them: each row as often as it has whole copies, and where a
     part of a copy is taken, once more with the text up to that word.
 
-    Rows that are equal in id and text take turns.  All columns are kept.
+    Rows that are equal in id, text and source take turns.  All columns are kept, whatever their
+    names.
     """
     columns = docs.columns
-    taken = mix(docs, doc_id=doc_id, text=text, source=source)
-    turns = Window.partitionBy("_id", "_body").orderBy("_order")
-    taken = taken.select(
-        F.col("doc_id").alias("_id"), F.col("body").alias("_body"),
-        F.col("size").alias("_size"), F.col("taken").alias("_taken"), F.col("taken").alias("_order"),
-    ).withColumn("_turn", F.row_number().over(turns))
+    keys = ["id", "body", "from", "turn"]
+    mine = unused(columns, *keys)
+    theirs = unused([*columns, *mine], *(f"{k}_of" for k in keys), "size", "taken")
+    size, taken = theirs[4:]
+
+    def turns(names, order):
+        return F.row_number().over(Window.partitionBy(*names[:3]).orderBy(order))
+
+    found = mix(docs, doc_id=doc_id, text=text, source=source).select(
+        F.col("doc_id").alias(theirs[0]), F.col("body").alias(theirs[1]),
+        F.col("source").alias(theirs[2]), F.col("size").alias(size), F.col("taken").alias(taken),
+    )
+    found = found.withColumn(theirs[3], turns(theirs, taken)).where(F.col(taken) > 0)
     keyed = docs.select(
         *(F.col(f"`{c}`") for c in columns),
-        F.col(doc_id).cast("long").alias("_id"),
-        F.xxhash64(F.col(text)).alias("_body"),
-        F.lit(0).alias("_order"),
-    ).withColumn("_turn", F.row_number().over(turns))
-    other = taken.select(*(F.col(c).alias(f"{c}2") for c in ("_id", "_body", "_turn", "_size", "_taken")))
-    same = (
-        F.col("_id").eqNullSafe(F.col("_id2"))
-        & (F.col("_body") == F.col("_body2"))
-        & (F.col("_turn") == F.col("_turn2"))
+        F.col(doc_id).cast("long").alias(mine[0]),
+        F.xxhash64(F.col(text)).alias(mine[1]),
+        F.col(source).cast("string").alias(mine[2]),
     )
-    rows = keyed.join(other.where("_taken2 > 0"), same).select(
-        *(F.col(f"`{c}`") for c in columns), "_size2", "_taken2"
+    keyed = keyed.withColumn(mine[3], turns(mine, F.lit(0)))
+    same = reduce(
+        lambda x, y: x & y, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(mine, theirs)]
     )
+    rows = keyed.join(found, same).select(*(F.col(f"`{c}`") for c in columns), size, taken)
+    size_name, taken_name = size, taken
     at = columns.index(text)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size = batch.column("_size2").to_pylist()
-            taken = batch.column("_taken2").to_pylist()
+            size = batch.column(size_name).to_pylist()
+            taken = batch.column(taken_name).to_pylist()
             base = batch.select(range(len(columns)))
             rows = [i for i, (s, t) in enumerate(zip(size, taken, strict=True)) for _ in range(t // s)]
             yield base.take(pa.array(rows, pa.int64()))

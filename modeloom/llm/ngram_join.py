@@ -149,6 +149,8 @@ def signatures(
             signs.append(mix(sign[emit], 4))
             sets.append(np.repeat(active[which], CELLS).reshape(-1, CELLS)[emit])
             active = active[sparse]
+    # a batch may hold no words at all
+    signs, sets = [np.zeros(0, np.uint64), *signs], [np.zeros(0, np.int64), *sets]
     return np.concatenate(signs), np.concatenate(sets)
 
 
@@ -160,14 +162,17 @@ def _marks(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("body"),
                         pa.array(np.diff(offsets), pa.int64()),
                         pa.array(nodes_of(values, offsets).view(np.int64), pa.int64()),
                         sketches(values, offsets, SKETCH_BITS),
                     ],
-                    names=["doc_id", "n_shingles", "node", "sketch"],
+                    names=["doc_id", "body", "n_shingles", "node", "sketch"],
                 )
 
-    return docs.mapInArrow(work, "doc_id long, n_shingles long, node long, sketch binary")
+    return docs.mapInArrow(
+        work, "doc_id long, body long, n_shingles long, node long, sketch binary"
+    )
 
 
 SIGNED = (["node", "low", "high"], ("node",))
@@ -231,8 +236,23 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
 def ngram_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH
 ) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest id reachable by links) of every row."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    """doc_id, n_shingles and component_id (smallest id reachable by links) of every row.
+
+    A NULL id is never the smallest; documents that only rows without an id join are joined.
+    """
+    rows = shingled_components(docs, doc_id, text, width)
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
+def shingled_components(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH
+) -> DataFrame:
+    """:func:`ngram_components` with ``body``, a hash of the text, and ``component``, which tells
+    components apart that share a smallest id; it is NULL for rows that link with nothing."""
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
+        F.xxhash64(F.col(text)).alias("body"),
+    )
     marks = stage(_marks(rows, width), "marks")
     buckets = bucket_count(docs.sparkSession)
     found = stage(
@@ -247,9 +267,9 @@ def ngram_components(
     def bodies(nodes: DataFrame) -> DataFrame:
         # one carrier for each node; only these texts are read into sets
         carrier = marks.join(nodes, "node", "left_semi").groupBy("node").agg(
-            F.min("doc_id").alias("doc_id")
+            F.min("body").alias("body")
         )
-        texts = rows.join(carrier.select("doc_id").distinct(), "doc_id", "left_semi")
+        texts = rows.join(carrier.select("body").distinct(), "body", "left_semi")
         sets = _sets(texts, width).join(nodes, "node", "left_semi")
         return sets.dropDuplicates(["node"])
 
@@ -261,5 +281,5 @@ def ngram_components(
         F.min("doc_id").alias("low"), F.count("*").alias("n")
     ).where("n > 1").select("component", "low")
     return joined.join(lowest, "component", "left").select(
-        "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id"), "body", "component"
     )

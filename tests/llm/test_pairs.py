@@ -1,5 +1,7 @@
 """N-gram join, line dedup and lattice dedup against all pairs."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -76,28 +78,31 @@ def test_components_of_chains_hubs_and_nothing(spark):
     assert components.components(df.limit(0)).count() == 0
 
 
+# Runs of blanks inside a line count as one.
+SPACES = re.compile("[\x09-\x0d ]+")
+
+
 def brute_lines(rows):
-    """The text of every row without fuzzy repeats."""
+    """The text of every row without repeats of lines of any length."""
     lines = {}
     for r in rows:
-        for n, line in enumerate((lowered(r[1])).split("\n")):
-            plain = line_dedup.SPACES.sub(" ", line).strip(" ")
-            if len(plain) >= line_dedup.LEAST:
+        for n, line in enumerate(lowered(r[1]).split("\n")):
+            plain = SPACES.sub(" ", line).strip(" ")
+            if plain:
                 lines.setdefault(plain, []).append((r[0], n))
     names = sorted(lines)
-    sets = {x: {x[i : i + 5] for i in range(len(x) - 4)} for x in names}
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} or {x} for x in names]
     union = Union(range(len(names)))
-    for i, a in enumerate(names):
+    for i, x in enumerate(sets):
         for j in range(i):
-            x, y = sets[a], sets[names[j]]
+            y = sets[j]
             if 100 * len(x & y) >= 80 * len(x | y):
                 union.join(i, j)
-    first, gone = {}, set()
+    first = {}
     for i, name in enumerate(names):
         root = union.find(i)
         first[root] = min([first.get(root, (1 << 60, 0)), *lines[name]])
-    for i, name in enumerate(names):
-        gone |= {p for p in lines[name] if p != first[union.find(i)]}
+    gone = {p for i, x in enumerate(names) for p in lines[x] if p != first[union.find(i)]}
     return {
         r[0]: None if r[1] is None else "\n".join(
             x for n, x in enumerate(r[1].split("\n")) if (r[0], n) not in gone

@@ -1,37 +1,8 @@
 """Line dedup of lines of any length, against all pairs."""
 
 from modeloom.llm import line_dedup
-from tests.llm.small import corpus, frame, lowered
-from tests.llm.test_pairs import Union
-
-
-def brute_lines(rows):
-    """The text of every row without repeats of lines of any length."""
-    lines = {}
-    for r in rows:
-        for n, line in enumerate(lowered(r[1]).split("\n")):
-            plain = line_dedup.SPACES.sub(" ", line).strip(" ")
-            if plain:
-                lines.setdefault(plain, []).append((r[0], n))
-    names = sorted(lines)
-    sets = [{x[i : i + 5] for i in range(len(x) - 4)} or {x} for x in names]
-    union = Union(range(len(names)))
-    for i, x in enumerate(sets):
-        for j in range(i):
-            y = sets[j]
-            if 100 * len(x & y) >= 80 * len(x | y):
-                union.join(i, j)
-    first = {}
-    for i, name in enumerate(names):
-        root = union.find(i)
-        first[root] = min([first.get(root, (1 << 60, 0)), *lines[name]])
-    gone = {p for i, x in enumerate(names) for p in lines[x] if p != first[union.find(i)]}
-    return {
-        r[0]: None if r[1] is None else "\n".join(
-            x for n, x in enumerate(r[1].split("\n")) if (r[0], n) not in gone
-        )
-        for r in rows
-    }
+from tests.llm.small import corpus, frame
+from tests.llm.test_pairs import brute_lines
 
 
 def test_lines_of_any_length_equal_all_pairs(spark):
