@@ -396,6 +396,11 @@ def oracle_sql() -> dict[str, str]:
         " count(*) FILTER (WHERE isnan(v)) AS nans, 0::BIGINT AS empties FROM d"
         " UNION ALL SELECT 'event_type', true, count(*), count(*) FILTER (WHERE event_type IS NULL), 0, count(*) FILTER (WHERE event_type = '') FROM d"
     )
+    sql["encode_job_saved"] = sql["encode_job_report"]
+    sql["sample_folders"] = (
+        f"SELECT * FROM (SELECT (event_id % {N_CHUNKS} + {N_CHUNKS}) % {N_CHUNKS} AS chunk, event_id, value FROM events)"
+        f" WHERE {uniform('chunk', purpose='sample')} < 0.5"
+    )
     sql["encode_keys"] = with_(
         dictionary("a", "SELECT l_partkey::VARCHAR AS label FROM lineitem"),
         "SELECT label::BIGINT AS l_partkey, idx, 1::BIGINT AS slots, cnt AS same FROM a_dict",

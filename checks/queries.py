@@ -152,6 +152,31 @@ def table_sample(spark, sf_dir):
     return sampling.block_sample(events(spark, sf_dir).select("event_id", "value"), 10, SEED)
 
 
+def sample_folders(spark, sf_dir):
+    """Half of a stored table's chunk folders, whole; the others are not read."""
+    rows = events(spark, sf_dir).select(
+        "event_id", "value", sampling.chunk_by_modulo("event_id", N_CHUNKS).alias("chunk")
+    )
+    path = staging_path(spark, "folders")
+    sinks.write_parquet(rows, path, partition_by=["chunk"])
+    stored = tables.read_parquet(spark, path)
+    return sampling.folder_sample(stored, 50, ["chunk"], SEED).select(
+        F.col("chunk").cast("long").alias("chunk"), "event_id", "value"
+    )
+
+
+def encode_job_saved(spark, sf_dir):
+    """The bad values that a job counts while it writes."""
+    rows = events(spark, sf_dir).select("event_id", "dirty_value", "event_type")
+    spec = {"dirty_value": ml.Continuous(), "event_type": ml.Categorical()}
+    path = staging_path(spark, "encoded")
+    _, _, report = encode_job(
+        rows, spec, key=["event_id"], seed=SEED, method="buckets", cuts=TAIL_CUTS,
+        save=lambda encoded: sinks.write_parquet(encoded, path),
+    )
+    return report
+
+
 def chunk_filter_query(spark, sf_dir):
     """Two range chunks, read by their id bounds, with ids far past 2^53 and below 0."""
     rows = events(spark, sf_dir).select(
@@ -756,7 +781,7 @@ def stream_encode(spark, sf_dir):
 def queries() -> dict[str, Query]:
     plain = (
         scan_project, query_scan, csv_sample, chunk_range, chunk_mod, first_chunk, fit_sample,
-        table_sample, mixed_split, quality_report, column_profile, column_profile_lineitem,
+        table_sample, sample_folders, encode_job_saved, mixed_split, quality_report, column_profile, column_profile_lineitem,
         column_profile_customer, category_dict, category_dict_keys, categorical_index,
         encode_categorical, categorical_decode, normalise, posterior, mode_draw, modes_used,
         mode_mass, mode_order, active_components, reorder_roundtrip, em_sums, em_step,

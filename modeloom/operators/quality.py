@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -12,12 +12,8 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
-def quality_report(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """(col, present, rows, nulls, nans, empties) for every required column, in one pass.
-
-    Tests fit the type: NaN is looked for in floating columns only, the empty string in
-    string columns only.
-    """
+def _counts(df: DataFrame, required: Sequence[str]) -> tuple[list[Column], Column]:
+    """The sums a report needs, and its lines in terms of them."""
     types = {f.name: f.dataType.typeName() for f in df.schema.fields}
     sums, lines = [F.count(F.lit(1)).alias("rows")], []
     nothing = F.lit(None).cast("long")
@@ -44,7 +40,30 @@ def quality_report(df: DataFrame, required: Sequence[str]) -> DataFrame:
         )
         for name, present, rows, nulls, nans, empties in lines
     ]
-    return df.agg(*sums).select(F.inline(F.array(*structs)))
+    return sums, F.inline(F.array(*structs))
+
+
+def quality_report(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """(col, present, rows, nulls, nans, empties) for every required column, in one pass.
+
+    Tests fit the type: NaN is looked for in floating columns only, the empty string in
+    string columns only.
+    """
+    sums, lines = _counts(df, required)
+    return df.agg(*sums).select(lines)
+
+
+def watched(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``df``, and its :func:`quality_report` for after the first job that reads it to the end:
+    the counts are taken on the way, without a scan of their own."""
+    sums, lines = _counts(df, required)
+    seen = Observation()
+
+    def report() -> DataFrame:
+        schema = ", ".join(f"{name} long" for name in seen.get)
+        return df.sparkSession.createDataFrame([tuple(seen.get.values())], schema).select(lines)
+
+    return df.observe(seen, *sums), report
 
 
 def validate(df: DataFrame, required: Sequence[str], *, strict: bool = False) -> bool:

@@ -40,6 +40,27 @@ def block_sample(df: DataFrame, percent: float, seed: int = 42) -> DataFrame:
     )
 
 
+def folder_sample(
+    df: DataFrame, percent: float, by: Sequence[str] = ("chunk",), seed: int = 42
+) -> DataFrame:
+    """About ``percent`` of a stored table's folders, whole, by a hash of their partition values.
+
+    The others are pruned before anything of them is read.  The same folders on every run;
+    a folder keeps its place when others are added.
+    """
+    return df.where(hash_uniform(by, seed, SAMPLE) < F.lit(min(1.0, percent / 100.0)))
+
+
+def file_sample(df: DataFrame, percent: float, seed: int = 42) -> DataFrame:
+    """About ``percent`` of a stored table's files, whole, by a hash of their names.
+
+    Files are pruned when the scan is planned.  The same files as long as they are stored.
+    """
+    name = F.concat(F.lit(f"{SAMPLE}|{int(seed)}|"), F.col("_metadata.file_name"))
+    head = F.conv(F.substring(F.md5(name.cast("binary")), 1, 8), 16, 10).cast("double")
+    return df.where(head < F.lit(4294967296.0 * min(1.0, percent / 100.0)))
+
+
 def first_rows(df: DataFrame, n: int, id_column: str) -> DataFrame:
     """The ``n`` rows with the smallest ids, for a unique numeric id.
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modeloom.operators.evaluate import encoding_stats
-from modeloom.operators.quality import quality_report, validate
+from modeloom.operators.quality import quality_report, validate, watched
 from modeloom.operators.sampling import (
     block_sample,
     chunk_by_modulo,
@@ -37,24 +37,38 @@ def encode_job(
 ) -> tuple[TableEncoder, DataFrame, DataFrame]:
     """Validate, fit (on ``fit_on`` or on all rows), encode and, if asked, save.
 
-    Returns the encoder, the encoded table and the quality report; bad values are logged.
+    Returns the encoder, the encoded table and the quality report; bad values are logged.  A
+    job that saves counts them while it writes; ``save`` must write all rows in its first job.
     """
-    report = checked(df, list(spec))
+    if save is None:
+        report = checked(df, list(spec))
+    else:
+        require(df, list(spec))
     encoder = fit_table(df if fit_on is None else fit_on, spec, key=key, **options)
     encoded = encoder.encode(df)
     if save is not None:
-        save(encoded)
+        seen, counted = watched(df, list(spec))
+        save(encoder.encode(seen))
+        report = logged(counted())
     return encoder, encoded, report
 
 
+def require(df: DataFrame, columns: Sequence[str]) -> None:
+    if not validate(df, columns):
+        raise ValueError(f"data validation failed: {sorted(set(columns) - set(df.columns))} missing")
+
+
 def checked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The quality report of all columns, from one pass; missing columns are an error.
 
     Columns with NULL, NaN or empty values are logged.  The report is a few lines.
     """
-    if not validate(df, columns):
-        raise ValueError(f"data validation failed: {sorted(set(columns) - set(df.columns))} missing")
-    report = quality_report(df, columns)
+    require(df, columns)
+    return logged(quality_report(df, columns))
+
+
+def logged(report: DataFrame) -> DataFrame:
+    """The report, computed once, with a log line for every column with bad values."""
     lines = report.collect()
     for row in lines:
         if row["nulls"] + row["nans"] + row["empties"] > 0:
@@ -62,7 +76,7 @@ def checked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 "%s: %d null, %d NaN, %d empty of %d rows",
                 row["col"], row["nulls"], row["nans"], row["empties"], row["rows"],
             )
-    return df.sparkSession.createDataFrame(lines, report.schema)
+    return report.sparkSession.createDataFrame(lines, report.schema)
 
 
 def with_chunk(
