@@ -396,6 +396,10 @@ def oracle_sql() -> dict[str, str]:
         " count(*) FILTER (WHERE isnan(v)) AS nans, 0::BIGINT AS empties FROM d"
         " UNION ALL SELECT 'event_type', true, count(*), count(*) FILTER (WHERE event_type IS NULL), 0, count(*) FILTER (WHERE event_type = '') FROM d"
     )
+    sql["sketched_profile"] = (
+        f"SELECT 'value' AS col, count(*) AS rows, {r6('avg(value)')} AS mean, {r6('stddev_samp(value)')} AS std,"
+        " min(value) AS min, max(value) AS max, true AS within FROM events"
+    )
     sql["encode_job_saved"] = sql["encode_job_report"]
     sql["sample_folders"] = (
         f"SELECT * FROM (SELECT (event_id % {N_CHUNKS} + {N_CHUNKS}) % {N_CHUNKS} AS chunk, event_id, value FROM events)"

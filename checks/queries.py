@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from checks.fixtures import (
     TAIL_CUTS,
 )
 from modeloom.functions.arrays import inverse_order, item, reorder
-from modeloom.operators import modes, sampling
+from modeloom.operators import modes, sampling, sketch_profile
 from modeloom.operators.cells import cell_moments as moments_of
 from modeloom.operators.cells import value_cells
 from modeloom.operators.dictionary import category_dictionary
@@ -364,6 +365,25 @@ def reorder_roundtrip(spark, sf_dir):
     )
 
 
+def sketched_profile(spark, sf_dir):
+    """A profile from the stored sketches of chunks, and whether the ranks of its quantiles are
+    within the stated bound."""
+    rows = table(spark, sf_dir, "events").select("event_id", "value")
+    path = staging_path(spark, "sketches")
+    chunk = sampling.chunk_by_range("event_id", CHUNK_ROWS)
+    sketch_profile.store_sketches(rows, ["value"], path, chunk=chunk)
+    found = sketch_profile.sketched_profile(spark, path)
+    quantiles = found.first()["quantiles"]
+    within = [
+        F.abs(F.avg((F.col("value") <= v).cast("double")) - q) <= sketch_profile.RANK_ERROR
+        for q, v in zip(sketch_profile.QUANTILES, quantiles, strict=True)
+    ]
+    ranks = rows.agg(reduce(lambda a, b: a & b, within).alias("within"))
+    return found.withColumn("within", F.lit(ranks.first()["within"])).select(
+        "col", "rows", r6("mean").alias("mean"), r6("std").alias("std"), "min", "max", "within"
+    )
+
+
 # Fits
 
 
@@ -781,7 +801,7 @@ def stream_encode(spark, sf_dir):
 def queries() -> dict[str, Query]:
     plain = (
         scan_project, query_scan, csv_sample, chunk_range, chunk_mod, first_chunk, fit_sample,
-        table_sample, sample_folders, encode_job_saved, mixed_split, quality_report, column_profile, column_profile_lineitem,
+        table_sample, sketched_profile, sample_folders, encode_job_saved, mixed_split, quality_report, column_profile, column_profile_lineitem,
         column_profile_customer, category_dict, category_dict_keys, categorical_index,
         encode_categorical, categorical_decode, normalise, posterior, mode_draw, modes_used,
         mode_mass, mode_order, active_components, reorder_roundtrip, em_sums, em_step,
