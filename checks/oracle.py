@@ -442,6 +442,15 @@ def oracle_sql() -> dict[str, str]:
         dictionary("a", "SELECT l_partkey::VARCHAR AS label FROM lineitem"),
         "SELECT 'l_partkey' AS col, idx, label, cnt FROM a_dict",
     )
+    sql["category_dict_grown"] = with_(
+        [
+            *dictionary("a", "SELECT l_partkey::VARCHAR AS label FROM lineitem WHERE l_linenumber = 1"),
+            "n AS (SELECT l_partkey::VARCHAR AS label, count(*) AS cnt FROM lineitem WHERE l_linenumber <> 1 GROUP BY 1)",
+        ],
+        "SELECT 'l_partkey' AS col, a.idx, a.label, a.cnt + coalesce(n.cnt, 0) AS cnt, 1 AS since FROM a_dict a LEFT JOIN n USING (label)"
+        " UNION ALL SELECT 'l_partkey', (SELECT count(*) FROM a_dict) + row_number() OVER (ORDER BY cnt DESC, label) - 1, label, cnt, 2"
+        " FROM n WHERE label NOT IN (SELECT label FROM a_dict)",
+    )
     sql["categorical_index"] = with_(
         both, "SELECT o_orderkey, d.idx FROM orders JOIN a_dict d ON d.label = o_orderpriority"
     )

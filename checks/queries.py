@@ -31,7 +31,7 @@ from modeloom.functions.arrays import inverse_order, item, reorder
 from modeloom.operators import modes, sampling, sketch_profile
 from modeloom.operators.cells import cell_moments as moments_of
 from modeloom.operators.cells import value_cells
-from modeloom.operators.dictionary import category_dictionary
+from modeloom.operators.dictionary import category_dictionary, grown_dictionary
 from modeloom.operators.encode import modal_values
 from modeloom.operators.mixture import MixtureModel, model_table, sufficient_statistics
 from modeloom.operators.table import TableEncoder, fit_numeric, fit_table
@@ -274,6 +274,15 @@ def category_dict_keys(spark, sf_dir):
     )
 
 
+def category_dict_grown(spark, sf_dir):
+    """A dictionary of the first lines of orders, grown by all other lines."""
+    rows = table(spark, sf_dir, "lineitem").select("l_partkey", "l_linenumber")
+    first = category_dictionary(rows.where("l_linenumber = 1"), ["l_partkey"])
+    return grown_dictionary(first, rows.where("l_linenumber <> 1")).table.select(
+        "col", "idx", "label", "cnt", "since"
+    )
+
+
 def categorical_index(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     dictionary = category_dictionary(orders, ["o_orderpriority"])
@@ -802,7 +811,7 @@ def queries() -> dict[str, Query]:
     plain = (
         scan_project, query_scan, csv_sample, chunk_range, chunk_mod, first_chunk, fit_sample,
         table_sample, sketched_profile, sample_folders, encode_job_saved, mixed_split, quality_report, column_profile, column_profile_lineitem,
-        column_profile_customer, category_dict, category_dict_keys, categorical_index,
+        column_profile_customer, category_dict, category_dict_keys, category_dict_grown, categorical_index,
         encode_categorical, categorical_decode, normalise, posterior, mode_draw, modes_used,
         mode_mass, mode_order, active_components, reorder_roundtrip, em_sums, em_step,
         fit_params, fit_params_lineitem, fit_converged, fit_kmeans_start, fit_mixed, mixed_slots,

@@ -77,6 +77,40 @@ def measured(table: DataFrame, columns: Sequence[str], types: Mapping[str, str])
     return Dictionary(table, {c: sizes.get(c, 0) for c in columns}, dict(types))
 
 
+def grown_dictionary(dictionary: Dictionary, df: DataFrame) -> Dictionary:
+    """The dictionary with the labels of more rows: every known label keeps its index, new ones
+    follow the last index of their column by falling count, label ascending on ties.
+
+    Counts of known labels are added up.  ``since`` names the version a label came with, 1 for
+    those of a dictionary that has not grown; what was encoded under an older version decodes
+    the same under a newer one.
+    """
+    columns, old = list(dictionary.sizes), dictionary.table
+    if "since" not in old.columns:
+        old = old.withColumn("since", F.lit(1))
+    version = (old.agg(F.max("since")).first()[0] or 1) + 1
+    more = label_counts(df, columns).withColumnRenamed("cnt", "more")
+    both = materialise(old.join(more, ["col", "label"], "full_outer"))
+    count = F.coalesce("cnt", F.lit(0)) + F.coalesce("more", F.lit(0))
+    known = both.where("idx is not null").select("col", "idx", "label", count.alias("cnt"), "since")
+    fresh = ranked_labels(both.where("idx is null").select("col", "label", F.col("more").alias("cnt")))
+    taken = F.lit(0).cast("long")
+    for column, size in dictionary.sizes.items():
+        taken = F.when(F.col("col") == F.lit(column), F.lit(size)).otherwise(taken)
+    fresh = fresh.select(
+        "col", (F.col("idx") + taken).alias("idx"), "label", "cnt", F.lit(version).alias("since")
+    )
+    return measured(materialise(known.unionByName(fresh)), columns, dictionary.types)
+
+
+def as_of(dictionary: Dictionary, version: int) -> Dictionary:
+    """The dictionary as it was in an older version; its counts are those of now."""
+    if "since" not in dictionary.table.columns:
+        return dictionary
+    table = dictionary.table.where(F.col("since") <= F.lit(version))
+    return measured(table, list(dictionary.sizes), dictionary.types)
+
+
 def _lookup(df: DataFrame, on: str, pairs: DataFrame, out: str) -> DataFrame:
     """Left join ``df.on`` with ``pairs`` (key, val).
 
