@@ -22,7 +22,6 @@ from modeloom.llm import (
     quality,
     topk_search,
 )
-from modeloom.llm.flow import stage
 from modeloom.plans.staging import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,15 +60,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The slot of every sequence, read back from the written shards."""
-    rows = order.sequences(table(spark, sf_dir, "documents"))
-    rows = stage(rows, "sequences")
     path = staging_path(spark, "shards")
-    order.write_shards(rows, path)
-    total = rows.count()
-    read = order.read_slots(spark, path, 0, total).select(
-        "slot", F.crc32("ids").alias("ids_crc32")
-    )
-    return rows.drop("ids").join(read, "slot")
+    total = order.write_order(table(spark, sf_dir, "documents"), path)
+    rows = order.read_slots(spark, path, 0, total)
+    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op6_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

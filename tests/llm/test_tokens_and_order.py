@@ -88,9 +88,17 @@ def test_shards_read_back(spark, tmp_path):
         assert ids == [*ids_of(row[1]), 2]
     assert len(whole[0][0]) == 2
     path = str(tmp_path / "shards")
-    order.write_shards(made, path)
-    part = {r["slot"]: r["ids"] for r in order.read_slots(spark, path, 10, 41, 64, 16).collect()}
-    assert part == {s: got[s]["ids"] for s in range(10, 41)}
+    total = order.write_order(frame(spark, rows), path, length=64, per_shard=16)
+    assert total == len(got)
+    part = {r["slot"]: r for r in order.read_slots(spark, path, 10, 41, 64, 16).collect()}
+    assert part == {s: got[s] for s in range(10, 41)}
+    written = spark.read.parquet(path).orderBy("shard").collect()
+    assert [r["shard"] for r in written] == list(range(-(-total // 16)))
+    assert all(len(r["body"]) == 256 * r["n"] for r in written)
+    assert sum(r["n"] for r in written) == total
+    empty = str(tmp_path / "empty")
+    assert order.write_order(frame(spark).limit(0), empty) == 0
+    assert order.read_slots(spark, empty, 0, 5).count() == 0
     assert order.sequences(frame(spark).limit(0)).count() == 0
 
 
