@@ -268,28 +268,18 @@ def read_slots(
     rows = spark.read.schema(SHARDS).parquet(path).where(
         (F.col("shard") >= start // per_shard) & (F.col("shard") <= (stop - 1) // per_shard)
     )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1)
-                slot = row.column("first_slot")[0].as_py() + np.arange(row.column("n")[0].as_py())
-                body = row.column("body")[0].as_buffer().to_pybytes()
-                whole = pa.RecordBatch.from_arrays(
-                    [
-                        row.column("doc_ids").flatten(),
-                        row.column("blocks").flatten(),
-                        pa.array(slot, pa.int64()),
-                        pa.array(slot // per_shard, pa.int64()),
-                        pa.array(slot % per_shard * stride, pa.int64()),
-                        row.column("sizes").flatten(),
-                        pa.array(
-                            [body[x : x + stride] for x in range(0, len(body), stride)], pa.binary()
-                        ),
-                    ],
-                    names=["doc_id", "block", "slot", "shard", "offset", "n_tokens", "ids"],
-                )
-                low, high = np.searchsorted(slot, [start, stop]).tolist()
-                yield whole.slice(low, high - low)
-
-    return rows.mapInArrow(cut, SEQUENCES)
+    i, slot = F.col("i"), F.col("first_slot") + F.col("i")
+    each = F.posexplode("sizes").alias("i", "n_tokens")
+    return (
+        rows.select("shard", "first_slot", "doc_ids", "blocks", "body", each)
+        .where((slot >= start) & (slot < stop))
+        .select(
+            F.get("doc_ids", i).alias("doc_id"),
+            F.get("blocks", i).alias("block"),
+            slot.alias("slot"),
+            "shard",
+            (i * stride).cast("long").alias("offset"),
+            "n_tokens",
+            F.substring("body", i * stride + 1, F.lit(stride)).alias("ids"),
+        )
+    )
