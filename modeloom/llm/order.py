@@ -40,6 +40,8 @@ ROUNDS = 6
 PER_SHARD = 256
 # Shards of one file: what a reader may hold at once.
 PER_FILE = 32
+# Bytes a writer gathers before it writes them out.
+GROUP_BYTES = 16 << 20
 # Shards of one range at most, however few partitions the session names.
 PER_RANGE = 256
 SEQUENCES = "doc_id long, block long, slot long, shard long, offset long, n_tokens long, ids binary"
@@ -69,6 +71,23 @@ def slots(numbers: np.ndarray, count: int, key: int) -> np.ndarray:
     return at.astype(np.int64)
 
 
+class _Places:
+    """Tells each task its range, and each row the sequences before it in that range."""
+
+    def __init__(self, length: int):
+        self.length, self.attempt, self.at = length, None, 0
+
+    def __call__(self, ids: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        task = TaskContext.get()
+        if task.taskAttemptId() != self.attempt:
+            self.attempt, self.at = task.taskAttemptId(), 0
+        blocks = -(-np.diff(offsets) // self.length)
+        ends = self.at + np.cumsum(blocks)
+        self.at = int(ends[-1])
+        part = np.full(len(blocks), task.partitionId())
+        return [pa.array(part, pa.int32()), pa.array(ends - blocks, pa.int64())]
+
+
 def _numbered(
     docs: DataFrame, doc_id: str, text: str, length: int, end: int, tokenizer: str
 ) -> tuple[DataFrame, list[int]]:
@@ -84,23 +103,8 @@ def _numbered(
     order = [F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))), F.col("place")]
     ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            blocks = -(-batch.column("n_tokens").to_numpy() // length)
-            ends = at + np.cumsum(blocks)
-            if len(ends):
-                at = int(ends[-1])
-            batch = batch.append_column("part", pa.array(np.full(len(blocks), part), pa.int32()))
-            yield batch.append_column("before", pa.array(ends - blocks, pa.int64()))
-
-    tokens = tokenised(ranged, "doc_id", "text", end, tokenizer)
-    held = stage(
-        tokens.mapInArrow(
-            count, "doc_id long, n_tokens long, ids binary, part int, before long"
-        ),
-        "tokens",
-    )
+    extra = (["part int", "before long"], _Places(length))
+    held = stage(tokenised(ranged, "doc_id", "text", end, tokenizer, extra), "tokens")
     blocks = F.ceil(F.col("n_tokens") / length).cast("long")
     # one sum per range
     sums = {
@@ -205,12 +209,13 @@ def shards(
         # rows come in order of slots; those of one shard are held together
         held: list[dict] = []
         for batch in batches:
-            for row in batch.to_pylist():
-                if held and held[0]["shard"] != row["shard"]:
-                    yield _shard(held)
-                    held = []
-                row["ids"] = _padded(row["ids"], row["n_tokens"], length, pad)
-                held.append(row)
+            for low in range(0, batch.num_rows, per_shard):
+                for row in batch.slice(low, per_shard).to_pylist():
+                    if held and held[0]["shard"] != row["shard"]:
+                        yield _shard(held)
+                        held = []
+                    row["ids"] = _padded(row["ids"], row["n_tokens"], length, pad)
+                    held.append(row)
         if held:
             yield _shard(held)
 
@@ -252,8 +257,8 @@ def write_order(
     """
     rows, count = _sequences(docs, doc_id, text, length, key, end, None, per_shard, tokenizer)
     whole = shards(rows, count, length, per_shard, pad)
-    whole.write.mode("overwrite").option("compression", "zstd").option(
-        "maxRecordsPerFile", PER_FILE
+    whole.write.mode("overwrite").options(
+        compression="zstd", maxRecordsPerFile=PER_FILE, **{"parquet.block.size": GROUP_BYTES}
     ).parquet(path)
     return count
 
