@@ -45,6 +45,10 @@ ROWS = 5
 # Characters of the shortest line that has shingles besides itself.
 LEAST = WIDTH
 SKETCH_BITS = 256
+# Characters shingled at once: their hashes stay in a processor's cache.
+CHUNK = 1 << 17
+# Bytes of signatures that a task gathers before it sends them on.
+PACKED = 16 << 20
 LINE_SHIFT, HASH_SHIFT = np.uint64(40), np.uint64(24)
 HASH_MASK = np.uint64((1 << 40) - 1)
 SPACES = re.compile("[ \t\v\f\r]+")
@@ -68,6 +72,19 @@ def shingled_lines(texts: pa.Array) -> list[str]:
     return list(dict.fromkeys(x for x in plain_lines(texts)[0] if len(x) >= LEAST))
 
 
+def chunks(lines: list[str], size: int = CHUNK) -> Iterator[list[str]]:
+    """The lines in order, some at a time; longer lines are still taken whole."""
+    held, total = [], 0
+    for line in lines:
+        held.append(line)
+        total += len(line)
+        if total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
 def line_nodes(lines: list[str]) -> np.ndarray:
     """64-bit hashes of plain lines."""
     return np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))
@@ -128,21 +145,19 @@ def _signed(docs: DataFrame, buckets: int) -> DataFrame:
     """Band keys of distinct lines, packed by bucket."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(SIGNED)
+        packer = Packer(SIGNED, limit=PACKED)
         for batch in batches:
             for part in slices(batch, "text"):
-                lines = shingled_lines(texts_of(part.column("text")))
-                if not lines:
-                    continue
-                keys = band_keys(*shingles(lines)).reshape(-1)
-                packer.add(
-                    bucket_of(keys, buckets),
-                    np.repeat(line_nodes(lines), BANDS),
-                    (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32),
-                    (keys >> np.uint64(32)).astype(np.uint16),
-                )
-                if packer.full():
-                    yield from packer.rows()
+                for lines in chunks(shingled_lines(texts_of(part.column("text")))):
+                    keys = band_keys(*shingles(lines)).reshape(-1)
+                    packer.add(
+                        bucket_of(keys, buckets),
+                        np.repeat(line_nodes(lines), BANDS),
+                        (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32),
+                        (keys >> np.uint64(32)).astype(np.uint16),
+                    )
+                    if packer.full():
+                        yield from packer.rows()
         yield from packer.rows()
 
     return docs.select("text").mapInArrow(work, Packer(SIGNED).schema())
@@ -161,23 +176,22 @@ def _known(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                lines = shingled_lines(texts_of(part.column("text")))
-                if not lines:
-                    continue
-                hashes, offsets = shingles(lines)
-                # line and 40 bits of the hash in one number sort much faster than two keys
-                both = np.sort((owners(offsets).astype(np.uint64) << LINE_SHIFT) | (hashes >> HASH_SHIFT))
-                both = both[np.r_[True, both[1:] != both[:-1]]]
-                sizes = np.bincount((both >> LINE_SHIFT).astype(np.int64), minlength=len(lines))
-                values = both & HASH_MASK
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(line_nodes(lines).view(np.int64), pa.int64()),
-                        pa.array(sizes, pa.int64()),
-                        sketches(values, np.r_[0, np.cumsum(sizes)], SKETCH_BITS),
-                    ],
-                    names=["node", "n", "sketch"],
-                )
+                for lines in chunks(shingled_lines(texts_of(part.column("text")))):
+                    hashes, offsets = shingles(lines)
+                    # line and 40 bits of the hash in one number sort much faster than two keys
+                    owner = owners(offsets).astype(np.uint64) << LINE_SHIFT
+                    both = np.sort(owner | (hashes >> HASH_SHIFT))
+                    both = both[np.r_[True, both[1:] != both[:-1]]]
+                    sizes = np.bincount((both >> LINE_SHIFT).astype(np.int64), minlength=len(lines))
+                    values = both & HASH_MASK
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(line_nodes(lines).view(np.int64), pa.int64()),
+                            pa.array(sizes, pa.int64()),
+                            sketches(values, np.r_[0, np.cumsum(sizes)], SKETCH_BITS),
+                        ],
+                        names=["node", "n", "sketch"],
+                    )
 
     return docs.select("text").mapInArrow(work, "node long, n long, sketch binary")
 
