@@ -367,6 +367,11 @@ def oracle_sql() -> dict[str, str]:
     sql["query_scan"] = (
         f"SELECT user_id, count(*) AS n, {r6('max(value)')} AS top FROM events GROUP BY user_id"
     )
+    sql["connector_scan"] = (
+        "SELECT o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key, "
+        f"{r6('max(o_totalprice)')} AS top FROM orders WHERE o_orderstatus = 'F' "
+        "GROUP BY o_orderpriority"
+    )
     sql["csv_sample"] = f"SELECT o_orderkey, {r6('o_totalprice')} AS amount FROM orders"
     chunk = f"count(*) AS rows, min(event_id) AS first_id, max(event_id) AS last_id, {r6('sum(value)', 4)} AS total"
     sql["chunk_range"] = (

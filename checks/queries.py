@@ -38,7 +38,7 @@ from modeloom.operators.table import TableEncoder, fit_numeric, fit_table
 from modeloom.plans import refit
 from modeloom.plans.jobs import chunk_filter, encode_chunks, encode_job, ensure_rows, with_chunk
 from modeloom.plans.staging import staging_path
-from modeloom.sources import sinks, tables
+from modeloom.sources import published, sinks, tables
 from modeloom.streaming.encode_stream import encode_stream, read_parquet_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,23 @@ def query_scan(spark, sf_dir):
     )
 
 
+def connector_scan(spark, sf_dir):
+    """Write orders through the connector and read them back, filtered at the source."""
+    published.register(spark)
+    path = staging_path(spark, "published")
+    sinks.write_table(table(spark, sf_dir, "orders"), path, format=published.FORMAT)
+    rows = tables.read_table(spark, path, format=published.FORMAT)
+    return (
+        rows.where("o_orderstatus = 'F'")
+        .groupBy("o_orderpriority")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("o_orderkey").alias("first_key"),
+            (F.round(F.max("o_totalprice"), 6) + F.lit(0.0)).alias("top"),
+        )
+    )
+
+
 def csv_sample(spark, sf_dir):
     """Write a CSV sample with a header and read it back by schema."""
     path = staging_path(spark, "csv")
@@ -809,7 +826,7 @@ def stream_encode(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     plain = (
-        scan_project, query_scan, csv_sample, chunk_range, chunk_mod, first_chunk, fit_sample,
+        scan_project, query_scan, connector_scan, csv_sample, chunk_range, chunk_mod, first_chunk, fit_sample,
         table_sample, sketched_profile, sample_folders, encode_job_saved, mixed_split, quality_report, column_profile, column_profile_lineitem,
         column_profile_customer, category_dict, category_dict_keys, category_dict_grown, categorical_index,
         encode_categorical, categorical_decode, normalise, posterior, mode_draw, modes_used,
