@@ -19,6 +19,8 @@ from modeloom.plans.staging import materialise, staging_path
 
 # Entries of one task are sent on once they take this much memory.
 FLUSH_BYTES = 48 << 20
+# Bytes of text whose entries share a bucket.
+BUCKET_TEXT = 8 << 20
 
 
 def bucket_count(spark: SparkSession, factor: int = 2) -> int:
@@ -26,6 +28,16 @@ def bucket_count(spark: SparkSession, factor: int = 2) -> int:
     return max(1, factor * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def buckets_for(docs: DataFrame, text: str = "text", factor: int = 2) -> int:
+    """Buckets of packed arrays made from texts: one for every ``BUCKET_TEXT`` bytes of them.
+
+    A bucket is worked on by one task in memory, so their number follows the data; it is never
+    below :func:`bucket_count`.
+    """
+    size = docs.agg(F.sum(F.octet_length(text)).alias("size")).collect()[0]["size"] or 0
+    return max(bucket_count(docs.sparkSession, factor), -(-size // BUCKET_TEXT))
+
+
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of each 64-bit hash, from its upper half."""
     return ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
@@ -114,6 +126,41 @@ def by_bucket(packed: DataFrame, work: Callable[[pa.Table], pa.Table], schema: s
     return packed.groupBy("bucket").applyInArrow(work, schema)
 
 
+def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one bucket after another, from rows sorted by bucket."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        bucket = batch.column("bucket").to_numpy()
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
+        for s, e in zip(starts, [*starts[1:], len(bucket)], strict=False):
+            if held and bucket[s] != current:
+                yield pa.Table.from_batches(held)
+                held = []
+            current = bucket[s]
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def along_buckets(
+    packed: DataFrame,
+    work: Callable[[Iterator[pa.Table]], Iterator[pa.RecordBatch]],
+    schema: str,
+    buckets: int,
+) -> DataFrame:
+    """Run ``work`` on the buckets of each task, one after the other.
+
+    Buckets are dealt evenly to tasks.  What ``work`` sums up may cover several buckets, so
+    more and smaller buckets need less memory without more rows made.
+    """
+    parts = min(buckets, bucket_count(packed.sparkSession, 1))
+    dealt = packed.repartitionById(parts, F.pmod("bucket", F.lit(parts)))
+    return dealt.sortWithinPartitions("bucket").mapInArrow(
+        lambda batches: work(whole_buckets(batches)), schema
+    )
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table below the session's shared folder and read it back.
 

@@ -12,7 +12,9 @@ Word counts are aggregated first and kept as a table.  Then every pair travels o
 bucket of its word, where pair and word counts meet the documents' own pairs; sums per
 document and masses per history travel on, and the buckets of histories settle the
 backoff weights and what they add to each document.  Very frequent words, of which there
-can be no more than four per bucket, are dealt to several buckets by their history.
+can be no more than four per bucket, are dealt to several buckets by their history.  The number
+of buckets follows the bytes of text; a task works on one after the other and adds up the sums
+of documents over all of them.
 
 Defined results: NULL text is empty, and an empty text is one closing token.  Rows that
 share an id are scored as one document, and each such row gets that score.  Without
@@ -32,7 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.llm.flow import Packer, bucket_count, bucket_of, by_bucket, stage, unpack
+from modeloom.llm.flow import (
+    Packer,
+    along_buckets,
+    bucket_of,
+    buckets_for,
+    by_bucket,
+    stage,
+    unpack,
+)
 from modeloom.llm.text import hashed_words, lower, mix, owners, slices, texts_of
 
 CUTOFF = 5
@@ -101,9 +111,8 @@ def _token_rows(
     return ids, training(ids, held_out), owners(closed), words, history
 
 
-def word_counts(docs: DataFrame, held_out: int) -> DataFrame:
+def word_counts(docs: DataFrame, held_out: int, buckets: int) -> DataFrame:
     """(word, n): occurrences of each word, by hash, in the training texts."""
-    buckets = bucket_count(docs.sparkSession, 1)
     names = ["word", "n"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,6 +218,8 @@ SUMS = np.dtype(
 MASSES = np.dtype([("r", "<u1"), ("total", "<u4"), ("mass", "<f8")])
 # Entries of a bucket looked at together.
 CHUNK = 400_000
+# Sums of documents that a task holds before it adds up those of one document.
+MOST_SUMS = 1_000_000
 
 
 def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -281,98 +292,149 @@ def _meet(
     return h[first], masses, history[unseen], doc[unseen], types
 
 
-def _word_bucket(
+class Sums:
+    """Sums per document, added up until they are many."""
+
+    def __init__(self) -> None:
+        self.ids: list[np.ndarray] = []
+        self.rows: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.rows.append(rows)
+        self.held += len(ids)
+        if self.held > MOST_SUMS:
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each document once, with its sums."""
+        ids, at = np.unique(np.concatenate(self.ids), return_inverse=True)
+        rows = np.concatenate(self.rows)
+        total = np.zeros(len(ids), rows.dtype)
+        for name in rows.dtype.names:
+            np.add.at(total[name], at, rows[name])
+        self.ids, self.rows, self.held = [ids], [total], len(ids)
+        return ids, total
+
+    def full(self) -> bool:
+        """Whether the sums of different documents take all the room."""
+        return self.held > MOST_SUMS // 2 and len(self.ids) == 1
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        found = self.merge()
+        self.ids, self.rows, self.held = [], [], 0
+        return found
+
+
+def _words_met(
     model: Unigrams, held_out: int, buckets: int, counts: dict[int, int]
-) -> Callable[[pa.Table], pa.Table]:
-    def work(table: pa.Table) -> pa.Table:
-        word, history, doc, ids = _unpacked(table)
-        train, sums = training(ids, held_out), np.zeros(len(ids), SUMS)
-        ways = -(-len(word) // CHUNK)
-        part = mix(word, 24) % np.uint64(ways)
-        met = []
-        for way in range(ways):
-            at = np.flatnonzero(part == np.uint64(way))
-            if len(at):
-                met.append(_meet(word[at], history[at], doc[at], train, model, counts, sums))
-        h, masses, wanted, where, types = (
-            np.concatenate(x) if i < 4 else sum(x) for i, x in enumerate(zip(*met, strict=True))
-        )
-        out: list[tuple[int, int, bytes, bytes]] = []
-
-        def send(kind: int, keys: np.ndarray, at: np.ndarray, numbers: np.ndarray) -> None:
-            if len(at) == 0:
-                return
-            order = np.argsort(at, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, np.diff(at[order]) != 0])
-            for s, e in zip(cuts, np.r_[cuts[1:], len(at)], strict=True):
-                rows = order[s:e]
-                out.append((kind, int(at[rows[0]]), keys[rows].tobytes(), numbers[rows].tobytes()))
-
-        send(0, ids, bucket_of(mix(ids.view(np.uint64), 23), buckets), sums)
-        send(1, h, bucket_of(mix(h, 25), buckets), masses)
-        send(2, wanted, bucket_of(mix(wanted, 25), buckets), ids[where])
-        out.append((3, 0, b"", types.astype("<i8").tobytes()))
-        kind, bucket, keys, numbers = zip(*out, strict=True)
-        return pa.table(
-            {
-                "kind": pa.array(kind, pa.int8()),
-                "bucket": pa.array(bucket, pa.int32()),
-                "keys": pa.array(keys, pa.binary()),
-                "numbers": pa.array(numbers, pa.binary()),
-            }
+) -> Callable[[Iterator[pa.Table]], Iterator[pa.RecordBatch]]:
+    def sent(kind: int, keys: np.ndarray, at: np.ndarray, numbers: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(at, kind="stable")
+        cuts = np.flatnonzero(np.r_[True, np.diff(at[order]) != 0][: len(at)])
+        rows = np.split(order, cuts[1:]) if len(at) else []
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(rows), kind, np.int8)),
+                pa.array([int(at[r[0]]) for r in rows], pa.int32()),
+                pa.array([keys[r].tobytes() for r in rows], pa.binary()),
+                pa.array([numbers[r].tobytes() for r in rows], pa.binary()),
+            ],
+            names=["kind", "bucket", "keys", "numbers"],
         )
 
-    return work
-
+    def of_documents(ids: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        return sent(0, ids, bucket_of(mix(ids.view(np.uint64), 23), buckets), sums)
+
+    def work(tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+        documents, types = Sums(), np.zeros(CUTOFF + 3, np.int64)
+        for table in tables:
+            word, history, doc, ids = _unpacked(table)
+            train, sums = training(ids, held_out), np.zeros(len(ids), SUMS)
+            ways = -(-len(word) // CHUNK)
+            part = (mix(word, 24) % np.uint64(ways)).astype(np.uint16 if ways < 1 << 16 else np.int64)
+            met = []
+            for way in range(ways):
+                at = np.flatnonzero(part == way)
+                if len(at):
+                    met.append(_meet(word[at], history[at], doc[at], train, model, counts, sums))
+            h, masses, wanted, where, kinds = (
+                np.concatenate(x) if i < 4 else sum(x) for i, x in enumerate(zip(*met, strict=True))
+            )
+            types += kinds
+            documents.add(ids, sums)
+            yield sent(1, h, bucket_of(mix(h, 25), buckets), masses)
+            yield sent(2, wanted, bucket_of(mix(wanted, 25), buckets), ids[where])
+            if documents.full():
+                yield of_documents(*documents.take())
+        if documents.held:
+            yield of_documents(*documents.take())
+        yield sent(3, np.zeros(1, "<i8"), np.zeros(1, np.int32), types.astype("<i8")[None, :])
 
-def _settle(discount: list[float]) -> Callable[[pa.Table], pa.Table]:
-    """Per document, the sums of one bucket, with backoff weights put in."""
-    d = np.array(discount)
+    return work
 
-    def work(table: pa.Table) -> pa.Table:
-        kinds = table.column("kind").to_numpy()
 
-        def packed(kind: int, name: str, dtype: object) -> np.ndarray:
-            rows = table.column(name).take(pa.array(np.flatnonzero(kinds == kind)))
-            pieces = [np.frombuffer(x.as_buffer(), dtype) for x in rows]
-            return np.concatenate(pieces) if pieces else np.zeros(0, dtype)
+SETTLED = np.dtype(
+    [("n_tokens", "<i8"), ("n_known", "<i8"), ("base_score", "<f8"), ("score", "<f8")]
+)
 
-        ids, inverse = np.unique(packed(0, "keys", "<i8"), return_inverse=True)
-        numbers = packed(0, "numbers", SUMS)
 
-        def total(values: np.ndarray) -> np.ndarray:
-            return np.bincount(inverse, weights=values, minlength=len(ids))
+def _settled(discount: list[float]) -> Callable[[Iterator[pa.Table]], Iterator[pa.RecordBatch]]:
+    """Per document, the sums of a task's buckets, with backoff weights put in."""
+    d = np.array(discount)
+    gains = np.log10(d * np.r_[1 : CUTOFF + 1, 1])
 
-        score = total(numbers["score"])
-        for r in range(1, CUTOFF + 2):
-            gain = math.log10(d[r - 1] * (r if r <= CUTOFF else 1))
-            score = score + total(numbers["seen"][:, r - 1]) * gain
-        h, at = np.unique(packed(1, "keys", "<u8"), return_inverse=True)
-        parts = packed(1, "numbers", MASSES)
+    def packed(table: pa.Table, kind: int, name: str, dtype: object) -> np.ndarray:
+        kinds = table.column("kind").to_numpy()
+        rows = table.column(name).take(pa.array(np.flatnonzero(kinds == kind)))
+        pieces = [np.frombuffer(x.as_buffer(), dtype) for x in rows]
+        return np.concatenate(pieces) if pieces else np.zeros(0, dtype)
+
+    def without_backoff(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        parts = packed(table, 0, "numbers", SUMS)
+        rows = np.zeros(len(parts), SETTLED)
+        rows["n_tokens"], rows["n_known"] = parts["n"], parts["known"]
+        rows["base_score"] = parts["base"]
+        rows["score"] = parts["score"] + parts["seen"] @ gains
+        return packed(table, 0, "keys", "<i8"), rows
+
+    def backoff(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        h, at = np.unique(packed(table, 1, "keys", "<u8"), return_inverse=True)
+        parts = packed(table, 1, "numbers", MASSES)
+        wanted = packed(table, 2, "keys", "<u8")
+        doc = packed(table, 2, "numbers", "<i8")
+        if not len(h) or not len(wanted):
+            return np.zeros(0, np.int64), np.zeros(0, SETTLED)
         count = np.bincount(at, weights=parts["total"], minlength=len(h))
         kept = np.bincount(at, weights=parts["total"] * d[parts["r"] - 1], minlength=len(h))
         mass = np.bincount(at, weights=parts["mass"], minlength=len(h))
-        wanted, doc = packed(2, "keys", "<u8"), packed(2, "numbers", "<i8")
-        if len(h) and len(wanted):
-            place = np.minimum(np.searchsorted(h, wanted), len(h) - 1)
-            met = h[place] == wanted
-            # alpha(h) * c(h): the count undoes the division that every token went through
-            weight = np.log10((count - kept) / np.maximum(1.0 - mass, 1e-300))
-            back, where = np.unique(doc[met], return_inverse=True)
-            added = np.bincount(where, weights=weight[place[met]], minlength=len(back))
-        else:
-            back, added = np.zeros(0, np.int64), np.zeros(0)
-        zeros = np.zeros(len(back))
-        return pa.table(
-            {
-                "id": pa.array(np.r_[ids, back], pa.int64()),
-                "n_tokens": pa.array(np.r_[total(numbers["n"]), zeros].astype(np.int64)),
-                "n_known": pa.array(np.r_[total(numbers["known"]), zeros].astype(np.int64)),
-                "base_score": pa.array(np.r_[total(numbers["base"]), zeros]),
-                "score": pa.array(np.r_[score, added]),
-            }
+        # alpha(h) * c(h): the count undoes the division that every token went through
+        weight = np.log10((count - kept) / np.maximum(1.0 - mass, 1e-300))
+        place = np.minimum(np.searchsorted(h, wanted), len(h) - 1)
+        met = h[place] == wanted
+        back, where = np.unique(doc[met], return_inverse=True)
+        rows = np.zeros(len(back), SETTLED)
+        rows["score"] = np.bincount(where, weights=weight[place[met]], minlength=len(back))
+        return back, rows
+
+    def batch(ids: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64())]
+            + [pa.array(np.ascontiguousarray(sums[name])) for name in SETTLED.names],
+            names=["id", *SETTLED.names],
         )
 
+    def work(tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+        documents = Sums()
+        for table in tables:
+            documents.add(*without_backoff(table))
+            documents.add(*backoff(table))
+            if documents.full():
+                yield batch(*documents.take())
+        if documents.held:
+            yield batch(*documents.take())
+
     return work
 
 
@@ -381,8 +443,8 @@ def katz_scores(
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    buckets = bucket_count(docs.sparkSession, 1)
-    table = stage(word_counts(rows, held_out), "words")
+    buckets = buckets_for(rows, factor=1)
+    table = stage(word_counts(rows, held_out, buckets), "words")
     model = unigrams(table)
     # at most 4 * buckets words can be this frequent
     least = max(model.tokens // (4 * buckets), 1)
@@ -392,10 +454,11 @@ def katz_scores(
     }
     heavy = {w: math.ceil(n / least) for w, n in frequent.items()}
     met = stage(
-        by_bucket(
+        along_buckets(
             _pairs(rows, held_out, buckets, heavy),
-            _word_bucket(model, held_out, buckets, frequent),
+            _words_met(model, held_out, buckets, frequent),
             MEETS,
+            buckets,
         ),
         "pairs",
     )
@@ -409,10 +472,11 @@ def katz_scores(
         rows.where(F.crc32(F.coalesce("doc_id", F.lit(NO_ID)).cast("string").cast("binary"))
                    % held_out != 0).count()
     )
-    settled = by_bucket(
+    settled = along_buckets(
         met.where("kind < 3"),
-        _settle(discount),
+        _settled(discount),
         "id long, n_tokens long, n_known long, base_score double, score double",
+        buckets,
     )
     scores = settled.groupBy("id").agg(
         *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score"))
