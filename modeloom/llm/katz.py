@@ -16,8 +16,9 @@ can be no more than four per bucket, are dealt to several buckets by their histo
 of buckets follows the bytes of text; a task works on one after the other and adds up the sums
 of documents over all of them.
 
-Defined results: NULL text is empty, and an empty text is one closing token.  Rows that
-share an id are scored as one document, and each such row gets that score.  Without
+Defined results: NULL text is empty, and an empty text is one closing token.  Every row's text
+is scored by itself; rows are known by a 63-bit hash of id and text, so those that share
+an id are told apart, and equal rows count as often as they stand there.  Without
 training text every word is unknown, and each token has probability 1.  An empty table
 gives an empty table.
 """
@@ -25,13 +26,12 @@ gives an empty table.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modeloom.llm.flow import (
@@ -55,11 +55,21 @@ START = np.uint64(0x57A27000A11CE003)
 NO_ID = -(1 << 63)
 
 
-def training(doc_ids: np.ndarray, held_out: int) -> np.ndarray:
-    """Whether each id's crc32, as text, is not divisible by ``held_out``."""
-    return np.fromiter(
-        (zlib.crc32(str(i).encode()) % held_out != 0 for i in doc_ids.tolist()), bool, len(doc_ids)
-    )
+def learnt_from(held_out: int) -> Column:
+    """Whether the crc32 of a row's id, as text, is not divisible by ``held_out``."""
+    name = F.coalesce("doc_id", F.lit(NO_ID)).cast("string").cast("binary")
+    return F.crc32(name) % held_out != 0
+
+
+def row_key(held_out: int) -> Column:
+    """A hash of id and text, so that rows of one id are told apart; odd in training rows."""
+    both = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    return F.shiftleft(both, 1).bitwiseOR(learnt_from(held_out).cast("long"))
+
+
+def training(keys: np.ndarray) -> np.ndarray:
+    """Whether each key stands for a training row."""
+    return (keys & 1).astype(bool)
 
 
 def discounts(counts_of_counts: dict[int, int]) -> list[float]:
@@ -96,11 +106,11 @@ class Unigrams:
 
 
 def _token_rows(
-    batch: pa.RecordBatch, held_out: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, training flags, and for each token its text's index, itself and its history."""
+    batch: pa.RecordBatch,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the rows, and for each token its text's index, itself and its history."""
     hashes, offsets = hashed_words(lower(texts_of(batch.column("text"))))
-    ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+    keys = batch.column("key").to_numpy()
     closed = offsets + np.arange(len(offsets))
     words = np.full(closed[-1], END, np.uint64)
     keep = np.ones(len(words), bool)
@@ -108,10 +118,10 @@ def _token_rows(
     words[keep] = hashes
     history = np.r_[START, words[:-1]][: len(words)]
     history[closed[:-1]] = START
-    return ids, training(ids, held_out), owners(closed), words, history
+    return keys, owners(closed), words, history
 
 
-def word_counts(docs: DataFrame, held_out: int, buckets: int) -> DataFrame:
+def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
     """(word, n): occurrences of each word, by hash, in the training texts."""
     names = ["word", "n"]
 
@@ -119,8 +129,8 @@ def word_counts(docs: DataFrame, held_out: int, buckets: int) -> DataFrame:
         packer = Packer(names)
         for batch in batches:
             for part in slices(batch, "text"):
-                _, train, owner, words, _ = _token_rows(part, held_out)
-                word, n = np.unique(words[train[owner]], return_counts=True)
+                keys, owner, words, _ = _token_rows(part)
+                word, n = np.unique(words[training(keys)[owner]], return_counts=True)
                 packer.add(bucket_of(word, buckets), word, n.astype(np.uint32))
                 if packer.full():
                     yield from packer.rows()
@@ -164,11 +174,10 @@ def _six_bytes(hashes: np.ndarray) -> bytes:
     return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
-def _pairs(docs: DataFrame, held_out: int, buckets: int, heavy: dict[int, int]) -> DataFrame:
+def _pairs(docs: DataFrame, buckets: int, heavy: dict[int, int]) -> DataFrame:
     """Every token with its history, packed by bucket of the token.
 
-    ``docs`` lists the ids of the documents in a packed row, of which ``doc`` is the index;
-    the lowest bit of ``train`` tells training documents.
+    ``docs`` lists the keys of the documents in a packed row, of which ``doc`` is the index.
     """
     heavy_words = np.array(sorted(heavy), np.uint64)
     ways = np.array([heavy[w] for w in sorted(heavy)], np.uint64)
@@ -176,7 +185,7 @@ def _pairs(docs: DataFrame, held_out: int, buckets: int, heavy: dict[int, int])
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", PACK_BYTES):
-                ids, _, owner, words, history = _token_rows(part, held_out)
+                ids, owner, words, history = _token_rows(part)
                 history &= HISTORY
                 bucket = bucket_of(words, buckets)
                 if len(heavy_words):
@@ -223,7 +232,7 @@ MOST_SUMS = 1_000_000
 
 
 def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word, history and document index of every entry, and the documents' ids."""
+    """Word, history and document index of every entry, and the documents' keys."""
     ids, code, done = [], [], 0
     for listed, index in zip(table.column("docs"), table.column("doc"), strict=True):
         own = np.frombuffer(listed.as_buffer(), "<i8")
@@ -328,7 +337,7 @@ class Sums:
 
 
 def _words_met(
-    model: Unigrams, held_out: int, buckets: int, counts: dict[int, int]
+    model: Unigrams, buckets: int, counts: dict[int, int]
 ) -> Callable[[Iterator[pa.Table]], Iterator[pa.RecordBatch]]:
     def sent(kind: int, keys: np.ndarray, at: np.ndarray, numbers: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(at, kind="stable")
@@ -351,7 +360,7 @@ def _words_met(
         documents, types = Sums(), np.zeros(CUTOFF + 3, np.int64)
         for table in tables:
             word, history, doc, ids = _unpacked(table)
-            train, sums = training(ids, held_out), np.zeros(len(ids), SUMS)
+            train, sums = training(ids), np.zeros(len(ids), SUMS)
             ways = -(-len(word) // CHUNK)
             part = (mix(word, 24) % np.uint64(ways)).astype(np.uint16 if ways < 1 << 16 else np.int64)
             met = []
@@ -443,8 +452,9 @@ def katz_scores(
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    keyed = rows.select(row_key(held_out).alias("key"), "text")
     buckets = buckets_for(rows, factor=1)
-    table = stage(word_counts(rows, held_out, buckets), "words")
+    table = stage(word_counts(keyed, buckets), "words")
     model = unigrams(table)
     # at most 4 * buckets words can be this frequent
     least = max(model.tokens // (4 * buckets), 1)
@@ -455,8 +465,8 @@ def katz_scores(
     heavy = {w: math.ceil(n / least) for w, n in frequent.items()}
     met = stage(
         along_buckets(
-            _pairs(rows, held_out, buckets, heavy),
-            _words_met(model, held_out, buckets, frequent),
+            _pairs(keyed, buckets, heavy),
+            _words_met(model, buckets, frequent),
             MEETS,
             buckets,
         ),
@@ -468,10 +478,7 @@ def katz_scores(
         types += np.frombuffer(bytes(row["numbers"]), "<i8")
     discount = discounts({r: int(types[r]) for r in range(1, CUTOFF + 2)})
     # the start of a text is a history too, counted once per training document
-    documents = int(
-        rows.where(F.crc32(F.coalesce("doc_id", F.lit(NO_ID)).cast("string").cast("binary"))
-                   % held_out != 0).count()
-    )
+    documents = rows.where(learnt_from(held_out)).count()
     settled = along_buckets(
         met.where("kind < 3"),
         _settled(discount),
@@ -481,18 +488,18 @@ def katz_scores(
     scores = settled.groupBy("id").agg(
         *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score"))
     )
-    keyed = rows.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"))
-    copies = keyed.groupBy("id").agg(F.count("*").alias("copies"), F.first("doc_id").alias("doc_id"))
-    joined = copies.join(scores, "id")
-    start = F.col("copies") * F.lit(math.log10(max(documents, 1)))
-    one = joined.select(
+    # equal rows were added up under one key
+    copies = rows.select(row_key(held_out).alias("id"), "doc_id").groupBy("id").agg(
+        F.count("*").alias("copies"), F.first("doc_id").alias("doc_id")
+    )
+    start = F.lit(math.log10(max(documents, 1)))
+    one = copies.join(scores, "id").select(
         "doc_id",
-        (F.crc32(F.col("id").cast("string").cast("binary")) % held_out == 0).alias("held_out"),
-        "n_tokens",
-        "n_known",
+        (~learnt_from(held_out)).alias("held_out"),
+        *(F.expr(f"{c} div copies").alias(c) for c in ("n_tokens", "n_known")),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        "base_score",
-        (F.col("score") - start).alias("score"),
+        (F.col("base_score") / F.col("copies")).alias("base_score"),
+        (F.col("score") / F.col("copies") - start).alias("score"),
         F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"),
     )
     return one.drop("copy")

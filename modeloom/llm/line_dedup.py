@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modeloom.llm.closure import FOUND, candidates, closed_components, groups_of, sketches
-from modeloom.llm.flow import Packer, bucket_count, bucket_of, by_bucket, stage, unpack, unused
+from modeloom.llm.flow import Packer, bucket_of, buckets_for, by_bucket, stage, unpack, unused
 from modeloom.llm.text import (
     MULTIPLIER,
     lower,
@@ -230,7 +230,7 @@ def line_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``docs`` has doc_id, body (a hash that tells rows of one id apart) and text.
     """
     places = stage(_occurrences(docs), "lines")
-    buckets = bucket_count(docs.sparkSession)
+    buckets = buckets_for(docs)
     found = stage(by_bucket(_signed(docs, buckets), _groups, FOUND), "groups")
     known = _known(docs).join(candidates(found), "node", "left_semi")
     known = stage(known.dropDuplicates(["node"]), "known")

@@ -40,7 +40,7 @@ from modeloom.llm.closure import (
     similar_sets,
     sketches,
 )
-from modeloom.llm.flow import Packer, bucket_count, bucket_of, by_bucket, stage, unpack
+from modeloom.llm.flow import Packer, bucket_of, buckets_for, by_bucket, stage, unpack
 from modeloom.llm.text import (
     MULTIPLIER,
     distinct_per_owner,
@@ -254,7 +254,7 @@ def shingled_components(
         F.xxhash64(F.col(text)).alias("body"),
     )
     marks = stage(_marks(rows, width), "marks")
-    buckets = bucket_count(docs.sparkSession)
+    buckets = buckets_for(rows)
     found = stage(
         by_bucket(_signed(rows, width, buckets), _groups, FOUND), "groups"
     )

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modeloom.llm.flow import bucket_count, stage
+from modeloom.llm.flow import buckets_for, stage
 from modeloom.llm.text import mix, owners
 from modeloom.llm.tokens import TOKENIZER, tokenised
 
@@ -114,7 +114,7 @@ def pack(
     tie = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - TIE_BITS)
     place = F.shiftleft(F.col("curve"), TIE_BITS).bitwiseOR(tie)
     rows = rows.select("doc_id", "n_tokens", place.alias("place"), "ids")
-    parts = bucket_count(rows.sparkSession)
+    parts = buckets_for(docs, text)
     fractions = [i / parts for i in range(1, parts)]
     found = rows.agg(F.percentile_approx("place", fractions, 100 * parts)).first()[0]
     bounds = sorted(set(found or []))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from modeloom.llm import katz, phrases, quality, queries
+from modeloom.llm import flow, katz, phrases, quality, queries
 from tests.conftest import SF_DIR
 from tests.llm.small import corpus, frame, lowered, words
 
@@ -110,6 +110,36 @@ def test_katz_query_and_edges(spark):
     assert len(twice) == 6 and len({r["score"] for r in twice if r["doc_id"] == 0}) == 1
 
 
+def test_katz_with_many_small_buckets(spark, monkeypatch):
+    monkeypatch.setattr(flow, "BUCKET_TEXT", 1 << 12)
+    monkeypatch.setattr(katz, "MOST_SUMS", 50)
+    want, _ = brute_katz(corpus(), 3)
+    got = katz.katz_scores(frame(spark), held_out=3).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert tuple(r)[1:5] == want[r["doc_id"]][:4]
+        assert tuple(r)[5:] == pytest.approx(want[r["doc_id"]][4:], rel=1e-9)
+
+
+def test_katz_tells_rows_of_one_id_apart(spark):
+    # all rows are training rows, so the brute force may know them by other ids
+    texts = ["a b", "c d e", "c d e", None, "", "a b a b c"]
+    ids = [1, 1, 1, 1, None, None]
+    rows = [(i, t, None, None, 0, 1, "x") for i, t in zip(ids, texts, strict=True)]
+    apart = [(n, t) for n, t in enumerate(texts)]
+    never = 1 << 40
+    want, _ = brute_katz(apart, never)
+    got = katz.katz_scores(frame(spark, rows), held_out=never).collect()
+    assert len(got) == len(rows)
+
+    def line(i, values):
+        return (str(i), *values[:3], *(round(x, 9) for x in values[3:]))
+
+    assert sorted(line(r["doc_id"], tuple(r)[2:]) for r in got) == sorted(
+        line(i, want[n][1:]) for n, i in enumerate(ids)
+    )
+
+
 def test_good_turing_discounts():
     n = {1: 1000, 2: 300, 3: 140, 4: 80, 5: 50, 6: 35}
     d = katz.discounts(n)
