@@ -21,6 +21,8 @@ from modeloom.plans.staging import materialise, staging_path
 FLUSH_BYTES = 48 << 20
 # Bytes of text whose entries share a bucket.
 BUCKET_TEXT = 8 << 20
+# Buckets that one task works on, one after the other, where there are more than tasks.
+TASK_BUCKETS = 8
 
 
 def bucket_count(spark: SparkSession, factor: int = 2) -> int:
@@ -132,8 +134,10 @@ def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     current = None
     for batch in batches:
         bucket = batch.column("bucket").to_numpy()
-        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
-        for s, e in zip(starts, [*starts[1:], len(bucket)], strict=False):
+        if not len(bucket):
+            continue
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        for s, e in zip(starts, [*starts[1:], len(bucket)], strict=True):
             if held and bucket[s] != current:
                 yield pa.Table.from_batches(held)
                 held = []
@@ -154,7 +158,7 @@ def along_buckets(
     Buckets are dealt evenly to tasks.  What ``work`` sums up may cover several buckets, so
     more and smaller buckets need less memory without more rows made.
     """
-    parts = min(buckets, bucket_count(packed.sparkSession, 1))
+    parts = min(buckets, max(bucket_count(packed.sparkSession, 1), -(-buckets // TASK_BUCKETS)))
     dealt = packed.repartitionById(parts, F.pmod("bucket", F.lit(parts)))
     return dealt.sortWithinPartitions("bucket").mapInArrow(
         lambda batches: work(whole_buckets(batches)), schema
