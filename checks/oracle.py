@@ -19,6 +19,7 @@ from checks.fixtures import (
     MODAL,
     MODAL_REVERSED,
     N_CHUNKS,
+    PLAIN_PASSES,
     REDONE,
     SEED,
     SYNTH_FACTOR,
@@ -140,11 +141,16 @@ def variational(p: str, source: str, iterations: int, size: int = 10) -> list[st
 
 
 def accelerated(
-    p: str, source: str, size: int = 10, tol: str = "0.000001", every: int = 3
+    p: str,
+    source: str,
+    size: int = 10,
+    tol: str = "0.000001",
+    every: int = 3,
+    most: int = MAX_ITER,
 ) -> list[str]:
     """{p}(id, x) and its variational fit at default settings, by recursion: plain updates and,
     each third pass, one from an extrapolated point (never if ``every`` is 0), until the bound moves
-    by less than ``tol`` per row.
+    by less than ``tol`` per row or ``most`` passes are made.
 
     {p}_it holds the state after each pass, the two before it, and what steers the passes.
     """
@@ -168,7 +174,7 @@ def accelerated(
         ]
 
     one_pass = [
-        f"cur AS MATERIALIZED (SELECT * FROM {p}_it WHERE NOT done AND i < {MAX_ITER})",
+        f"cur AS MATERIALIZED (SELECT * FROM {p}_it WHERE NOT done AND i < {most})",
         "y AS MATERIALIZED (SELECT k, i, longest, n, m, v, sqrt(n/total) AS w0, sqrt(n1/total) AS w1, sqrt(n2/total) AS w2, m AS m0, m1, m2, ln(v) AS v0, ln(v1) AS v1, ln(v2) AS v2, total FROM cur)",
         f"z AS (SELECT any_value(i) AS i, any_value(longest) AS longest, sum((w1-w2)*{turn('w')} + (m1-m2)*{turn('m')} + (v1-v2)*{turn('v')}) AS rv, sum({turn('w')}**2 + {turn('m')}**2 + {turn('v')}**2) AS vv FROM y)",
         f"o AS MATERIALIZED (SELECT {'i > 0 AND i % 3 = 0' if every else 'false'} AS tried, longest, greatest(1, least(CASE WHEN vv > 0 THEN abs(rv)/vv ELSE 1 END, longest)) AS len FROM z)",
@@ -501,7 +507,9 @@ def oracle_sql() -> dict[str, str]:
     sql["fit_converged"] = with_(
         accelerated("m", ORDERS), params_of("m", "o_totalprice", 0, loose=True)
     )
-    sql["fit_params"] = with_(accelerated("m", EVENTS), params_of("m", "value", 2, loose=True))
+    sql["fit_params"] = with_(
+        accelerated("m", EVENTS, every=0, most=PLAIN_PASSES), params_of("m", "value", 5)
+    )
     sql["fit_params_lineitem"] = with_(
         [
             *accelerated("a", LINE.format("l_extendedprice")),

@@ -624,22 +624,44 @@ def fit_mixtures(
     ``on="cells"`` scans the table once, into at most ``limit`` cells a column, and fits those;
     ``gap`` of a model bounds what the bound per row loses by it, and is 0 where a column has no
     more distinct values.  ``on="rows"`` reads all rows in every pass; ``combine`` counts equal
-    values first, by one shuffle.  With ``key`` the sample is drawn by hash and is the same on
+    values first, by one shuffle.  ``on="values"`` is never short of a value: columns that have
+    more than ``limit`` are fitted on their counted values, every pass over all of them.  With ``key`` the sample is drawn by hash and is the same on
     every run.  ``options``: ``n_components``, ``eps``, ``weight_prior``, ``max_iter``, ``tol``,
     ``init`` (``"quantile"`` or ``"kmeans"``), ``kmeans_rounds``, ``accelerate``.
     """
-    if on not in ("cells", "rows"):
-        raise ValueError(f"on must be 'cells' or 'rows', not {on!r}")
+    if on not in ("cells", "values", "rows"):
+        raise ValueError(f"on must be 'cells', 'values' or 'rows', not {on!r}")
     if sample_fraction is not None and sample_fraction < 1:
         df = hash_sample(df, sample_fraction, key, seed) if key else df.sample(False, sample_fraction, seed)
     if on == "cells":
         models = fit_cells(value_cells(df, columns, limit=limit), len(columns), **options)
+    elif on == "values":
+        models = _fit_values(df, columns, limit, **options)
     else:
         values = (value_counts if combine else column_values)(df, columns)
         models = fit_counts(values, len(columns), **options)
     return dict(zip(columns, models, strict=True))
 
 
+def _fit_values(df: DataFrame, columns: Sequence[str], limit: int, **options) -> list[MixtureModel]:
+    """Columns whose cells are single values by :func:`fit_cells`, others by counted values."""
+    cells = value_cells(df, columns, limit=limit)
+    wide = {r["c"] for r in cells.where("low < high").select("c").distinct().collect()}
+    single = [c for c in range(len(columns)) if c not in wide]
+    found = {}
+    if single:
+        number = F.lit(None).cast("int")
+        for place, c in enumerate(single):
+            number = F.when(F.col("c") == c, place).otherwise(number)
+        kept = cells.where(F.col("c").isin(single)).withColumn("c", number)
+        found |= zip(single, fit_cells(kept, len(single), **options), strict=True)
+    if wide:
+        rest = sorted(wide)
+        counts = value_counts(df, [columns[c] for c in rest])
+        found |= zip(rest, fit_counts(counts, len(rest), **options), strict=True)
+    return [found[c] for c in range(len(columns))]
+
+
 def bucket_counts_models(
     counts: DataFrame,
     n_series: int,

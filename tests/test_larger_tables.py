@@ -1,5 +1,8 @@
 """Queries on tables larger than the shared ones; every test builds its own rows."""
 
+import pytest
+
+import modeloom as ml
 from checks import queries
 
 
@@ -23,3 +26,32 @@ def test_chunks_of_events_past_the_range_of_scaled_ids(spark, tmp_path):
         (-2, 2, -2000 * step, -1001 * step),
         (1, 2, 1000 * step, 1999 * step),
     ]
+
+
+def test_values_beyond_the_cells_are_fitted_one_by_one(spark):
+    rows = spark.range(3000).selectExpr(
+        "pow(id % 997, 1.5) as wide", "cast(id % 5 as double) as coarse"
+    )
+    options = dict(accelerate=False, max_iter=20, n_components=3)
+    columns = ["wide", "coarse"]
+    whole = ml.fit_mixtures(rows, columns, on="rows", **options)
+    found = ml.fit_mixtures(rows, columns, on="values", limit=100, **options)
+    for name in columns:
+        assert found[name].gap == 0
+        assert found[name].mean == pytest.approx(whole[name].mean, rel=1e-9)
+        assert found[name].mass == pytest.approx(whole[name].mass, rel=1e-9)
+        assert found[name].iterations == whole[name].iterations
+
+
+def test_fit_params_rests_and_keeps_its_digits(spark, tmp_path):
+    ids = list(range(300))
+    folder = store(event_rows(spark, ids, "pow(id % 89, 1.5)"), tmp_path)
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    model = ml.fit_mixtures(
+        events, ["value"], on="rows", combine=True, accelerate=False, max_iter=3000
+    )["value"]
+    assert model.converged and model.iterations > 100
+    found = queries.fit_params(spark, folder).orderBy("k").collect()
+    assert [r["mean"] for r in found] == pytest.approx([round(m, 5) for m in model.mean], abs=2e-5)
+    assert [r["weight"] for r in found] == pytest.approx([round(w, 6) for w in model.weight], abs=2e-6)
+    assert any(r["mean"] != round(r["mean"], 2) for r in found)
