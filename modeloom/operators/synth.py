@@ -24,6 +24,9 @@ KNOTS = (
 
 # Rows of one generating task.
 TASK_ROWS = 5_000_000
+# Batches that get a folder each; of more, small ones share folders of about so many rows.
+FOLDERS = 1000
+FOLDER_ROWS = 1_000_000
 
 
 def bracket_probabilities() -> list[float]:
@@ -91,14 +94,21 @@ def generate_dataset(
 ) -> dict[str, int]:
     """Write ``rows`` synthetic rows as ``batch=N`` folders and count them as they are written.
 
-    Batches are id ranges, so each task's rows fall into one or two of them and one job
-    without a shuffle writes everything.
+    Batches are id ranges, so each task's rows fall into few of them and one job without a
+    shuffle writes everything.  A folder costs a file and a listing however few its rows:
+    beyond ``FOLDERS`` batches, small ones are stored together in ``batch_from=N`` folders, N
+    the first of them, and their rows keep ``batch`` as a column.  ``batch*`` reads either form.
     """
     batch_rows = batch_rows or max(1, min(10_000_000, rows // 10))
     data = synthesize(spark, rows, profile, partitions=partitions, **options)
-    batch = floor_div(F.col("id"), batch_rows).alias("batch")
+    batched = data.withColumn("batch", floor_div(F.col("id"), batch_rows))
+    folder, together = "batch", max(1, FOLDER_ROWS // batch_rows)
+    if -(-rows // batch_rows) > FOLDERS and together > 1:
+        folder = "batch_from"
+        first = floor_div(F.col("batch"), together) * F.lit(together)
+        batched = batched.withColumn(folder, first)
     seen = Observation()
     # one stage writes: every task's rows count once, whatever is tried again
-    counted = data.select("*", batch).observe(seen, F.count(F.lit(1)).alias("written"))
-    counted.write.mode("overwrite").partitionBy("batch").parquet(path)
+    counted = batched.observe(seen, F.count(F.lit(1)).alias("written"))
+    counted.write.mode("overwrite").partitionBy(folder).parquet(path)
     return {"expected": rows, "written": seen.get["written"]}

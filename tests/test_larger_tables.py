@@ -1,9 +1,12 @@
 """Queries on tables larger than the shared ones; every test builds its own rows."""
 
+import os
+
 import pytest
 
 import modeloom as ml
 from checks import queries
+from modeloom.sources import tables
 
 
 def store(df, folder, name="events"):
@@ -55,3 +58,25 @@ def test_fit_params_rests_and_keeps_its_digits(spark, tmp_path):
     assert [r["mean"] for r in found] == pytest.approx([round(m, 5) for m in model.mean], abs=2e-5)
     assert [r["weight"] for r in found] == pytest.approx([round(w, 6) for w in model.weight], abs=2e-6)
     assert any(r["mean"] != round(r["mean"], 2) for r in found)
+
+
+def test_many_small_batches_share_folders(spark, tmp_path):
+    profile = {"min": 0, "p25": 1, "p50": 2, "p75": 3, "p90": 4, "p95": 5, "p99": 6, "max": 7}
+    path, rows = str(tmp_path / "synth"), 12_345
+    made = ml.generate_dataset(spark, path, rows, profile, batch_rows=10, partitions=3)
+    assert made == {"expected": rows, "written": rows}
+    stored = tables.read_partitioned(spark, path, "batch*")
+    assert stored.where("batch != id div 10").count() == 0
+    assert stored.select("batch").distinct().count() == 1235
+    same = ml.synthesize(spark, rows, profile, partitions=1)
+    assert stored.select("id", "amount").exceptAll(same).count() == 0
+    assert stored.count() == rows
+    folders = [f for f in os.listdir(path) if f.startswith("batch")]
+    assert len(folders) == 1  # 1235 before
+
+
+def test_synth_range_beyond_a_folder_a_batch(spark, tmp_path):
+    rows = event_rows(spark, list(range(220_000)))
+    found = queries.synth_range(spark, store(rows, tmp_path))
+    assert found.where("rows = 1000 and first_id = batch * 1000 and last_id = first_id + 999").count() == 1100
+    assert found.count() == 1100
