@@ -38,6 +38,13 @@ CHUNK = 1024
 CHUNK_ELEMENTS = 1 << 26
 # Members compared at once inside a task.
 BLOCK = 512
+# A task is known by its group and two chunks.
+TASK = ["g", "low", "high"]
+# Rows of tasks worked on together, and the members of tasks whose pairs are looked at together.
+ROWS = 4096
+SMALL = 64
+# Bytes of sketches compared at once.
+PAIR_BYTES = 4 << 20
 
 Bodies = Callable[[DataFrame], DataFrame]
 Similar = Callable[[pa.Scalar, pa.Scalar], bool]
@@ -74,12 +81,18 @@ def _lengths(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return pc.binary_length(column).to_numpy().astype(np.int64)
 
 
-def _words(column: pa.Array | pa.ChunkedArray, at: np.ndarray, size: int) -> np.ndarray:
+def _words(column: pa.Array, at: np.ndarray, size: int) -> np.ndarray:
     """Some sketches as rows of 64-bit words, folded to ``size`` bytes."""
     out = np.zeros((len(at), size // 8), np.uint64)
-    for row, i in enumerate(at.tolist()):
-        whole = np.frombuffer(column[i].as_buffer(), np.uint64)
-        out[row] = np.bitwise_xor.reduce(whole.reshape(-1, size // 8), axis=0)
+    if len(at) == 0:
+        return out
+    _, ends, data = column.buffers()
+    starts = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1]
+    raw, lengths = np.frombuffer(data or b"", np.uint8), np.diff(starts)[at]
+    for length in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == length)
+        whole = raw[starts[at[rows], None].astype(np.int64) + np.arange(length)].view(np.uint64)
+        out[rows] = np.bitwise_xor.reduce(whole.reshape(len(rows), -1, size // 8), axis=1)
     return out
 
 
@@ -213,56 +226,151 @@ def _near_blocks(
                         yield a[i], b[j]
 
 
-def _active(table: pa.Table) -> pa.Table:
-    """(node): members of one task that may link with another member."""
+def whole_tasks(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.Table]:
+    """About ``rows`` rows of whole tasks at a time, from rows sorted by task."""
+    held, size, least = [], 0, rows
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size < least:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        last = int(np.flatnonzero(_begins(table))[-1])
+        if last:
+            yield table.slice(0, last)
+        held, size = table.slice(last).to_batches(), table.num_rows - last
+        least = max(rows, 2 * size)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _begins(table: pa.Table) -> np.ndarray:
+    """Whether a row is the first of its task."""
+    begins = np.ones(table.num_rows, bool)
+    keys = [table.column(c).to_numpy() for c in TASK]
+    begins[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return begins
+
+
+def _near(
+    table: pa.Table, task: np.ndarray, component: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows as of :func:`_near_blocks`, from several tasks one after the other.
+
+    The pairs of all small tasks are looked at together.
+    """
+    starts = np.flatnonzero(np.r_[True, task[1:] != task[:-1]]) if len(task) else task
+    sizes = np.diff(np.r_[starts, len(task)])
+    for start, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+        part = table.slice(start, size)
+        for i, j in _near_blocks(part, component[start : start + size]):
+            yield i + start, j + start
+    n, side = table.column("n").to_numpy(), table.column("side").to_numpy()
+    ends = np.repeat(starts + sizes, sizes)
+    rows = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
+    after = ends[rows] - rows - 1
+    i, j = np.repeat(rows, after), ragged(rows + 1, after)
+    # members of side 0 with each other, those of side 1 with those of side 2
+    fit = (side[i] + side[j] == 3) | ((side[i] == 0) & (side[j] == 0))
+    fit &= (side[i] != side[j]) | (side[i] == 0)
+    fit &= (component[i] != component[j]) & _may_link(0, n[i], n[j])
+    i, j = i[fit], j[fit]
+    sketch = table.column("sketch").combine_chunks()
+    wide = _lengths(sketch)
+    least = np.minimum(wide[i], wide[j])
+    for size in np.unique(least).tolist():
+        x, y = i[least == size], j[least == size]
+        taken, at = np.unique(np.r_[x, y], return_inverse=True)
+        words, left, right = _words(sketch, taken, size), at[: len(x)], at[len(x) :]
+        step = max(1, PAIR_BYTES // size)
+        for low in range(0, len(x), step):
+            a, b = x[low : low + step], y[low : low + step]
+            differ = words[left[low : low + step]] ^ words[right[low : low + step]]
+            differ = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+            near = _may_link(differ, n[a], n[b])
+            yield a[near], b[near]
+
+
+def _active(table: pa.Table, task: np.ndarray | None = None) -> pa.Table:
+    """(node): members that may link with another member of their task."""
     node = table.column("node").to_numpy()
     hit = np.zeros(len(node), bool)
-    for i, j in _near_blocks(table, np.arange(len(node))):
+    tasks = np.zeros(len(node), np.int64) if task is None else task
+    for i, j in _near(table, tasks, np.arange(len(node))):
         hit[i] = hit[j] = True
     return pa.table({"node": pa.array(node[hit], pa.int64())})
 
 
-def _propose(most: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
-    """Pairs not asked before; one is left for later only if both its components have
-    ``most`` pairs in this round."""
-
-    def work(_key: tuple, table: pa.Table, asked: pa.Table) -> pa.Table:
-        node = table.column("node").to_numpy()
-        _, component = np.unique(table.column("component").to_numpy(), return_inverse=True)
-        order = np.argsort(node)
-        before = np.zeros(0, np.int64)
-        if asked.num_rows and len(node):
-            # all asked pairs are of this task, and their nodes are still here or connected
-            ends = [asked.column(c).to_numpy() for c in ("a", "b")]
-            at = [np.minimum(np.searchsorted(node[order], e), len(node) - 1) for e in ends]
-            here = (node[order][at[0]] == ends[0]) & (node[order][at[1]] == ends[1])
-            x, y = (order[p[here]] for p in at)
-            before = np.minimum(x, y) * len(node) + np.maximum(x, y)
-        taken = np.zeros(len(node), np.int64)
-        out_a, out_b = [], []
-        for i, j in _near_blocks(table, component):
-            fresh = ~np.isin(np.minimum(i, j) * len(node) + np.maximum(i, j), before)
-            i, j = i[fresh], j[fresh]
-            for p, q, x, y in zip(
-                i.tolist(), j.tolist(), component[i].tolist(), component[j].tolist(), strict=True
-            ):
-                if taken[x] < most or taken[y] < most:
-                    taken[x] += 1
-                    taken[y] += 1
-                    out_a.append(p)
-                    out_b.append(q)
-        a, b = node[np.array(out_a, np.int64)], node[np.array(out_b, np.int64)]
-        same = {
-            c: pa.array(np.full(len(a), table.column(c)[0].as_py() if len(a) else 0), pa.int64())
-            for c in TASK
-        }
-        pair = {"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())}
-        return pa.table(same | pair)
+def _actives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table in whole_tasks(batches):
+        yield from _active(table, np.cumsum(_begins(table))).to_batches()
+
+
+def _proposed(table: pa.Table, most: int) -> pa.RecordBatch:
+    """Pairs of several tasks not asked before; one is left for later only if both its
+    components have ``most`` pairs in this round.  Rows of side -1 are the pairs asked."""
+    task = np.cumsum(_begins(table))
+    old = table.column("side").to_numpy() < 0
+    ends = [table.column(c).to_numpy()[old] for c in ("node", "component")]
+    table, asked, task = table.filter(pa.array(~old)).combine_chunks(), task[old], task[~old]
+    node = table.column("node").to_numpy()
+    names, code = np.unique(node, return_inverse=True)
+    before = np.zeros(0, np.int64)
+    if len(asked) and len(node):
+        # all asked pairs are of these tasks, and their nodes are still here or connected
+        key = task * len(names) + code
+        order = np.argsort(key)
+        rows, here = [], np.ones(len(asked), bool)
+        for end in ends:
+            at = np.minimum(np.searchsorted(names, end), len(names) - 1)
+            wanted = asked * len(names) + at
+            row = order[np.minimum(np.searchsorted(key, wanted, sorter=order), len(key) - 1)]
+            here &= (names[at] == end) & (key[row] == wanted)
+            rows.append(row)
+        x, y = (row[here] for row in rows)
+        before = np.minimum(x, y) * len(node) + np.maximum(x, y)
+    _, component = np.unique(table.column("component").to_numpy(), return_inverse=True)
+    # a component counts for itself in every task
+    _, component = np.unique(task * (len(node) + 1) + component, return_inverse=True)
+    taken = np.zeros(len(node), np.int64)
+    out_a, out_b = [], []
+    for i, j in _near(table, task, component):
+        fresh = ~np.isin(np.minimum(i, j) * len(node) + np.maximum(i, j), before)
+        i, j = i[fresh], j[fresh]
+        for p, q, x, y in zip(
+            i.tolist(), j.tolist(), component[i].tolist(), component[j].tolist(), strict=True
+        ):
+            if taken[x] < most or taken[y] < most:
+                taken[x] += 1
+                taken[y] += 1
+                out_a.append(p)
+                out_b.append(q)
+    out = np.array(out_a, np.int64)
+    a, b = node[out], node[np.array(out_b, np.int64)]
+    same = [pa.array(table.column(c).to_numpy()[out], pa.int64()) for c in TASK]
+    pair = [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())]
+    return pa.RecordBatch.from_arrays([*same, *pair], names=[*TASK, "a", "b"])
+
+
+PROPOSED = "g long, low long, high long, a long, b long"
+
+
+def _propose(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_tasks(batches):
+            yield _proposed(table, most)
 
     return work
 
 
-TASK = ["g", "low", "high"]
+def _by_task(
+    members: DataFrame,
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
+) -> DataFrame:
+    """Run ``work`` on the members of whole tasks, several tasks in a row."""
+    return members.repartition(*TASK).sortWithinPartitions(*TASK).mapInArrow(work, schema)
 
 
 def _chunks(members: DataFrame, known: DataFrame) -> DataFrame:
@@ -304,7 +412,7 @@ def closed_components(
     members = found.where("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("node"))
     members = members.distinct()
     dealt = _dealt(_chunks(members, known)).join(known, "node")
-    active = dealt.groupBy(*TASK).applyInArrow(_active, "node long")
+    active = _by_task(dealt.select(*TASK, "node", "n", "side", "sketch"), _actives, "node long")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(active).distinct()
     # only nodes that may link are ever compared by their whole sets
     ends = stage(ends, "ends")
@@ -312,7 +420,8 @@ def closed_components(
     links = stage(verified(pairs, whole, similar), "links")
     members = _chunks(members.join(ends, "node", "left_semi"), known)
     members = stage(members.join(known, "node"), "members")
-    asked = members.sparkSession.createDataFrame([], "g long, low long, high long, a long, b long")
+    columns = [*TASK, "node", "n", "side", "sketch", "component"]
+    asked = None
     most = 1
     while True:
         parts = components(links)
@@ -322,16 +431,19 @@ def closed_components(
         several = placed.groupBy("g").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).where("low <> high").select("g")
-        placed = _dealt(placed.join(several, "g", "left_semi"))
-        fresh = stage(
-            placed.groupBy(*TASK).cogroup(asked.groupBy(*TASK)).applyInArrow(
-                _propose(most), "g long, low long, high long, a long, b long"
-            ),
-            "proposed",
-        )
+        placed = _dealt(placed.join(several, "g", "left_semi")).select(*columns)
+        if asked is not None:
+            placed = placed.union(
+                asked.select(
+                    *TASK, F.col("a").alias("node"), F.lit(0).cast("long").alias("n"),
+                    F.lit(-1).alias("side"), F.lit(None).cast("binary").alias("sketch"),
+                    F.col("b").alias("component"),
+                )
+            )
+        fresh = stage(_by_task(placed, _propose(most), PROPOSED), "proposed")
         if fresh.isEmpty():
             return parts
-        asked = asked.union(fresh)
+        asked = fresh if asked is None else asked.union(fresh)
         most *= GROWTH
         more = verified(fresh.select("a", "b").distinct(), whole, similar)
-        links = stage(links.union(more), "links")
+        links = links.union(stage(more, "links"))
