@@ -44,10 +44,10 @@ from modeloom.llm.flow import Packer, bucket_of, buckets_for, by_bucket, stage,
 from modeloom.llm.text import (
     MULTIPLIER,
     distinct_per_owner,
-    hashed_words,
     lower,
     mix,
     owners,
+    rolled_words,
     slices,
     sums_per_owner,
     texts_of,
@@ -59,11 +59,13 @@ CELLS = 3
 # Seeds tried for sets with too many empty subsets before these are signed as well.
 SEEDS = 6
 SKETCH_BITS = 512
+# Bytes of signatures that a task gathers before it sends them on.
+PACKED = 16 << 20
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text lower-cased in A-Z, and offsets."""
-    hashes, offsets = hashed_words(lower(texts))
+    hashes, offsets = rolled_words(lower(texts))
     found, ends = windows(hashes, offsets, width)
     owner = owners(ends)
     counts = np.diff(offsets)
@@ -182,7 +184,7 @@ def _signed(docs: DataFrame, width: int, buckets: int) -> DataFrame:
     """Signatures packed by bucket: the node, and 48 bits besides the bucket."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(*SIGNED)
+        packer = Packer(*SIGNED, limit=PACKED)
         for batch in batches:
             for part in slices(batch, "text"):
                 values, offsets = shingle_sets(texts_of(part.column("text")), width)
