@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from modeloom.llm.closure import FOUND, candidates, closed_components, groups_of, sketches
 from modeloom.llm.flow import Packer, bucket_of, buckets_for, by_bucket, stage, unpack, unused
 from modeloom.llm.text import (
+    LOWER,
     MULTIPLIER,
     lower,
     mix,
@@ -51,15 +52,20 @@ CHUNK = 1 << 17
 PACKED = 16 << 20
 LINE_SHIFT, HASH_SHIFT = np.uint64(40), np.uint64(24)
 HASH_MASK = np.uint64((1 << 40) - 1)
-SPACES = re.compile("[ \t\v\f\r]+")
+# A-Z in lower case, and white space inside a line as spaces.
+FORM = LOWER.copy()
+FORM[[9, 11, 12, 13]] = 32
+SPACES = re.compile("  +")
 
 
 def plain_lines(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Plain form of every line that is not blank, its text's index and its number there."""
     lines, owner, number = [], [], []
-    for at, text in enumerate(lower(texts).to_pylist()):
+    for at, text in enumerate(lower(texts, FORM).to_pylist()):
+        if "  " in text:
+            text = SPACES.sub(" ", text)
         for n, line in enumerate(text.split("\n")):
-            form = SPACES.sub(" ", line).strip(" ")
+            form = line.strip(" ")
             if form:
                 lines.append(form)
                 owner.append(at)
