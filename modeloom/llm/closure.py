@@ -43,37 +43,41 @@ TASK = ["g", "low", "high"]
 # Rows of tasks worked on together, and the members of tasks whose pairs are looked at together.
 ROWS = 4096
 SMALL = 64
+# Classes of sketches made at once.
+PLACES = 1 << 19
 # Bytes of sketches compared at once.
 PAIR_BYTES = 4 << 20
 
 Bodies = Callable[[DataFrame], DataFrame]
-Similar = Callable[[pa.Scalar, pa.Scalar], bool]
+# Whether each of the first bodies reaches the similarity with that of the second at its place.
+Similar = Callable[[pa.Array, pa.Array], list[bool]]
 
 
 def sketches(values: np.ndarray, offsets: np.ndarray, bits: int) -> pa.Array:
     """Per set, whether each of its hash classes holds an odd number of its elements.
 
-    A set has ``bits`` classes, doubled until there is one for every element.  Folding the
-    halves of a sketch together gives the sketch of half as many classes.
+    A set has ``bits`` classes (a power of two), doubled until there is one for every element.
+    Folding the halves of a sketch together gives the sketch of half as many classes.
     """
     sizes = np.diff(offsets)
     wide = np.full(len(sizes), bits, np.int64)
     while (wide < sizes).any():
         wide = np.where(wide < sizes, wide * 2, wide)
-    mixed = mix(values, 9)
-    out: list[bytes] = [b""] * len(sizes)
-    for width in np.unique(wide).tolist():
-        sets = np.flatnonzero(wide == width)
-        step = max(1, 512_000 // width)
-        for low in range(0, len(sets), step):
-            part = sets[low : low + step]
-            inside = mixed[ragged(offsets[part], sizes[part])] % np.uint64(width)
-            place = np.repeat(np.arange(len(part)), sizes[part]) * width + inside.astype(np.int64)
-            count = np.bincount(place, minlength=len(part) * width)
-            rows = np.packbits((count & 1).astype(np.uint8)).reshape(-1, width // 8)
-            for at, row in zip(part.tolist(), rows, strict=True):
-                out[at] = row.tobytes()
-    return pa.array(out, pa.binary())
+    ends = np.r_[0, np.cumsum(wide)]
+    # sets one after the other, about PLACES classes at a time
+    part = ends[:-1] // PLACES
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(sizes) else [0]
+    rows = []
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        inside = mix(values[offsets[low] : offsets[high]], 9)
+        inside &= np.repeat((wide[low:high] - 1).astype(np.uint64), sizes[low:high])
+        place = np.repeat(ends[low:high] - ends[low], sizes[low:high]) + inside.astype(np.int64)
+        count = np.bincount(place, minlength=int(ends[high] - ends[low]))
+        rows.append(np.packbits((count & 1).astype(np.uint8)))
+    data = np.concatenate([np.zeros(0, np.uint8), *rows])
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer((ends // 8).astype(np.int32)), pa.py_buffer(data)]
+    )
 
 
 def _lengths(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -174,15 +178,18 @@ def verified(pairs: DataFrame, bodies: DataFrame, similar: Similar) -> DataFrame
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = zip(batch.column("one"), batch.column("other"), strict=True)
-            keep = [similar(one, other) for one, other in sides]
+            keep = similar(batch.column("one"), batch.column("other"))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return whole.select("a", "b", "one", "other").mapInArrow(linked, "a long, b long")
 
 
-def similar_sets(one: pa.Scalar, other: pa.Scalar) -> bool:
-    """Whether two sorted sets of 64-bit hashes reach Jaccard 0.8."""
+def similar_sets(ones: pa.Array, others: pa.Array) -> list[bool]:
+    """Whether two sorted sets of 64-bit hashes reach Jaccard 0.8, for each two."""
+    return [_similar(one, other) for one, other in zip(ones, others, strict=True)]
+
+
+def _similar(one: pa.Scalar, other: pa.Scalar) -> bool:
     x = np.frombuffer(one.as_buffer(), "<u8")
     y = np.frombuffer(other.as_buffer(), "<u8")
     if len(x) == 0 or len(y) == 0:

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,7 @@ ROWS = 5
 # Characters of the shortest line that has shingles besides itself.
 LEAST = WIDTH
 SKETCH_BITS = 256
+FACTORS = 2 * np.random.default_rng(1997).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) + 1
 # Characters shingled at once: their hashes stay in a processor's cache.
 CHUNK = 1 << 17
 # Bytes of signatures that a task gathers before it sends them on.
@@ -56,6 +58,9 @@ HASH_MASK = np.uint64((1 << 40) - 1)
 FORM = LOWER.copy()
 FORM[[9, 11, 12, 13]] = 32
 SPACES = re.compile("  +")
+# Bits of a character of a shingle that is held as one number, and pairs compared at once.
+POINT_BITS = 12
+PAIRS = 64
 
 
 def plain_lines(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -78,6 +83,16 @@ def shingled_lines(texts: pa.Array) -> list[str]:
     return list(dict.fromkeys(x for x in plain_lines(texts)[0] if len(x) >= LEAST))
 
 
+def numbered_lines(texts: pa.Array, number: list[int], ends: list[int]) -> list[str]:
+    """Plain forms of some lines; those of text k are ``number[ends[k - 1] : ends[k]]``."""
+    out, start = [], 0
+    for text, end in zip(lower(texts, FORM).to_pylist(), ends, strict=True):
+        lines = text.split("\n")
+        out += [SPACES.sub(" ", lines[n]).strip(" ") for n in number[start:end]]
+        start = end
+    return out
+
+
 def chunks(lines: list[str], size: int = CHUNK) -> Iterator[list[str]]:
     """The lines in order, some at a time; longer lines are still taken whole."""
     held, total = [], 0
@@ -110,15 +125,14 @@ def shingles(lines: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarr
 
 def band_keys(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """(line, band) keys from minima under multiplicative permutations of 32-bit hashes."""
-    factors = np.random.default_rng(1997).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32)
     base = (hashes >> np.uint64(32)).astype(np.uint32)
     keys = np.zeros((len(offsets) - 1, BANDS), np.uint64)
+    product = np.empty_like(base)
     for band in range(BANDS):
         key = np.full(len(offsets) - 1, band + 1, np.uint64)
         for row in range(ROWS):
-            factor = factors[band * ROWS + row] * np.uint32(2) + np.uint32(1)
-            low = np.minimum.reduceat(base * factor, offsets[:-1])
-            key = key * MULTIPLIER + low
+            np.multiply(base, FACTORS[band * ROWS + row], out=product)
+            key = key * MULTIPLIER + np.minimum.reduceat(product, offsets[:-1])
         keys[:, band] = mix(key, 12)
     return keys
 
@@ -177,12 +191,19 @@ def _groups(table: pa.Table) -> pa.Table:
 
 
 def _known(docs: DataFrame) -> DataFrame:
-    """node, n (distinct shingles) and sketch of each task's distinct lines."""
+    """node, n (distinct shingles), sketch and plain form of some lines of ``docs``: text, and
+    ``wanted``, the node and number of each such line."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                for lines in chunks(shingled_lines(texts_of(part.column("text")))):
+                wanted = part.column("wanted").flatten()
+                node = wanted.field("node")
+                number = wanted.field("line").to_pylist()
+                ends = np.cumsum(pc.list_value_length(part.column("wanted")).to_numpy()).tolist()
+                texts = texts_of(part.column("text"))
+                start = 0
+                for lines in chunks(numbered_lines(texts, number, ends)):
                     hashes, offsets = shingles(lines)
                     # line and 40 bits of the hash in one number sort much faster than two keys
                     owner = owners(offsets).astype(np.uint64) << LINE_SHIFT
@@ -192,40 +213,57 @@ def _known(docs: DataFrame) -> DataFrame:
                     values = both & HASH_MASK
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(line_nodes(lines).view(np.int64), pa.int64()),
+                            node.slice(start, len(lines)),
                             pa.array(sizes, pa.int64()),
                             sketches(values, np.r_[0, np.cumsum(sizes)], SKETCH_BITS),
+                            pa.array(lines, pa.string()),
                         ],
-                        names=["node", "n", "sketch"],
+                        names=["node", "n", "sketch", "body"],
                     )
-
-    return docs.select("text").mapInArrow(work, "node long, n long, sketch binary")
-
-
-def _bodies(docs: DataFrame) -> DataFrame:
-    """node and plain form of each task's distinct lines."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                lines = shingled_lines(texts_of(part.column("text")))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(line_nodes(lines).view(np.int64), pa.int64()),
-                        pa.array(lines, pa.string()),
-                    ],
-                    names=["node", "body"],
-                )
-
-    return docs.select("text").mapInArrow(work, "node long, body string")
-
-
-def similar_lines(one: pa.Scalar, other: pa.Scalar) -> bool:
-    """Whether the character shingles of two lines reach Jaccard 0.8."""
-    x, y = (
-        {s[i : i + WIDTH] for i in range(len(s) - WIDTH + 1)}
-        for s in (one.as_py(), other.as_py())
-    )
+                    start += len(lines)
+
+    return docs.mapInArrow(work, "node long, n long, sketch binary, body string")
+
+
+def similar_lines(ones: pa.Array, others: pa.Array) -> list[bool]:
+    """Whether the character shingles of two lines reach Jaccard 0.8, for each two."""
+    out = []
+    for low in range(0, len(ones), PAIRS):
+        x, y = (side.slice(low, PAIRS).to_pylist() for side in (ones, others))
+        out += _similar(x, y)
+    return out
+
+
+def _similar(ones: list[str], others: list[str]) -> list[bool]:
+    lines = [line for two in zip(ones, others, strict=True) for line in two]
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4")
+    if points.max() >> POINT_BITS:
+        names, points = np.unique(points, return_inverse=True)
+        if len(names) >> POINT_BITS:
+            return [_similar_texts(x, y) for x, y in zip(ones, others, strict=True)]
+    # a shingle's characters side by side in one number; the last ones of a line reach into
+    # the next line and are left out
+    points = points.astype(np.int64)
+    packed = np.zeros(len(points) - WIDTH + 1, np.int64)
+    for step in range(WIDTH):
+        packed = packed << POINT_BITS | points[step : step + len(packed)]
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines))).tolist()
+    out, start = [], 0
+    for middle, end in zip(ends[::2], ends[1::2], strict=True):
+        x, y = packed[start : middle - WIDTH + 1], packed[middle : end - WIDTH + 1]
+        n, m, union = _distinct(x), _distinct(y), _distinct(np.concatenate([x, y]))
+        out.append(100 * (n + m - union) >= 80 * union)
+        start = end
+    return out
+
+
+def _distinct(values: np.ndarray) -> int:
+    values = np.sort(values)
+    return 1 + int(np.count_nonzero(values[1:] != values[:-1]))
+
+
+def _similar_texts(one: str, other: str) -> bool:
+    x, y = ({s[i : i + WIDTH] for i in range(len(s) - WIDTH + 1)} for s in (one, other))
     common = len(x & y)
     return 100 * common >= 80 * (len(x) + len(y) - common)
 
@@ -238,19 +276,22 @@ def line_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     places = stage(_occurrences(docs), "lines")
     buckets = buckets_for(docs)
     found = stage(by_bucket(_signed(docs, buckets), _groups, FOUND), "groups")
-    known = _known(docs).join(candidates(found), "node", "left_semi")
-    known = stage(known.dropDuplicates(["node"]), "known")
+    # one carrier document for each candidate; only its candidates are sketched
+    carriers = (
+        places.join(candidates(found), "node", "left_semi")
+        .dropDuplicates(["node"])
+        .groupBy("doc_id", "body")
+        .agg(F.collect_list(F.struct("node", "line")).alias("wanted"))
+    )
+    same = [docs[c].eqNullSafe(carriers[c]) for c in ("doc_id", "body")]
+    carried = docs.join(carriers, same).select(docs["text"], "wanted")
+    # equal rows give equal lines
+    lines = stage(_known(carried), "candidates")
+    known = stage(lines.drop("body").dropDuplicates(["node"]), "known")
 
     def bodies(nodes: DataFrame) -> DataFrame:
-        # one carrier document for each line; only these are read again
-        here = F.struct("doc_id", "body")
-        carrier = places.join(nodes, "node", "left_semi").groupBy("node").agg(
-            F.min(here).alias("at")
-        )
-        carriers = carrier.select("at.doc_id", "at.body").distinct()
-        same = [docs[c].eqNullSafe(carriers[c]) for c in ("doc_id", "body")]
-        lines = _bodies(docs.join(carriers, same, "left_semi"))
-        return lines.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+        wanted = lines.select("node", "body").join(nodes, "node", "left_semi")
+        return wanted.dropDuplicates(["node"])
 
     return places, closed_components(found, known, bodies, similar_lines)
 
@@ -289,8 +330,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     found = stage(removals(rows), "gone").select(
         F.col("doc_id").alias(other_d), F.col("body").alias(other_b), F.col("gone").alias(numbers)
     )
+    # only the smaller side is held; texts are not sorted
     joined = keyed.join(
-        found, F.col(d).eqNullSafe(F.col(other_d)) & (F.col(b) == F.col(other_b)), "left"
+        found.hint("shuffle_hash"), F.col(d).eqNullSafe(F.col(other_d)) & (F.col(b) == F.col(other_b)), "left"
     )
     parts = F.split(F.col(text), "\n")
     kept = F.filter(
