@@ -8,8 +8,8 @@ much cannot link.  A sketch has at least as many bits as its set has elements, s
 large sets apart as well as small ones.  Of the pairs that may link, a task proposes at
 first one or so for each of its components, these are compared by their whole sets, and the
 groups are looked into again for pairs not yet compared, ``GROWTH`` times as many in each
-round, until nothing is left to propose.  Pairs already connected are never proposed, so a
-group of copies costs one comparison each, groups of documents that merely share a passage
+round, until nothing is left to propose; a task that left no pair for later is done.  Pairs
+already connected are never proposed, so a group of copies costs one comparison each, groups of documents that merely share a passage
 propose nothing, and no link that joins components is missed.
 
 Groups of more than ``CHUNK`` nodes, or of large sketches, are dealt to chunks, and each
@@ -32,7 +32,7 @@ from modeloom.llm.text import mix, ragged
 
 FOUND = "kind byte, a long, b long"
 # Growth of the pairs proposed for each component from one round to the next.
-GROWTH = 8
+GROWTH = 64
 # Nodes, and elements of their sets, of one group that go to one chunk.
 CHUNK = 1024
 CHUNK_ELEMENTS = 1 << 26
@@ -316,7 +316,10 @@ def _actives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _proposed(table: pa.Table, most: int) -> pa.RecordBatch:
     """Pairs of several tasks not asked before; one is left for later only if both its
-    components have ``most`` pairs in this round.  Rows of side -1 are the pairs asked."""
+    components have ``most`` pairs in this round.  Rows of side -1 are the pairs asked.
+
+    ``more`` tells whether the task has left a pair for later.
+    """
     task = np.cumsum(_begins(table))
     old = table.column("side").to_numpy() < 0
     ends = [table.column(c).to_numpy()[old] for c in ("node", "component")]
@@ -341,6 +344,7 @@ def _proposed(table: pa.Table, most: int) -> pa.RecordBatch:
     # a component counts for itself in every task
     _, component = np.unique(task * (len(node) + 1) + component, return_inverse=True)
     taken = np.zeros(len(node), np.int64)
+    later = np.zeros(int(task[-1]) + 1 if len(task) else 1, bool)
     out_a, out_b = [], []
     for i, j in _near(table, task, component):
         fresh = ~np.isin(np.minimum(i, j) * len(node) + np.maximum(i, j), before)
@@ -353,14 +357,17 @@ def _proposed(table: pa.Table, most: int) -> pa.RecordBatch:
                 taken[y] += 1
                 out_a.append(p)
                 out_b.append(q)
+            else:
+                later[task[p]] = True
     out = np.array(out_a, np.int64)
     a, b = node[out], node[np.array(out_b, np.int64)]
     same = [pa.array(table.column(c).to_numpy()[out], pa.int64()) for c in TASK]
     pair = [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())]
-    return pa.RecordBatch.from_arrays([*same, *pair], names=[*TASK, "a", "b"])
+    more = pa.array(later[task[out]], pa.bool_())
+    return pa.RecordBatch.from_arrays([*same, *pair, more], names=[*TASK, "a", "b", "more"])
 
 
-PROPOSED = "g long, low long, high long, a long, b long"
+PROPOSED = "g long, low long, high long, a long, b long, more boolean"
 
 
 def _propose(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -392,12 +399,21 @@ def _chunks(members: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """Every member once for each task, a pair of chunks that its chunk is in; and its side."""
+def _dealt(members: DataFrame, tasks: DataFrame | None = None) -> DataFrame:
+    """Every member once for each task, a pair of chunks that its chunk is in; and its side.
+
+    ``tasks``, if given, are the only ones that get any.
+    """
     mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    dealt = members.withColumn("mine", mine).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-    )
+    dealt = members.withColumn("mine", mine)
+    if tasks is None:
+        dealt = dealt.withColumn(
+            "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+        )
+    else:
+        ends = tasks.select("g", F.col("low").alias("mine"), F.col("high").alias("other"))
+        ends = ends.union(ends.where("mine <> other").select("g", "other", "mine"))
+        dealt = dealt.join(ends, ["g", "mine"])
     side = F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1)
     return (
         dealt.withColumn("low", F.least("mine", "other"))
@@ -417,7 +433,7 @@ def closed_components(
     """
     pairs = stage(near_pairs(found.where("kind = 0").select("a", "b").distinct(), known), "near")
     members = found.where("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("node"))
-    members = members.distinct()
+    members = stage(members.distinct(), "distinct")
     dealt = _dealt(_chunks(members, known)).join(known, "node")
     active = _by_task(dealt.select(*TASK, "node", "n", "side", "sketch"), _actives, "node long")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(active).distinct()
@@ -428,7 +444,7 @@ def closed_components(
     members = _chunks(members.join(ends, "node", "left_semi"), known)
     members = stage(members.join(known, "node"), "members")
     columns = [*TASK, "node", "n", "side", "sketch", "component"]
-    asked = None
+    asked = later = None
     most = 1
     while True:
         parts = components(links)
@@ -438,8 +454,8 @@ def closed_components(
         several = placed.groupBy("g").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).where("low <> high").select("g")
-        placed = _dealt(placed.join(several, "g", "left_semi")).select(*columns)
-        if asked is not None:
+        placed = _dealt(placed.join(several, "g", "left_semi"), later).select(*columns)
+        if later is not None:
             placed = placed.union(
                 asked.select(
                     *TASK, F.col("a").alias("node"), F.lit(0).cast("long").alias("n"),
@@ -450,7 +466,14 @@ def closed_components(
         fresh = stage(_by_task(placed, _propose(most), PROPOSED), "proposed")
         if fresh.isEmpty():
             return parts
-        asked = fresh if asked is None else asked.union(fresh)
-        most *= GROWTH
         more = verified(fresh.select("a", "b").distinct(), whole, similar)
         links = links.union(stage(more, "links"))
+        # the others have no pair left that was not asked
+        later = stage(fresh.where("more").select(*TASK).distinct(), "later")
+        if later.isEmpty():
+            return components(links)
+        fresh = fresh.drop("more")
+        asked = fresh if asked is None else asked.union(fresh)
+        asked = asked.join(later, TASK, "left_semi").select(*TASK, "a", "b")
+        members = stage(members.join(later.select("g").distinct(), "g", "left_semi"), "members")
+        most *= GROWTH

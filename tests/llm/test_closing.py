@@ -1,5 +1,7 @@
 """Components and signature groups by few jobs: many links, many tasks in one batch."""
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -97,3 +99,35 @@ def test_asked_pairs_are_not_proposed_again():
     whole = pa.Table.from_batches([closure._proposed(table, 1 << 20)])
     pairs = [set(zip(*(t.column(c).to_pylist() for c in ("g", "a", "b")), strict=True)) for t in (first, rest, whole)]
     assert pairs[0] and pairs[1] and not pairs[0] & pairs[1] and pairs[0] | pairs[1] == pairs[2]
+
+
+def test_a_task_tells_whether_it_left_pairs_for_later():
+    """Only tasks that left pairs are looked into again."""
+    table = tasks(12, 20, 9)
+    some, whole = (pa.Table.from_batches([closure._proposed(table, m)]) for m in (3, 1 << 20))
+    count = [dict(Counter(t.column("g").to_pylist())) for t in (some, whole)]
+    more = dict(zip(some.column("g").to_pylist(), some.column("more").to_pylist(), strict=True))
+    assert more == {g: n < count[1][g] for g, n in count[0].items()}
+    assert set(more.values()) == {True, False} and not any(whole.column("more").to_pylist())
+
+
+def test_groups_without_pairs_left_are_not_read_again(spark, monkeypatch):
+    """Of 40 groups without a link, one leaves pairs for a second round; it is read alone."""
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(0, 2**63, 50, dtype=np.uint64) for _ in range(40 * 2 + 30)]
+    members = [(k // 2 if k < 80 else 40, k) for k in range(len(sets))]
+    offsets = np.r_[0, np.cumsum([len(x) for x in sets])]
+    blank = closure.sketches(np.concatenate(sets) * np.uint64(0), offsets, 256).to_pylist()
+    known = spark.createDataFrame([(k, 50, blank[k]) for k in range(len(sets))], "node long, n long, sketch binary")
+    found = spark.createDataFrame([(1, g, k) for g, k in members], "kind byte, a long, b long")
+    bodies = spark.createDataFrame([(k, np.sort(x).tobytes()) for k, x in enumerate(sets)], "node long, body binary")
+    read = []
+
+    def noted(df, name):
+        if name == "members":
+            read.append(df.select("g").distinct().count())
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(closure, "stage", noted)
+    parts = closure.closed_components(found, known, lambda nodes: bodies.join(nodes, "node", "left_semi"), closure.similar_sets)
+    assert parts.count() == 0 and read[0] == 41 and read[1:] and max(read[1:]) < 41
