@@ -6,6 +6,7 @@ bytes moved and the JVM's work small.  Spark still partitions, spills and retrie
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -165,6 +166,33 @@ def along_buckets(
     )
 
 
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def give_back() -> None:
+    """Return free memory that Arrow and the C library hold for later to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(work: Work) -> Work:
+    """``work``, after which a worker is as small as before.
+
+    Spark keeps its Python workers for later tasks, of other operators too; what one of them
+    holds is missing there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table below the session's shared folder and read it back.
 

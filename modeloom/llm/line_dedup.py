@@ -29,7 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modeloom.llm.closure import FOUND, candidates, closed_components, groups_of, sketches
-from modeloom.llm.flow import Packer, bucket_of, buckets_for, by_bucket, stage, unpack, unused
+from modeloom.llm.flow import (
+    Packer,
+    bucket_of,
+    buckets_for,
+    by_bucket,
+    lean,
+    stage,
+    unpack,
+    unused,
+)
 from modeloom.llm.text import (
     LOWER,
     MULTIPLIER,
@@ -155,7 +164,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "body", "node", "line"],
                 )
 
-    return docs.mapInArrow(work, "doc_id long, body long, node long, line long")
+    return docs.mapInArrow(lean(work), "doc_id long, body long, node long, line long")
 
 
 SIGNED = ["node", "low", "high"]
@@ -180,7 +189,7 @@ def _signed(docs: DataFrame, buckets: int) -> DataFrame:
                         yield from packer.rows()
         yield from packer.rows()
 
-    return docs.select("text").mapInArrow(work, Packer(SIGNED).schema())
+    return docs.select("text").mapInArrow(lean(work), Packer(SIGNED).schema())
 
 
 def _groups(table: pa.Table) -> pa.Table:
@@ -222,7 +231,7 @@ def _known(docs: DataFrame) -> DataFrame:
                     )
                     start += len(lines)
 
-    return docs.mapInArrow(work, "node long, n long, sketch binary, body string")
+    return docs.mapInArrow(lean(work), "node long, n long, sketch binary, body string")
 
 
 def similar_lines(ones: pa.Array, others: pa.Array) -> list[bool]:

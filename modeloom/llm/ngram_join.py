@@ -40,7 +40,7 @@ from modeloom.llm.closure import (
     similar_sets,
     sketches,
 )
-from modeloom.llm.flow import Packer, bucket_of, buckets_for, by_bucket, stage, unpack
+from modeloom.llm.flow import Packer, bucket_of, buckets_for, by_bucket, lean, stage, unpack
 from modeloom.llm.text import (
     MULTIPLIER,
     distinct_per_owner,
@@ -173,7 +173,7 @@ def _marks(docs: DataFrame, width: int) -> DataFrame:
                 )
 
     return docs.mapInArrow(
-        work, "doc_id long, body long, n_shingles long, node long, sketch binary"
+        lean(work), "doc_id long, body long, n_shingles long, node long, sketch binary"
     )
 
 
@@ -201,7 +201,7 @@ def _signed(docs: DataFrame, width: int, buckets: int) -> DataFrame:
                     yield from packer.rows()
         yield from packer.rows()
 
-    return docs.select("text").mapInArrow(work, Packer(*SIGNED).schema())
+    return docs.select("text").mapInArrow(lean(work), Packer(*SIGNED).schema())
 
 
 def _groups(table: pa.Table) -> pa.Table:
@@ -232,7 +232,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                     names=["node", "body"],
                 )
 
-    return docs.select("text").mapInArrow(work, "node long, body binary")
+    return docs.select("text").mapInArrow(lean(work), "node long, body binary")
 
 
 def ngram_components(

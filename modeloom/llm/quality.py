@@ -29,6 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modeloom.llm.flow import lean
 from modeloom.llm.text import bytes_of, slices, texts_of
 from modeloom.plans.staging import materialise
 
@@ -106,7 +107,7 @@ def differences(docs: DataFrame, good: bytes, bad: bytes) -> DataFrame:
 
     kinds = dict(docs.dtypes)
     schema = ", ".join(f"`{n}` {kinds[n]}" for n in names)
-    return docs.mapInArrow(work, f"{schema}, difference double")
+    return docs.mapInArrow(lean(work), f"{schema}, difference double")
 
 
 def _blocks(docs: DataFrame, most: int) -> DataFrame:
@@ -137,7 +138,7 @@ def _blocks(docs: DataFrame, most: int) -> DataFrame:
                 names=["label", "rank", "block"],
             )
 
-    return docs.mapInArrow(work, "label int, rank long, block binary")
+    return docs.mapInArrow(lean(work), "label int, rank long, block binary")
 
 
 def _dictionary(blocks: list[bytes]) -> bytes:
@@ -240,4 +241,4 @@ def keep_good(
                 ]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.mapInArrow(lean(work), docs.schema)

@@ -3,7 +3,7 @@
 The tokenizer never joins characters across white space, so a text's ids are those of its
 words.  Words of common letters, digits and signs are split the way the tokenizer's own
 pattern splits them, and only distinct letter runs reach its model; every other word is
-given to the whole tokenizer.  Words seen by a worker are remembered up to a bound.
+given to the whole tokenizer.  Words seen by a task are remembered up to a bound.
 """
 
 from __future__ import annotations
@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
+from modeloom.llm.flow import lean
 from modeloom.llm.text import coded_words, ragged, slices, texts_of
 
 TOKENIZER = "word_bpe_49k.json"
-# Letter runs remembered by one worker before it starts anew.
+# Letter runs remembered by one task before it starts anew.
 REMEMBERED = 1_000_000
 # Printable ASCII without ' and <, and composed Latin letters: for these, lower case and
 # normal form act letter by letter.
@@ -139,8 +140,9 @@ def tokenised(
     path = public_tokenizers.path(tokenizer)
     names = extra[0] if extra else []
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = word_tokens(path)
+    def of_batches(
+        batches: Iterator[pa.RecordBatch], tokens: WordTokens
+    ) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, offsets = token_arrays(texts_of(part.column("text")), tokens)
@@ -161,8 +163,17 @@ def tokenised(
                     names=["doc_id", "n_tokens", *(n.split()[0] for n in names), "ids"],
                 )
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = word_tokens(path)
+        try:
+            yield from of_batches(batches, tokens)
+        finally:
+            # the worker outlives the task, and its words are of no use to other operators
+            tokens.clear()
+
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(work, ", ".join(["doc_id long, n_tokens long", *names, "ids binary"]))
+    schema = ", ".join(["doc_id long, n_tokens long", *names, "ids binary"])
+    return rows.mapInArrow(lean(work), schema)
 
 
 def id_type(size: int) -> str:
