@@ -152,7 +152,7 @@ def near_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
     def side(name: str) -> DataFrame:
         return known.select(
             F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("sketch").alias(f"s{name}")
-        )
+        ).hint("shuffle_hash")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -199,12 +199,31 @@ def _groups(table: pa.Table) -> pa.Table:
     return groups_of(unpack(table, "node", "<u8"), sign)
 
 
-def _known(docs: DataFrame) -> DataFrame:
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a task, one for each carrier: equal rows give equal lines.
+
+    Rows of one carrier are in one task, unless they are so many that the join splits them; a
+    line that a few tasks give again is compared again, which changes no component.
+    """
+    seen = np.zeros(0, np.int64)
+    for batch in batches:
+        # a node has one carrier, so its first tells carriers apart
+        wanted = batch.column("wanted")
+        first = wanted.flatten().field("node").to_numpy()
+        sizes = pc.list_value_length(wanted).to_numpy().astype(np.int64)
+        node, at = np.unique(first[np.cumsum(sizes) - sizes], return_index=True)
+        at = np.sort(at[~np.isin(node, seen)])
+        seen = np.concatenate([seen, node])
+        yield batch.take(pa.array(at, pa.int64()))
+
+
+def _known(docs: DataFrame, once: bool = False) -> DataFrame:
     """node, n (distinct shingles), sketch and plain form of some lines of ``docs``: text, and
-    ``wanted``, the node and number of each such line."""
+    ``wanted``, the node and number of each such line.  ``once``: equal rows of a task count as
+    one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _once(batches) if once else batches:
             for part in slices(batch, "text"):
                 wanted = part.column("wanted").flatten()
                 node = wanted.field("node")
@@ -286,35 +305,36 @@ def line_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     buckets = buckets_for(docs)
     found = stage(by_bucket(_signed(docs, buckets), _groups, FOUND), "groups")
     # one carrier document for each candidate; only its candidates are sketched
+    # here and below the smaller side is hashed, so the larger one is not sorted
     carriers = (
-        places.join(candidates(found), "node", "left_semi")
+        places.join(candidates(found).hint("shuffle_hash"), "node", "left_semi")
         .dropDuplicates(["node"])
         .groupBy("doc_id", "body")
         .agg(F.collect_list(F.struct("node", "line")).alias("wanted"))
     )
+    carriers = carriers.hint("shuffle_hash")
     same = [docs[c].eqNullSafe(carriers[c]) for c in ("doc_id", "body")]
     carried = docs.join(carriers, same).select(docs["text"], "wanted")
-    # equal rows give equal lines
-    lines = stage(_known(carried), "candidates")
-    known = stage(lines.drop("body").dropDuplicates(["node"]), "known")
+    lines = stage(_known(carried, once=True), "candidates")
 
     def bodies(nodes: DataFrame) -> DataFrame:
+        nodes = nodes.hint("shuffle_hash")
         wanted = lines.select("node", "body").join(nodes, "node", "left_semi")
         return wanted.dropDuplicates(["node"])
 
-    return places, closed_components(found, known, bodies, similar_lines)
+    return places, closed_components(found, lines.drop("body"), bodies, similar_lines)
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, body, gone): the numbers of the lines that go, for documents losing any."""
     places, parts = line_components(docs)
-    placed = places.join(parts, "node", "left").select(
+    placed = places.join(parts.hint("shuffle_hash"), "node", "left").select(
         "doc_id", "body", "line", F.coalesce("component", "node").alias("component")
     )
     first = placed.groupBy("component").agg(
         F.min(F.struct("doc_id", "line", "body")).alias("stays"), F.count("*").alias("n")
     ).where("n > 1")
-    gone = placed.join(first, "component").where(
+    gone = placed.join(first.hint("shuffle_hash"), "component").where(
         ~(F.col("doc_id").eqNullSafe(F.col("stays.doc_id"))
           & (F.col("line") == F.col("stays.line")) & (F.col("body") == F.col("stays.body")))
     )

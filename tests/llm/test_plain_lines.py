@@ -44,3 +44,13 @@ def test_only_wanted_lines_are_sketched(spark):
     got = line_dedup._known(df.coalesce(1)).collect()
     assert sorted((r["body"], r["node"], r["n"], len(r["sketch"])) for r in got) == [
         ("second line here", nodes[0], 12, 32)] * 2 + [("third line here", nodes[1], 11, 32)] * 2
+
+
+def test_equal_carriers_are_sketched_once(spark):
+    """Rows that repeat a carrier document give its lines once."""
+    nodes = line_dedup.line_nodes(["first line here", "second line here"]).view("int64").tolist()
+    rows = [("first line here\nabc", [(nodes[0], 0)]), ("second line here", [(nodes[1], 0)])]
+    df = spark.createDataFrame(rows * 40, "text string, wanted array<struct<node: long, line: long>>")
+    got = line_dedup._known(df.coalesce(1), once=True).collect()
+    assert sorted((r["body"], r["node"]) for r in got) == [
+        ("first line here", nodes[0]), ("second line here", nodes[1])]
