@@ -6,8 +6,10 @@ By default the table is scanned once, into a bounded summary of every column
 The other way is a pass of Spark over all rows: every task reduces its rows to a few sums
 per mode, Spark adds those up, and the driver updates K-sized parameters; all columns
 share each pass over the packed, persisted columns, and a lost block is read again from
-the source.  Either way passes are extrapolated, so that a fit comes to rest in tens of
-passes where plain updates take hundreds.
+the source.  Between them, distinct values are counted by one scan, and every pass goes over
+all of them, in one task up to :data:`ONE_TASK` of a column.  Passes are extrapolated unless
+plain ones are asked for, so that a fit comes to rest in tens of passes where plain updates
+take hundreds.
 """
 
 from __future__ import annotations
@@ -41,10 +43,17 @@ COVARIANCE_FLOOR = 1e-6
 DECILES = tuple(range(100, 1000, 100))
 # Rounds after which the k-means start is taken as it is.
 KMEANS_ROUNDS = 300
+# Distinct values of a column that one task fits; a pass over them takes about as long as a job.
+ONE_TASK = 1 << 20
+# Values worked on at a time, so that their terms stay in a core's cache.
+BLOCK = 1 << 13
 # The longest extrapolation at first, and the factor by which the limit grows.
 STEP_LIMIT = 4.0
 STEP_GROWTH = 4.0
 
+# What a pass adds up for every mode; the log normaliser is one number, kept in the first.
+SUMS = ("n", "s1", "s2", "hits", "log_norm")
+
 PARAM_SCHEMA = (
     "col string, k int, weight double, mean double, std double, log_c double,"
     " half_prec double, mass double, hits long, active boolean, rank int"
@@ -179,7 +188,7 @@ def mode_sums(
                 names=["c", "k", "n", "s1", "s2", "hits", "log_norm"],
             )
 
-    parts = ("n", "s1", "s2", "hits", "log_norm")
+    parts = SUMS
     partial = blocks.where(F.col("c").isin(*kernels)).mapInArrow(
         reduce_partition,
         "c int, k int, n double, s1 double, s2 double, hits double, log_norm double",
@@ -194,6 +203,47 @@ def mode_sums(
     return out
 
 
+def counted_sums(x: np.ndarray, w: np.ndarray, kernel: Mapping) -> np.ndarray:
+    """The sums of :func:`mode_sums` over counted values: rows n, s1, s2, hits and log_norm.
+
+    Modes are rows and values columns, a block at a time.  The rows a mode wins are counted
+    only where the kernel asks for ``hits``, which no update needs.
+    """
+    shift, scale, centre = kernel["shift"], kernel["scale"], kernel["m"]
+    size = len(centre)
+    total = np.zeros((5, size))
+    if "cuts" in kernel:
+        winner = np.searchsorted(kernel["cuts"], x, side="left")
+        away = (x - shift) / scale - centre[winner]
+        for i, part in enumerate((w, w * away, w * away**2, w)):
+            total[i] = np.bincount(winner, part, size)
+        return total
+    centre, const, fall = centre[:, None], kernel["c"][:, None], -kernel["h"][:, None]
+    step = -(-len(x) // -(-len(x) // BLOCK))
+    held = np.empty((2, size, step))
+    for at in range(0, len(x), step):
+        z, weight = (x[at : at + step] - shift) / scale, w[at : at + step]
+        away, share = held[0, :, : len(z)], held[1, :, : len(z)]
+        np.subtract(z, centre, out=away)
+        np.multiply(away, away, out=share)
+        share *= fall
+        share += const
+        top = share.max(axis=0)
+        if kernel.get("hits"):
+            total[3] += np.bincount(share.argmax(axis=0), weight, size)
+        share -= top
+        np.exp(share, out=share)
+        norm = share.sum(axis=0)
+        total[4, 0] += weight @ (top + np.log(norm))
+        share *= weight / norm
+        total[0] += share.sum(axis=1)
+        share *= away
+        total[1] += share.sum(axis=1)
+        share *= away
+        total[2] += share.sum(axis=1)
+    return total
+
+
 def sufficient_statistics(df: DataFrame, column: str, model: MixtureModel) -> DataFrame:
     """(k, n, sum_x, sum_xx) of the posterior-weighted values: what one pass of a fit adds up."""
     kernel = {
@@ -305,6 +355,45 @@ class _Blocks:
         self.blocks.unpersist()
 
 
+class _SpreadValues(_Blocks):
+    """Counted values dealt to as many tasks as run at once: a pass is one job of one stage.
+
+    Passes are short and many, so they run on an RDD, which spares each a query's planning.
+    """
+
+    def __init__(self, counts: DataFrame, size: int):
+        at_once = counts.sparkSession.sparkContext.defaultParallelism
+        dealt = counts.repartition(max(at_once, -(-size // ONE_TASK)), "c", "x")
+        # in order, so that a pass adds up the same numbers in every run
+        super().__init__(dealt.sortWithinPartitions("c", "x"))
+        self.rows = None
+
+    def sums(self, kernels: Mapping[int, dict]) -> dict[int, dict[str, np.ndarray]]:
+        kernels = {int(c): k for c, k in kernels.items()}
+        if self.rows is None:
+            self.rows = self.blocks.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+            self.rows.count()
+            self.blocks.unpersist()
+
+        def work(blocks):
+            found = {}
+            for c, x, w in blocks:
+                if c in kernels:
+                    x, w = np.frombuffer(x, "<f8"), np.frombuffer(w, "<f8")
+                    found[c] = found.get(c, 0.0) + counted_sums(x, w, kernels[c])
+            return list(found.items())
+
+        out = {c: np.zeros((len(SUMS), len(k["m"]))) for c, k in kernels.items()}
+        for c, total in self.rows.mapPartitions(work).collect():  # a few numbers per task and mode
+            out[c] += total
+        return {c: dict(zip(SUMS, total, strict=True)) for c, total in out.items()}
+
+    def close(self) -> None:
+        super().close()
+        if self.rows is not None:
+            self.rows.unpersist()
+
+
 def _cut_kernels(data, per_mille: Sequence[int]) -> dict[int, dict]:
     """Hard assignment by order statistics at the given per-mille ranks."""
     kernels = {}
@@ -460,7 +549,9 @@ def _fit(
             fits[c].take(sums, kernels[c])
 
     # A last pass under the final parameters gives mass and use of every mode.
-    kernels = {c: fit.state.kernel(fit.shift, fit.scale) for c, fit in fits.items()}
+    kernels = {
+        c: fit.state.kernel(fit.shift, fit.scale) | {"hits": True} for c, fit in fits.items()
+    }
     final = data.sums(kernels)
     models = {}
     for c, fit in fits.items():
@@ -570,6 +661,31 @@ class _Cells:
         return out
 
 
+class _Values:
+    """One column's counted values in the arrays of one task."""
+
+    def __init__(self, x, w):
+        order = np.argsort(x, kind="stable")
+        self.x, self.w = x[order], w[order].astype(float)
+        rows = float(self.w.sum())
+        centre = float(np.clip(self.w @ self.x / rows, self.x[0], self.x[-1]))
+        ss = float(self.w @ (self.x - centre) ** 2)
+        self.rows = int(round(rows))
+        self.stats = {
+            0: {"rows": self.rows, "mean": centre, "var": ss / (rows - 1) if rows > 1 else 0.0}
+        }
+
+    def cuts(self, per_mille: Sequence[int]) -> dict[int, np.ndarray]:
+        at = np.searchsorted(np.cumsum(self.w), _cut_ranks(self.rows, per_mille))
+        return {0: self.x[np.minimum(at, len(self.x) - 1)]}
+
+    def sums(self, kernels: Mapping[int, dict]) -> dict[int, dict[str, np.ndarray]]:
+        return {
+            c: dict(zip(SUMS, counted_sums(self.x, self.w, kernel), strict=True))
+            for c, kernel in kernels.items()
+        }
+
+
 MODEL_ARRAYS = ("weight", "mean", "std", "log_c", "half_prec", "mass", "bounds")
 
 
@@ -579,12 +695,20 @@ def fit_cells(cells: DataFrame, n_series: int, **options) -> list[MixtureModel]:
     A column's cells are bounded in number, so all passes run over arrays in its task; where
     its distinct values are no more than that, the result is that of a fit over all rows.
     """
+    rows = cells.select("c", "n", "mean", "m2", "low", "high")
+    found = _fit_in_tasks(rows, _Cells, **options)
+    _missing(found, n_series)
+    return [found[c] for c in range(n_series)]
+
+
+def _fit_in_tasks(rows: DataFrame, kind: type, **options) -> dict[int, MixtureModel]:
+    """Fit every column ``c``, one task a column, on a ``kind`` made of the other ``rows``."""
+    names = [n for n in rows.columns if n != "c"]
 
     def work(table):
         import pyarrow as pa
 
-        parts = [table.column(n).to_numpy() for n in ("n", "mean", "m2", "low", "high")]
-        model = _fit(_Cells(*parts), **options)[0]
+        model = _fit(kind(*(table.column(n).to_numpy() for n in names)), **options)[0]
         row = {"c": pa.array([table.column("c")[0].as_py()], pa.int32())}
         for name in MODEL_ARRAYS:
             row[name] = pa.array([list(getattr(model, name))], pa.list_(pa.float64()))
@@ -595,15 +719,12 @@ def fit_cells(cells: DataFrame, n_series: int, **options) -> list[MixtureModel]:
 
     schema = ", ".join(["c int", *[f"{n} array<double>" for n in MODEL_ARRAYS], "hits array<long>"])
     schema += ", iterations long, converged boolean, start_settled boolean, gap double"
-    rows = cells.select("c", "n", "mean", "m2", "low", "high").groupBy("c").applyInArrow(work, schema)
-    found = {r["c"]: r.asDict() for r in rows.collect()}  # a few numbers per column and mode
-    _missing(found, n_series)
-    models = []
-    for c in range(n_series):
-        row = found[c]
+    models = {}
+    # a few numbers per column and mode
+    for row in rows.groupBy("c").applyInArrow(work, schema).collect():
         arrays = {n: tuple(row[n]) for n in (*MODEL_ARRAYS, "hits")}
         facts = {n: row[n] for n in ("iterations", "converged", "start_settled", "gap")}
-        models.append(MixtureModel(**arrays, **facts, eps=options.get("eps", EPS)))
+        models[row["c"]] = MixtureModel(**arrays, **facts, eps=options.get("eps", EPS))
     return models
 
 
@@ -615,18 +736,19 @@ def fit_mixtures(
     key: Sequence[str] = (),
     seed: int = 42,
     on: str = "cells",
-    limit: int = CELLS,
+    limit: int | None = None,
     combine: bool = False,
     **options,
 ) -> dict[str, MixtureModel]:
     """Fit one mixture per numeric column, on all rows unless a fraction is asked for.
 
-    ``on="cells"`` scans the table once, into at most ``limit`` cells a column, and fits those;
-    ``gap`` of a model bounds what the bound per row loses by it, and is 0 where a column has no
-    more distinct values.  ``on="rows"`` reads all rows in every pass; ``combine`` counts equal
-    values first, by one shuffle.  ``on="values"`` is never short of a value: columns that have
-    more than ``limit`` are fitted on their counted values, every pass over all of them.  With ``key`` the sample is drawn by hash and is the same on
-    every run.  ``options``: ``n_components``, ``eps``, ``weight_prior``, ``max_iter``, ``tol``,
+    ``on="cells"`` scans the table once, into at most ``limit`` (32,768) cells a column, and fits
+    those; ``gap`` of a model bounds what the bound per row loses by it, and is 0 where a column
+    has no more distinct values.  ``on="rows"`` reads all rows in every pass; ``combine`` counts
+    equal values first, by one shuffle.  ``on="values"`` is never short of a value: they are
+    counted by one scan, and every pass goes over all of them, in one task for a column of at
+    most ``limit`` (:data:`ONE_TASK`) and in all tasks for others.  With ``key`` the sample is
+    drawn by hash and is the same on every run.  ``options``: ``n_components``, ``eps``, ``weight_prior``, ``max_iter``, ``tol``,
     ``init`` (``"quantile"`` or ``"kmeans"``), ``kmeans_rounds``, ``accelerate``.
     """
     if on not in ("cells", "values", "rows"):
@@ -634,9 +756,10 @@ def fit_mixtures(
     if sample_fraction is not None and sample_fraction < 1:
         df = hash_sample(df, sample_fraction, key, seed) if key else df.sample(False, sample_fraction, seed)
     if on == "cells":
-        models = fit_cells(value_cells(df, columns, limit=limit), len(columns), **options)
+        cells = value_cells(df, columns, limit=CELLS if limit is None else limit)
+        models = fit_cells(cells, len(columns), **options)
     elif on == "values":
-        models = _fit_values(df, columns, limit, **options)
+        models = _fit_values(df, columns, ONE_TASK if limit is None else limit, **options)
     else:
         values = (value_counts if combine else column_values)(df, columns)
         models = fit_counts(values, len(columns), **options)
@@ -644,21 +767,25 @@ def fit_mixtures(
 
 
 def _fit_values(df: DataFrame, columns: Sequence[str], limit: int, **options) -> list[MixtureModel]:
-    """Columns whose cells are single values by :func:`fit_cells`, others by counted values."""
-    cells = value_cells(df, columns, limit=limit)
-    wide = {r["c"] for r in cells.where("low < high").select("c").distinct().collect()}
-    single = [c for c in range(len(columns)) if c not in wide]
-    found = {}
-    if single:
-        number = F.lit(None).cast("int")
-        for place, c in enumerate(single):
-            number = F.when(F.col("c") == c, place).otherwise(number)
-        kept = cells.where(F.col("c").isin(single)).withColumn("c", number)
-        found |= zip(single, fit_cells(kept, len(single), **options), strict=True)
-    if wide:
-        rest = sorted(wide)
-        counts = value_counts(df, [columns[c] for c in rest])
-        found |= zip(rest, fit_counts(counts, len(rest), **options), strict=True)
+    """Columns of at most ``limit`` distinct values in one task each, others in all tasks."""
+    counts = value_counts(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = {r["c"]: r["n"] for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+        _missing(sizes, len(columns))
+        wide = [c for c, n in sizes.items() if n > limit]
+        found = {}
+        if len(wide) < len(columns):
+            narrow = counts if not wide else counts.where(~F.col("c").isin(*wide))
+            found |= _fit_in_tasks(narrow, _Values, **options)
+        if wide:
+            data = _SpreadValues(counts.where(F.col("c").isin(*wide)), sum(sizes[c] for c in wide))
+            counts.unpersist()
+            try:
+                found |= _fit(data, **options)
+            finally:
+                data.close()
+    finally:
+        counts.unpersist()
     return [found[c] for c in range(len(columns))]
 
 
