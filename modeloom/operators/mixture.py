@@ -639,7 +639,8 @@ class _Cells:
                 norm = share.sum(axis=1)
                 share /= norm[:, None]
                 winner = terms.argmax(axis=1)
-                log_norm = float(weight @ (top + np.log(norm)))
+                # to the last digit: summaries are compared by their bounds
+                log_norm = math.fsum((weight * (top + np.log(norm))).tolist())
                 # how far a row's terms may lie from its cell's: exp(g) - 1 - g <= g^2 exp(|g|) / 2
                 reach = (
                     np.maximum(self.high - self.mean, self.mean - self.low) / kernel["scale"]

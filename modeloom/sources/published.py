@@ -12,6 +12,7 @@ rule out are not read, and the rest are filtered there.  All other filters stay
 
 from __future__ import annotations
 
+import contextlib
 import json
 import re
 import uuid
@@ -77,7 +78,9 @@ def _delete(folder: str, names: Iterable[str]) -> None:
     system, path = _opened(folder)
     for name in names:
         if system.get_file_info(f"{path}/{name}").type != fs.FileType.NotFound:
-            system.delete_file(f"{path}/{name}")
+            # a task that was stopped may be taking its own file away
+            with contextlib.suppress(FileNotFoundError):
+                system.delete_file(f"{path}/{name}")
 
 
 class PublishedFolder(DataSource):
@@ -201,10 +204,12 @@ class Written(WriterCommitMessage):
 class FolderWriter(DataSourceArrowWriter):
     def __init__(self, folder: str, schema: StructType, overwrite: bool):
         self.folder, self.schema, self.overwrite = folder, schema, overwrite
+        # all files of one write begin alike, so that it finds those of tasks that were stopped
+        self.begin = f"part-{uuid.uuid4().hex[:8]}-"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, path = _opened(self.folder)
-        name, writer = f"part-{uuid.uuid4().hex}.parquet", None
+        name, writer = f"{self.begin}{uuid.uuid4().hex}.parquet", None
         try:
             for batch in iterator:
                 if batch.num_rows == 0:
@@ -251,4 +256,6 @@ class FolderWriter(DataSourceArrowWriter):
         _delete(self.folder, before["previous"])
 
     def abort(self, messages: list[Written | None]) -> None:
-        _delete(self.folder, [m.name for m in messages if m and m.name])
+        system, path = _opened(self.folder)
+        found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+        _delete(self.folder, [f.base_name for f in found if f.base_name.startswith(self.begin)])
