@@ -15,6 +15,7 @@ from __future__ import annotations
 import contextlib
 import json
 import re
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -49,6 +50,9 @@ MANIFEST = "_manifest.json"
 # Bytes of one file at most before its row groups are dealt to several tasks.
 SPLIT_BYTES = 128 << 20
 EXACT = (bool, int, str, date)
+# Seconds for which a failed write looks for files: its other tasks are still being stopped then,
+# and Spark gives their workers two.
+ENDING = 3.0
 
 
 def register(spark: SparkSession) -> None:
@@ -257,5 +261,10 @@ class FolderWriter(DataSourceArrowWriter):
 
     def abort(self, messages: list[Written | None]) -> None:
         system, path = _opened(self.folder)
-        found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
-        _delete(self.folder, [f.base_name for f in found if f.base_name.startswith(self.begin)])
+        until = time.monotonic() + ENDING
+        while True:
+            found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+            _delete(self.folder, [f.base_name for f in found if f.base_name.startswith(self.begin)])
+            if time.monotonic() >= until:
+                return
+            time.sleep(0.25)
